@@ -5,3 +5,4 @@ from __future__ import annotations
 
 def load() -> None:
     from textloom.plans import queries_chat  # noqa: F401
+    from textloom.plans import queries_json  # noqa: F401
