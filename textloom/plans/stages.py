@@ -16,3 +16,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def vocabulary_stage(spark, name: str, texts_fn, vocab_size: int, min_frequency: int, specials: list[str],
+                     skip_if_exists: bool = True):
+    """J2 for the vocabulary: reuse a stage already written for the same inputs and parameters.
+
+    The stage lives in the shared scratch space under a name derived from the inputs.
+    """
+    import hashlib
+
+    from textloom.operators.bpe import Vocabulary, train_bpe
+    from textloom.session import scratch_dir
+
+    tag = hashlib.sha1(f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}".encode()).hexdigest()[:16]
+    path = f"{scratch_dir(spark).rstrip('/')}/vocab-stages/{tag}"
+    if skip_if_exists:
+        try:
+            return Vocabulary.load(spark, path)
+        except Exception:  # noqa: BLE001 - not written yet
+            pass
+    vocab = train_bpe(texts_fn(), vocab_size, min_frequency, specials)
+    vocab.save(spark, path)
+    return vocab
