@@ -146,19 +146,22 @@ def _pair_counts(words: DataFrame) -> DataFrame:
 
 
 def _trigram_bounds(words: DataFrame, cands: list[int]) -> dict[int, int]:
-    """Largest trigram count each candidate pair takes part in (as first or second pair)."""
-    cand = F.array(*[F.lit(c) for c in cands])
+    """Largest trigram count each candidate pair takes part in (as first or second pair).
+
+    Candidates are looked up in a hash-map literal (at most ``candidates`` entries).
+    """
+    cand = F.create_map(*[x for c in cands for x in (F.lit(c), F.lit(True))])
     pos = F.sequence(F.lit(0), F.size("ids") - 3)
     tri = F.transform(pos, lambda i: F.struct(
         (F.col("ids")[i].cast("long") * _SHIFT + F.col("ids")[i + 1]).alias("p1"),
         (F.col("ids")[i + 1].cast("long") * _SHIFT + F.col("ids")[i + 2]).alias("p2"),
         F.col("ids")[i + 2].alias("z")))
     t = (words.where(F.size("ids") > 2).select(F.explode(tri).alias("t"), "n")
-         .where(F.array_contains(cand, F.col("t.p1")) | F.array_contains(cand, F.col("t.p2")))
+         .where(cand[F.col("t.p1")].isNotNull() | cand[F.col("t.p2")].isNotNull())
          .groupBy(F.col("t.p1").alias("p1"), F.col("t.z").alias("z"), F.col("t.p2").alias("p2"))
          .agg(F.sum("n").alias("c")))
     credited = t.select(F.col("p1").alias("p"), "c").unionByName(t.select(F.col("p2").alias("p"), "c"))
-    rows = credited.where(F.array_contains(cand, F.col("p"))).groupBy("p").agg(F.max("c")).collect()
+    rows = credited.where(cand[F.col("p")].isNotNull()).groupBy("p").agg(F.max("c")).collect()
     return {r[0]: r[1] for r in rows}
 
 
@@ -197,24 +200,51 @@ def _eligible_prefix(top: list[tuple[int, int]], vocab: Vocabulary, ids: dict[st
     return len(top)
 
 
+def _pair_bounds(top: list[tuple[int, int]], rest: int) -> dict[int, int]:
+    """Bound from pair counts alone: merging (A, B) creates (X, AB) at most min(c(X,A), c(A,B))
+    times and (AB, Y) at most min(c(B,Y), c(A,B)) times.  Pairs outside the fetched list
+    count at most ``rest`` (the first count not fetched)."""
+    max_right: dict[int, int] = {}
+    max_left: dict[int, int] = {}
+    for p, c in top:
+        a, b = divmod(p, _SHIFT)
+        max_left[a] = max(max_left.get(a, 0), c)
+        max_right[b] = max(max_right.get(b, 0), c)
+    out = {}
+    for p, c in top:
+        a, b = divmod(p, _SHIFT)
+        out[p] = min(c, max(max_right.get(a, 0), max_left.get(b, 0), rest))
+    return out
+
+
 def learn_merges(words: DataFrame, vocab: Vocabulary, vocab_size: int, min_frequency: int = 2,
-                 candidates: int = 512, checkpoint_every: int = 8, log=None) -> Vocabulary:
-    """T4: extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency."""
+                 candidates: int = 1024, checkpoint_every: int = 4, bound: str = "pairs",
+                 log=None) -> Vocabulary:
+    """T4: extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency.
+
+    ``bound="pairs"`` (one Spark job per round) or ``"trigram"`` (tighter, one more job).
+    """
     ids = vocab.token_ids()
     floor = max(1, min_frequency)
     words = words.repartition(words.sparkSession.sparkContext.defaultParallelism).checkpoint(eager=True)
-    rounds = 0
+    rounds, previous = 0, None
     while vocab.size < vocab_size:
         pairs = _pair_counts(words).where(F.col("c") >= floor)
-        top = [(r["p"], r["c"]) for r in pairs.orderBy(F.desc("c"), F.asc("p")).limit(candidates).collect()]
-        if not top:
+        fetched = [(r["p"], r["c"]) for r in pairs.orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
+        if not fetched:
             break
+        top, rest = fetched[:candidates], (fetched[candidates][1] if len(fetched) > candidates else 0)
         top = top[:_eligible_prefix(top, vocab, ids)]
-        bounds = _trigram_bounds(words, [p for p, _ in top]) if len(top) > 1 else {}
+        if len(top) < 2:
+            bounds = {}
+        elif bound == "pairs":
+            bounds = _pair_bounds(fetched[:candidates], rest)
+        else:
+            bounds = _trigram_bounds(words, [p for p, _ in top])
         accepted: dict[int, int] = {}
-        bound = -1
+        limit = -1
         for p, c in top:
-            if vocab.size >= vocab_size or (accepted and c <= bound):
+            if vocab.size >= vocab_size or (accepted and c <= limit):
                 break
             a, b = divmod(p, _SHIFT)
             token = vocab.tokens[a] + vocab.tokens[b]
@@ -225,15 +255,24 @@ def learn_merges(words: DataFrame, vocab: Vocabulary, vocab_size: int, min_frequ
                 ids[token] = new_id
             vocab.merges.append((a, b, new_id))
             accepted[p] = new_id
-            bound = max(bound, bounds.get(p, 0))
+            limit = max(limit, bounds.get(p, c))
         rounds += 1
+        if previous is not None:  # ``words`` is materialised by now: release its parent
+            previous.unpersist()
         nxt = _apply_merges(words, accepted)
-        nxt = nxt.checkpoint(eager=True) if rounds % checkpoint_every == 0 else nxt.persist()
-        words.unpersist()
+        if rounds % checkpoint_every == 0:
+            nxt = nxt.checkpoint(eager=True)  # reliable checkpoint in the shared directory
+            words.unpersist()
+            previous = None
+        else:
+            nxt = nxt.persist()  # materialised by the next round's pair-count job
+            previous = words
         words = nxt
         if log:
             log(f"round {rounds}: {len(accepted)} merges, vocab {vocab.size}")
     words.unpersist()
+    if previous is not None:
+        previous.unpersist()
     return vocab
 
 
