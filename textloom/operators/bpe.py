@@ -181,7 +181,10 @@ def _apply_merges(words: DataFrame, merges: dict[int, int]) -> DataFrame:
 
     folded = F.aggregate(F.col("ids"), F.array().cast("array<int>"), step)
     restored = F.transform(folded, lambda v: F.when(v < 0, -v - 1).otherwise(v))
-    return words.select(restored.alias("ids"), "n").where(F.size("ids") > 1)
+    ids = F.col("ids")
+    touched = F.exists(F.sequence(F.lit(0), F.size(ids) - 2),
+                       lambda i: table[ids[i].cast("long") * _SHIFT + ids[i + 1]].isNotNull())
+    return words.select(F.when(touched, restored).otherwise(ids).alias("ids"), "n").where(F.size("ids") > 1)
 
 
 def _eligible_prefix(top: list[tuple[int, int]], vocab: Vocabulary, ids: dict[str, int]) -> int:
@@ -280,10 +283,14 @@ def train_bpe(texts: DataFrame, vocab_size: int = 32_000, min_frequency: int = 2
               specials: list[str] | None = None, text_col: str = "text", **kw) -> Vocabulary:
     """Learn a byte-level BPE vocabulary from a frame of texts."""
     specials = SPECIALS_CLI if specials is None else specials
-    counts = pretoken_counts(texts, text_col).persist()
-    alphabet = byte_alphabet(counts)
+    # Byte symbols of each distinct pre-token, computed once and reused for the alphabet and the ids.
+    syms = (pretoken_counts(texts, text_col)
+            .select(byte_symbols(F.col("token")).alias("syms"), "n").persist())
+    alphabet = sorted((r[0] for r in syms.select(F.explode("syms").alias("c")).distinct().collect()), key=ord)
     vocab = initial_vocabulary(alphabet, specials)
-    words = word_frame(counts, alphabet, len(specials))
+    first = len(specials)
+    lookup = F.create_map(*[x for i, c in enumerate(alphabet) for x in (F.lit(c), F.lit(first + i))])
+    words = syms.select(F.transform("syms", lambda c: lookup[c]).alias("ids"), "n").where(F.size("ids") > 1)
     vocab = learn_merges(words, vocab, vocab_size, min_frequency, **kw)
-    counts.unpersist()
+    syms.unpersist()
     return vocab
