@@ -7,8 +7,9 @@ Encoding is a Spark plan, not a per-document Python loop:
 2. the remaining pieces are pre-tokenised (T1) and exploded with their positions;
 3. each *distinct* pre-token is merged once, by lowest merge rank, in a pandas UDF
    that holds the merge table (bounded by the vocabulary size) as a broadcast;
-4. the ids are joined back (AQE splits hot tokens' partitions) and reassembled per
-   document by (piece, position).
+4. the ids are joined back (AQE splits hot tokens' partitions, or broadcasts the
+   table when its runtime size is small) and reassembled per document by
+   (piece, position); an empty part per document keeps empty texts without a join.
 """
 
 from __future__ import annotations
@@ -87,14 +88,15 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "id", text_col: str
     bpe = _bpe_udf(spark, vocab)
     table = toks.select("token").distinct().select("token", bpe(F.col("token")).alias("ids"))
     encoded = toks.join(table, "token").select("id", "piece_no", "tok_no", "ids")
-    parts = encoded.unionByName(special_rows)
+    # One empty part per document, so documents without pieces (empty text) still get a row.
+    empty = docs.select(F.col(id_col).alias("id"), F.lit(-1).alias("piece_no"), F.lit(-1).alias("tok_no"),
+                        F.array().cast("array<int>").alias("ids"))
+    parts = encoded.unionByName(special_rows).unionByName(empty)
     per_doc = parts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "tok_no", "ids"))).alias("p"))
-    flat = per_doc.select("id", F.flatten(F.transform("p", lambda x: x["ids"])).alias("ids"))
-    all_docs = docs.select(F.col(id_col).alias("id")).join(flat, "id", "left")
-    body = F.coalesce(F.col("ids"), F.array().cast("array<int>"))
+    body = F.flatten(F.transform("p", lambda x: x["ids"]))
     if add_special_tokens:
         body = F.concat(F.array(F.lit(ids[BOS])), body, F.array(F.lit(ids[EOS])))
-    return all_docs.select("id", body.alias("ids"))
+    return per_doc.select("id", body.alias("ids"))
 
 
 def encode_pair(pairs: DataFrame, vocab: Vocabulary, id_col: str = "id") -> DataFrame:
