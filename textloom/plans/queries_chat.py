@@ -12,7 +12,7 @@ from textloom.operators.mix import (chatml_budgets, counts_by_source, mix_source
                                     running_load_totals)
 from textloom.plans.registry import query
 from textloom.plans.sql_snippets import KNOWN_ROLES, NL, chat_cte, holdout_sql, key_sql, web_cte
-from textloom.plans.stages import materialize
+from textloom.session import materialize
 from textloom.sources.tables import role_chat_source, standard_sources, table_path, tolerant_load
 
 # Reference defaults (job parameters, fixed values).

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.bytelevel import pretokens
@@ -102,12 +102,12 @@ def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("encode_pair")
 def encode_pair_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First exchange of every conversation encoded as the pair ``<s> A </s> <s> B </s>``."""
+    """Every turn paired with the next turn of its conversation, encoded as
+    ``<s> A </s> <s> B </s>`` (a window per conversation, no join)."""
     conv = spark.read.parquet(table_path(sf_dir, "conversations"))
-    pairs = (conv.where(F.col("turn") <= 1).groupBy(F.col("conv_id").alias("id"))
-             .agg(F.max(F.when(F.col("turn") == 0, F.col("text"))).alias("a"),
-                  F.max(F.when(F.col("turn") == 1, F.col("text"))).alias("b"))
-             .where(F.col("a").isNotNull() & F.col("b").isNotNull()))
+    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    pairs = (conv.select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("a"), nxt.alias("b"))
+             .where(F.col("b").isNotNull()))
     return encode_pair(pairs, _vocab(spark, sf_dir))
 
 

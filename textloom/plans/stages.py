@@ -9,13 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from textloom.session import fresh_path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+from textloom.session import materialize  # noqa: F401  (re-exported)
 
 
 def vocabulary_stage(spark, name: str, texts_fn, vocab_size: int, min_frequency: int, specials: list[str],
@@ -29,7 +23,12 @@ def vocabulary_stage(spark, name: str, texts_fn, vocab_size: int, min_frequency:
     from textloom.operators.bpe import Vocabulary, train_bpe
     from textloom.session import scratch_dir
 
-    tag = hashlib.sha1(f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}".encode()).hexdigest()[:16]
+    import inspect
+
+    from textloom.operators import bpe
+
+    code = hashlib.sha1(inspect.getsource(bpe).encode()).hexdigest()  # a changed trainer never reuses a stage
+    tag = hashlib.sha1(f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}|{code}".encode()).hexdigest()[:16]
     path = f"{scratch_dir(spark).rstrip('/')}/vocab-stages/{tag}"
     if skip_if_exists:
         try:

@@ -54,3 +54,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused directory path under the shared scratch space."""
     base = scratch_dir(spark).rstrip("/")
     return f"{base}/stages/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet stage in the shared scratch space and read it back.
+
+    Cuts lineage (executor loss recomputes from the stage) and lets multi-pass steps
+    scan a column store instead of recomputing upstream work.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -50,14 +50,14 @@ def strict_jsonl(spark: SparkSession, paths: str | list[str], key: str = "text")
                           .otherwise(variant_string(picked)).alias("text"))
 
 
-def sniff_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def sniff_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> DataFrame:
     """S3: per file, ``jsonl`` if every non-blank line among the first 10 parses, else ``multiline``.
 
     Only the first lines of each split are shuffled: ``row_number <= 10`` per split is
     planned as a group limit before the exchange; per-split line counts give the
     offset of each split inside its file.
     """
-    pos = read_positioned(spark, paths)
+    pos = paths if isinstance(paths, DataFrame) else read_positioned(spark, paths)
     per_block = pos.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
@@ -74,18 +74,19 @@ def sniff_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str = "stop") -> DataFrame:
     """S3 dispatch: each file is read line by line (S2) or rebuilt from multi-line objects.
 
+    File modes are computed once into a small stage (one row per file); lines reach
+    their extractor through semi joins on it, so no file list passes through the driver.
     Returns ``file, mode, status, key, text, obj``.
     """
+    from textloom.session import materialize
     from textloom.sources.jsonscan import rebuild_multiline
 
-    modes = sniff_files(spark, paths)
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), "value")
+    pos = read_positioned(spark, paths)
+    modes = materialize(sniff_files(spark, pos), "file-modes")
     jsonl_files = modes.where(F.col("mode") == "jsonl").select("file")
-    line_rows = extract_text(lines.join(jsonl_files, "file", "left_semi")).select(
+    multi_files = modes.where(F.col("mode") == "multiline").select("file")
+    line_rows = extract_text(pos.join(jsonl_files, "file", "left_semi")).select(
         "file", F.lit("jsonl").alias("mode"), "status", "key", "text", "obj")
-    multi_files = [r[0] for r in modes.where(F.col("mode") == "multiline").select("file").collect()]
-    if not multi_files:
-        return line_rows
-    rebuilt = rebuild_multiline(spark, multi_files, on_error).select(
+    rebuilt = rebuild_multiline(spark, pos.join(multi_files, "file", "left_semi"), on_error).select(
         "file", F.lit("multiline").alias("mode"), "status", "key", "text", "obj")
     return line_rows.unionByName(rebuilt)

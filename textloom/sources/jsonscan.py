@@ -32,7 +32,7 @@ def _assemble(sep: str, suffix: str = "") -> Column:
     return F.array_join(F.transform(parts, lambda x: F.concat(x["value"], F.lit(suffix))), sep)
 
 
-def rebuild_multiline(spark: SparkSession, paths: str | list[str], on_error: str = "stop") -> DataFrame:
+def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, on_error: str = "stop") -> DataFrame:
     """Lines are accumulated until a line ending in ``}`` or ``},`` closes the top-level
     object; trailing whitespace and commas are cut and the chunk is parsed strictly.
 
@@ -40,7 +40,7 @@ def rebuild_multiline(spark: SparkSession, paths: str | list[str], on_error: str
     chunk that fails, nothing more of that file is recovered (``on_error="stop"``);
     ``"skip"`` drops only the bad chunk.  Returns ``file, chunk_no, chunk, status, key, text, obj``.
     """
-    pos = read_positioned(spark, paths)
+    pos = paths if isinstance(paths, DataFrame) else read_positioned(spark, paths)
     no_strings = F.regexp_replace(F.regexp_replace("value", _ESCAPE, ""), _QUOTED, "")
     depth = running_sums(pos, {"delta": _count(no_strings, "{") - _count(no_strings, "}")})
     stripped = F.regexp_replace("value", _TRAILING_SPACE, "")
