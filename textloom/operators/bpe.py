@@ -139,9 +139,10 @@ def word_frame(counts: DataFrame, alphabet: list[str], first_id: int) -> DataFra
 
 
 def _pair_counts(words: DataFrame) -> DataFrame:
-    pos = F.sequence(F.lit(0), F.size("ids") - 2)
-    keys = F.transform(pos, lambda i: F.col("ids")[i].cast("long") * _SHIFT + F.col("ids")[i + 1])
-    return (words.select(F.explode(keys).alias("p"), "n")
+    """Adjacent-pair counts; ``arrays_zip`` of two slices keeps the explode out of lambdas."""
+    n = F.size("ids") - 1
+    z = F.explode(F.arrays_zip(F.slice("ids", 1, n).alias("a"), F.slice("ids", 2, n).alias("b"))).alias("z")
+    return (words.select(z, "n").select((F.col("z.a").cast("long") * _SHIFT + F.col("z.b")).alias("p"), "n")
             .groupBy("p").agg(F.sum("n").alias("c")))
 
 
