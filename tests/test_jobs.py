@@ -53,3 +53,30 @@ def test_streaming_extraction(spark, tmp_path):
     q.awaitTermination(120)
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [("prompt", "y"), ("text", "x")]
+
+
+def test_zero_guards(spark, tmp_path):
+    import pytest
+
+    empty = tmp_path / "empty.json"
+    empty.write_text("[1, 2]\n", encoding="utf-8")
+    with pytest.raises(RuntimeError):
+        jobs.fix_jsonl(spark, str(empty), str(tmp_path / "o1"))
+    src = standard_sources(spark, SF)
+    src["hermes"] = role_chat_source(spark, table_path(SF, "missing_a"))
+    src["capybara"] = role_chat_source(spark, table_path(SF, "missing_b"))
+    with pytest.raises(RuntimeError):
+        jobs.prepare_chatml_cli(spark, src, str(tmp_path / "o2"))
+
+
+def test_corrupt_source_gives_zero_rows(spark, tmp_path):
+    from textloom.operators.mix import counts_by_source, mix_sources
+    from textloom.sources.tables import web_source
+
+    bad = tmp_path / "bad.parquet"
+    bad.write_bytes(b"not a parquet file at all")
+    src = standard_sources(spark, SF)
+    src["fineweb"] = web_source(spark, str(bad))
+    mix = mix_sources(spark, src, {"fineweb": 10, "hermes": 5}, "raw")
+    counts = {r.source: r.n for r in counts_by_source(mix, ["fineweb", "hermes"]).collect()}
+    assert counts["fineweb"] == 0 and counts["hermes"] == 5
