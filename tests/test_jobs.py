@@ -80,3 +80,26 @@ def test_corrupt_source_gives_zero_rows(spark, tmp_path):
     mix = mix_sources(spark, src, {"fineweb": 10, "hermes": 5}, "raw")
     counts = {r.source: r.n for r in counts_by_source(mix, ["fineweb", "hermes"]).collect()}
     assert counts["fineweb"] == 0 and counts["hermes"] == 5
+
+
+def test_cli_fix_jsonl_and_prepare_chatml(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from textloom import cli
+    from textloom.operators.chat import group_turns
+
+    p = tmp_path / "broken.jsonl"
+    p.write_text('{"a": 1}{"b": 2}\n', encoding="utf-8")
+    assert cli.main(["fix-jsonl", str(p), "--output", str(tmp_path / "fixed")]) == 0
+    conv = spark.read.parquet(f"{SF}/conversations.parquet")
+    first = group_turns(conv, {"from": "role", "value": "text"}, "conversations")
+    second = group_turns(conv, {"role": "role", "content": "text"}, "conversation")
+    first.write.parquet(str(tmp_path / "first"))
+    second.write.parquet(str(tmp_path / "second"))
+    assert cli.main(["prepare-chatml", "--first", str(tmp_path / "first"), "--second", str(tmp_path / "second"),
+                     "--samples", "30", "--output", str(tmp_path / "chatml")]) == 0
+    out = spark.read.json(str(tmp_path / "chatml"))
+    n_conv = conv.select("conv_id").distinct().count()  # a source delivers at most what it has (L2)
+    assert out.count() == min(21, n_conv) + min(9, n_conv)
+    assert set(out.columns) >= {"text", "source", "split"}
+    assert out.where(F.col("source") == "hermes").count() == min(21, n_conv)

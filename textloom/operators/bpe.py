@@ -24,7 +24,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.bytelevel import byte_symbols, pretokens
@@ -221,65 +221,122 @@ def _pair_bounds(top: list[tuple[int, int]], rest: int) -> dict[int, int]:
     return out
 
 
+def _pair_keys(ids: Column) -> Column:
+    """Adjacent pair keys of a symbol array (``left * 2^32 + right``)."""
+    n = F.size(ids) - 1
+    z = F.arrays_zip(F.slice(ids, 1, n).alias("a"), F.slice(ids, 2, n).alias("b"))
+    return F.transform(z, lambda x: x["a"].cast("long") * _SHIFT + x["b"])
+
+
+def _select_batch(fetched, candidates, vocab, ids, vocab_size, bound, words):
+    """Accept the exact batch of merges for this round (see module docstring)."""
+    top, rest = fetched[:candidates], (fetched[candidates][1] if len(fetched) > candidates else 0)
+    top = top[:_eligible_prefix(top, vocab, ids)]
+    if len(top) < 2:
+        bounds = {}
+    elif bound == "pairs":
+        bounds = _pair_bounds(fetched[:candidates], rest)
+    else:
+        bounds = _trigram_bounds(words, [p for p, _ in top])
+    accepted: dict[int, int] = {}
+    limit = -1
+    for p, c in top:
+        if vocab.size >= vocab_size or (accepted and c <= limit):
+            break
+        a, b = divmod(p, _SHIFT)
+        token = vocab.tokens[a] + vocab.tokens[b]
+        new_id = ids.get(token, vocab.size)
+        if new_id == vocab.size:
+            vocab.tokens.append(token)
+            vocab.kinds.append("merge")
+            ids[token] = new_id
+        vocab.merges.append((a, b, new_id))
+        accepted[p] = new_id
+        limit = max(limit, bounds.get(p, c))
+    return accepted
+
+
 def learn_merges(words: DataFrame, vocab: Vocabulary, vocab_size: int, min_frequency: int = 2,
                  candidates: int = 1024, checkpoint_every: int = 4, bound: str = "pairs",
-                 log=None) -> Vocabulary:
+                 incremental: bool = True, log=None) -> Vocabulary:
     """T4: extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency.
 
-    ``bound="pairs"`` (one Spark job per round) or ``"trigram"`` (tighter, one more job).
+    ``incremental=True`` keeps the pair-count table between rounds: each word stores its
+    pair keys, the words holding an accepted pair are found with ``arrays_overlap`` and
+    re-merged in place (a projection, so partitions never multiply), and only their old
+    and new pairs update the table.  ``incremental=False`` recounts all pairs each round.
+    ``bound="trigram"`` uses the tighter trigram bound at the cost of one more job per round.
     """
+    spark = words.sparkSession
+    par = spark.sparkContext.defaultParallelism
     ids = vocab.token_ids()
     floor = max(1, min_frequency)
-    words = words.repartition(words.sparkSession.sparkContext.defaultParallelism).checkpoint(eager=True)
-    rounds, previous = 0, None
+    if incremental:
+        words = words.select("ids", _pair_keys(F.col("ids")).alias("keys"), "n")
+    words = words.repartition(par).checkpoint(eager=True)
+    held = words  # the persisted / checkpointed frame behind ``words``
+    pairs = None
+    if incremental:
+        pairs = (words.select(F.explode("keys").alias("p"), "n").groupBy("p")
+                 .agg(F.sum("n").alias("c")).checkpoint(eager=True))
+    rounds, stale = 0, []
     while vocab.size < vocab_size:
-        pairs = _pair_counts(words).where(F.col("c") >= floor)
-        fetched = [(r["p"], r["c"]) for r in pairs.orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
+        counts = pairs if incremental else _pair_counts(words)
+        fetched = [(r["p"], r["c"]) for r in
+                   counts.where(F.col("c") >= floor).orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
+        for df in stale:  # this round's frames are materialised now: release their parents
+            df.unpersist()
+        stale = []
         if not fetched:
             break
-        top, rest = fetched[:candidates], (fetched[candidates][1] if len(fetched) > candidates else 0)
-        top = top[:_eligible_prefix(top, vocab, ids)]
-        if len(top) < 2:
-            bounds = {}
-        elif bound == "pairs":
-            bounds = _pair_bounds(fetched[:candidates], rest)
-        else:
-            bounds = _trigram_bounds(words, [p for p, _ in top])
-        accepted: dict[int, int] = {}
-        limit = -1
-        for p, c in top:
-            if vocab.size >= vocab_size or (accepted and c <= limit):
-                break
-            a, b = divmod(p, _SHIFT)
-            token = vocab.tokens[a] + vocab.tokens[b]
-            new_id = ids.get(token, vocab.size)
-            if new_id == vocab.size:
-                vocab.tokens.append(token)
-                vocab.kinds.append("merge")
-                ids[token] = new_id
-            vocab.merges.append((a, b, new_id))
-            accepted[p] = new_id
-            limit = max(limit, bounds.get(p, c))
+        accepted = _select_batch(fetched, candidates, vocab, ids, vocab_size, bound, words)
         rounds += 1
-        if previous is not None:  # ``words`` is materialised by now: release its parent
-            previous.unpersist()
-        nxt = _apply_merges(words, accepted)
-        if rounds % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)  # reliable checkpoint in the shared directory
-            words.unpersist()
-            previous = None
-        else:
-            nxt = nxt.persist()  # materialised by the next round's pair-count job
-            previous = words
-        words = nxt
         if log:
             log(f"round {rounds}: {len(accepted)} merges, vocab {vocab.size}")
-    words.unpersist()
-    if previous is not None:
-        previous.unpersist()
+        if vocab.size >= vocab_size:
+            break
+        cut = rounds % checkpoint_every == 0
+        if not incremental:
+            nxt = _apply_merges(words, accepted)
+            nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
+            stale, words, held = [held], nxt, nxt
+            continue
+        touched = F.arrays_overlap(F.col("keys"), F.array(*[F.lit(p) for p in accepted]))
+        merged = words.select(F.when(touched, _merged_ids(accepted)).otherwise(F.col("ids")).alias("ids"),
+                              "keys", "n", touched.alias("chg"))
+        step = merged.select("ids", F.when(F.col("chg"), _pair_keys(F.col("ids"))).otherwise(F.col("keys"))
+                             .alias("keys"), F.when(F.col("chg"), F.col("keys")).alias("old"), "n", "chg")
+        step = step.checkpoint(eager=True) if cut else step.persist()
+        changed = step.where("chg")
+        delta = (changed.select(F.explode("old").alias("p"), (-F.col("n")).alias("n"))
+                 .unionByName(changed.select(F.explode("keys").alias("p"), "n")))
+        nxt_pairs = (pairs.select("p", F.col("c").alias("n")).unionByName(delta)
+                     .groupBy("p").agg(F.sum("n").alias("c")).where(F.col("c") > 0))
+        nxt_pairs = nxt_pairs.checkpoint(eager=True) if cut else nxt_pairs.persist()
+        stale = [held, pairs]
+        held = step  # the persisted frame behind ``words``
+        words = step.where(F.size("ids") > 1).select("ids", "keys", "n")
+        pairs = nxt_pairs
+    for df in stale + [held] + ([pairs] if pairs is not None else []):
+        df.unpersist()
     return vocab
 
 
+def _merged_ids(merges: dict[int, int]) -> Column:
+    """Merged symbol array of ``ids`` (the fold of ``_apply_merges``, as a column)."""
+    table = F.create_map(*[x for k, v in merges.items() for x in (F.lit(k), F.lit(v))])
+
+    def step(acc, x):
+        last = F.try_element_at(acc, F.lit(-1))
+        hit = table[last.cast("long") * _SHIFT + x]
+        can = (F.size(acc) > 0) & (last >= 0) & hit.isNotNull()
+        return F.when(can, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(-hit - 1))) \
+                .otherwise(F.concat(acc, F.array(x)))
+
+    folded = F.aggregate(F.col("ids"), F.array().cast("array<int>"), step)
+    return F.transform(folded, lambda v: F.when(v < 0, -v - 1).otherwise(v))
+
+
 def train_bpe(texts: DataFrame, vocab_size: int = 32_000, min_frequency: int = 2,
               specials: list[str] | None = None, text_col: str = "text", **kw) -> Vocabulary:
     """Learn a byte-level BPE vocabulary from a frame of texts."""

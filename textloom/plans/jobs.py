@@ -21,7 +21,7 @@ from textloom.operators.mix import chatml_budgets, counts_by_source, load_sample
 from textloom.sources.jsonl import extract_text_auto, strict_jsonl
 from textloom.sources.jsonscan import rebuild_concatenated
 from textloom.sources.sinks import write_jsonl, write_splits
-from textloom.sources.tables import Source, standard_sources, tolerant_load
+from textloom.sources.tables import Source, standard_sources
 from textloom.sources.text import training_lines
 from textloom.session import fresh_path
 
@@ -173,4 +173,4 @@ def run_all(spark: SparkSession, sf_dir: str, output: str, skip: set[str] | None
 
 
 __all__ = ["prepare_pretrain_data", "prepare_chatml_cli", "prepare_chatml_data", "prepare_textset",
-           "train_tokenizer", "fix_jsonl", "run_all", "tolerant_load"]
+           "train_tokenizer", "fix_jsonl", "run_all"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.chat import canonical_role, nonempty_list, turn_content, turn_role
 from textloom.operators import order
-from textloom.operators.chat import group_turns, nonempty_text, render_chat, render_template
+from textloom.operators.chat import group_turns, nonempty_text, render_template
 from textloom.operators.mix import (chatml_budgets, counts_by_source, mix_sources, pretrain_budgets,
                                     running_load_totals)
 from textloom.plans.registry import query

@@ -1,35 +1,30 @@
-"""Stage materialisation: written Parquet tables in the shared scratch space.
+"""Stage reuse (J2): outputs written to the shared scratch space and found again by key.
 
-A stage cuts lineage (executor loss only recomputes from the stage), and lets
-multi-pass steps (count, histogram, cutoff) scan a column store instead of
-recomputing upstream work.
+``materialize`` (in ``textloom.session``) writes a DataFrame as a Parquet stage and
+reads it back; ``vocabulary_stage`` keeps a learned vocabulary so that the queries
+that encode or decode with it do not learn it again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import inspect
 
-from textloom.session import materialize  # noqa: F401  (re-exported)
+from textloom.operators import bpe
+from textloom.operators.bpe import Vocabulary, train_bpe
+from textloom.session import materialize, scratch_dir  # noqa: F401  (materialize is re-exported)
 
 
 def vocabulary_stage(spark, name: str, texts_fn, vocab_size: int, min_frequency: int, specials: list[str],
-                     skip_if_exists: bool = True):
-    """J2 for the vocabulary: reuse a stage already written for the same inputs and parameters.
+                     skip_if_exists: bool = True) -> Vocabulary:
+    """The vocabulary learned from ``texts_fn()``, reused when the same stage was written before.
 
-    The stage lives in the shared scratch space under a name derived from the inputs.
+    The stage key covers the input name, the parameters and the trainer's source code,
+    so a changed trainer never reuses an old stage.
     """
-    import hashlib
-
-    from textloom.operators.bpe import Vocabulary, train_bpe
-    from textloom.session import scratch_dir
-
-    import inspect
-
-    from textloom.operators import bpe
-
-    code = hashlib.sha1(inspect.getsource(bpe).encode()).hexdigest()  # a changed trainer never reuses a stage
-    tag = hashlib.sha1(f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}|{code}".encode()).hexdigest()[:16]
-    path = f"{scratch_dir(spark).rstrip('/')}/vocab-stages/{tag}"
+    code = hashlib.sha1(inspect.getsource(bpe).encode()).hexdigest()
+    key = f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}|{code}"
+    path = f"{scratch_dir(spark).rstrip('/')}/vocab-stages/{hashlib.sha1(key.encode()).hexdigest()[:16]}"
     if skip_if_exists:
         try:
             return Vocabulary.load(spark, path)

@@ -13,10 +13,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "textloom", extra: dict | None = None) -> SparkSession:
+    """Session for tests, bench and the CLI; ``master=None`` leaves it to spark-submit."""
+    builder = SparkSession.builder if master is None else SparkSession.builder.master(master)
     builder = (
-        SparkSession.builder.master(master)
+        builder
         .appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

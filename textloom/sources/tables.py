@@ -89,6 +89,26 @@ def role_chat_source(spark: SparkSession, path: str, name: str = "capybara") ->
     return Source(name, "chat", load, ROLE_CHAT_SCHEMA, "conversation")
 
 
+def parquet_text_source(spark: SparkSession, path: str, name: str, id_col: str = "id",
+                        text_col: str = "text", kind: str = "web") -> Source:
+    """A Parquet dataset of text items; ``id_col`` gives the dataset order for ``train[:n]``."""
+    def load(n):
+        df = spark.read.parquet(path).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+        return first_n_by_id(df, n)
+    return Source(name, kind, load, WEB_SCHEMA)
+
+
+def parquet_chat_source(spark: SparkSession, path: str, name: str, turns_field: str,
+                        id_col: str = "id") -> Source:
+    """A Parquet dataset of chat items with a nested list of turns (struct or map turns)."""
+    def load(n):
+        df = spark.read.parquet(path)
+        cols = [F.col(id_col).cast("long").alias("id")] + ([F.col(turns_field)] if turns_field in df.columns else [])
+        return first_n_by_id(df.select(*cols), n)
+    schema = f"id BIGINT, {turns_field} ARRAY<STRUCT<role: STRING, content: STRING>>"
+    return Source(name, "chat", load, schema, turns_field)
+
+
 def standard_sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
     conv = table_path(sf_dir, "conversations")
     return {
