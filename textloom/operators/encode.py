@@ -72,7 +72,7 @@ def _bpe_udf(spark, vocab: Vocabulary):
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "id", text_col: str = "text",
-           add_special_tokens: bool = True) -> DataFrame:
+           add_special_tokens: bool = True, salts: int = 16) -> DataFrame:
     """T7 + T8: ``(id, ids ARRAY<INT>)``; with ``<s> ... </s>`` around when ``add_special_tokens``."""
     spark = docs.sparkSession
     ids = vocab.token_ids()
@@ -83,11 +83,20 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "id", text_col: str
     is_special = special_map[F.col("piece")].isNotNull()
     special_rows = pieces.where(is_special).select(
         "id", "piece_no", F.lit(0).alias("tok_no"), F.array(special_map[F.col("piece")]).alias("ids"))
-    toks = pieces.where(~is_special).select(
-        "id", "piece_no", F.posexplode(pretokens(F.col("piece"))).alias("tok_no", "token"))
+    # Pre-tokens are spread over (token, salt) partitions in one shuffle: a hot token is
+    # split over ``salts`` tasks.  The distinct-token table, encoded once per token, is
+    # replicated once per salt (``explode``, not a join) so the join on (token, salt)
+    # needs no second shuffle of the pre-token rows.
+    salts = max(1, int(salts))
+    toks = (pieces.where(~is_special)
+            .select("id", "piece_no", F.posexplode(pretokens(F.col("piece"))).alias("tok_no", "token"))
+            .withColumn("salt", F.pmod(F.xxhash64("id", "piece_no", "tok_no"), F.lit(salts)).cast("int")))
+    n_parts = spark.conf.get("spark.sql.shuffle.partitions")
+    toks = toks.repartition(int(n_parts), "token", "salt")
     bpe = _bpe_udf(spark, vocab)
     table = toks.select("token").distinct().select("token", bpe(F.col("token")).alias("ids"))
-    encoded = toks.join(table, "token").select("id", "piece_no", "tok_no", "ids")
+    salted = table.select("token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    encoded = toks.join(salted, ["token", "salt"]).select("id", "piece_no", "tok_no", "ids")
     # One empty part per document, so documents without pieces (empty text) still get a row.
     empty = docs.select(F.col(id_col).alias("id"), F.lit(-1).alias("piece_no"), F.lit(-1).alias("tok_no"),
                         F.array().cast("array<int>").alias("ids"))
