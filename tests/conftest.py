@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(ROOT, "tests"))
 def spark():
     from textloom.session import build_session
 
-    s = build_session("local[4]", 8)
+    s = build_session("local[*]", 8)
     yield s
     s.stop()
 

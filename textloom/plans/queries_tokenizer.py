@@ -11,6 +11,7 @@ from textloom.operators.encode import decode, encode, encode_pair
 from textloom.operators.windows import context_windows
 from textloom.plans.registry import query
 from textloom.plans.stages import vocabulary_stage
+from textloom.session import spread
 from textloom.sources.tables import table_path
 
 # Job parameters of the registered vocabulary (the reference default is 32,000; the
@@ -26,7 +27,7 @@ _DUCK_PRETOKENS = (
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text")
+    return spread(spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text"))
 
 
 def _vocab(spark: SparkSession, sf_dir: str):
@@ -39,7 +40,7 @@ def _vocab(spark: SparkSession, sf_dir: str):
        f"FROM (SELECT doc_id, {_DUCK_PRETOKENS} AS toks FROM documents) d) t")
 def pretokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level pre-tokens of every document with their positions."""
-    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    docs = spread(spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text"))
     return docs.select("doc_id", F.posexplode(pretokens(F.col("text"))).alias("pos", "token")).select(
         "doc_id", F.col("pos").cast("long").alias("pos"), "token")
 
@@ -126,7 +127,7 @@ def decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
        f"range(0, CAST(ceil(len(toks) / {CONTEXT_SIZE}) AS BIGINT)) r(w) WHERE len(toks) > 0")
 def context_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-token sequences cut into 1,024-token windows (overlap 0)."""
-    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    docs = spread(spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text"))
     toks = docs.select("doc_id", pretokens(F.col("text")).alias("toks"))
     wins = context_windows(toks, "toks", CONTEXT_SIZE, CHUNK_OVERLAP, keep=["doc_id"])
     return wins.select("doc_id", F.col("window_no").cast("long").alias("window_no"),

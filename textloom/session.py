@@ -67,3 +67,16 @@ def materialize(df, name: str):
     path = fresh_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def spread(df):
+    """Round-robin ``df`` over the cluster's parallelism when it has fewer partitions.
+
+    A small input (e.g. one Parquet row group) is read by a single task; the heavy
+    per-row work that follows (regex pre-tokenisation) would then run in that one task.
+    Large inputs already have at least that many splits, and are returned unchanged.
+    Apply it to a scan only: on a plan with exchanges, adaptive execution would run
+    the upstream stages just to report the partition count.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
