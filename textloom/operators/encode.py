@@ -86,15 +86,17 @@ def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "id", text_col: str
     # Pre-tokens are spread over (token, salt) partitions in one shuffle: a hot token is
     # split over ``salts`` tasks.  The distinct-token table, encoded once per token, is
     # replicated once per salt (``explode``, not a join) so the join on (token, salt)
-    # needs no second shuffle of the pre-token rows.
+    # needs no second shuffle of the pre-token rows.  (The pre-token regex runs in both
+    # branches; the distinct branch shuffles only partially aggregated rows.)
     salts = max(1, int(salts))
-    toks = (pieces.where(~is_special)
-            .select("id", "piece_no", F.posexplode(pretokens(F.col("piece"))).alias("tok_no", "token"))
-            .withColumn("salt", F.pmod(F.xxhash64("id", "piece_no", "tok_no"), F.lit(salts)).cast("int")))
+    raw = (pieces.where(~is_special)
+           .select("id", "piece_no", F.posexplode(pretokens(F.col("piece"))).alias("tok_no", "token"))
+           .withColumn("salt", F.pmod(F.xxhash64("id", "piece_no", "tok_no"), F.lit(salts)).cast("int")))
     n_parts = spark.conf.get("spark.sql.shuffle.partitions")
-    toks = toks.repartition(int(n_parts), "token", "salt")
+    toks = raw.repartition(int(n_parts), "token", "salt")
     bpe = _bpe_udf(spark, vocab)
-    table = toks.select("token").distinct().select("token", bpe(F.col("token")).alias("ids"))
+    # Distinct tokens from the unpartitioned rows: partial aggregation before the exchange.
+    table = raw.select("token").distinct().select("token", bpe(F.col("token")).alias("ids"))
     salted = table.select("token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     encoded = toks.join(salted, ["token", "salt"]).select("id", "piece_no", "tok_no", "ids")
     # One empty part per document, so documents without pieces (empty text) still get a row.
