@@ -28,6 +28,8 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Checkpoint files of iterative jobs (BPE rounds) are removed once their RDDs are collected.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
