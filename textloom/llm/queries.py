@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import best_fit_packing, jump_shards, text_density, token_store, warc_store
+from textloom.llm import (
+    best_fit_packing,
+    compression_toxicity,
+    jump_shards,
+    repetition,
+    simhash_pigeonring,
+    text_density,
+    token_store,
+    warc_store,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -15,9 +26,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package; a cluster gets it with --py-files."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,3 +75,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.document_shards(_table(spark, sf_dir, "documents"), n_shards=40)
+
+
+@_query
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    return compression_toxicity.score_documents(documents, compression_toxicity.fit(documents, _table(spark, sf_dir, "labels")))
+
+
+@_query
+def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pigeonring.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
