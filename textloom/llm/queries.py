@@ -15,6 +15,7 @@ from textloom.llm import (
     jump_shards,
     repetition,
     simhash_pigeonring,
+    suffix_family,
     text_density,
     token_store,
     warc_store,
@@ -91,3 +92,8 @@ def op4_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_pigeonring.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
+
+
+@_query
+def op7_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_family.removal_report(_table(spark, sf_dir, "documents"))
