@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textloom.llm import (
     best_fit_packing,
     compression_toxicity,
+    decontaminate,
     jump_shards,
     repetition,
     simhash_pigeonring,
@@ -97,3 +98,11 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_family.removal_report(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op3_simhash_windows"] = decontaminate.ORACLE_SQL
