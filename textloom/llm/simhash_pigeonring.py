@@ -206,9 +206,16 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, distance: int
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
-def deduplicate(documents: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component: that whose key is the component's id (of rows with that key, the first by content)."""
-    keep = near_duplicates(documents, shingle, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_key")).distinct()
-    kept = documents.join(keep, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-    return kept.dropDuplicates([key])
+def deduplicate(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One document of each component: that whose doc_id is the component's id; every column stays.
+
+    Of rows with equal doc_id one stays. Rows without a doc_id can't be told apart by it, and all stay.
+    """
+    near = near_duplicates(documents, shingle, distance)
+    keep = stage(near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+                 .select(F.col("doc_id").alias("_keep"), F.col("n").alias("_rows")), "kept-ids")
+    kept = documents.join(keep, documents["doc_id"] == keep["_keep"], "left").where(keep["_keep"].isNotNull() | documents["doc_id"].isNull())
+    if keep.where("_rows > 1").take(1):
+        once = kept.where(F.coalesce("_rows", F.lit(1)) == 1)
+        kept = once.unionByName(kept.where("_rows > 1").dropDuplicates(["_keep"]))
+    return kept.drop("_keep", "_rows")
