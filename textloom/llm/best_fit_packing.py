@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.staging import group_ranks, only, stage
-from textloom.llm.word_ids import encoder, slices
+from textloom.llm.word_ids import encoder, give_back, slices
 
 
 def piece_rows(documents: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
@@ -54,6 +54,7 @@ def piece_rows(documents: DataFrame, tokenizer: str, end_id: int, capacity: int)
                     [b.column("doc_id").take(pa.array(of + first)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.staging import only
-from textloom.llm.word_ids import encoder, slices
+from textloom.llm.word_ids import encoder, give_back, slices
 from textloom.session import fresh_path
 
 #: Keys per index bucket on average (a bucket is built and probed in one task), and per seed group.
@@ -103,8 +103,8 @@ def _bounds(documents: DataFrame, per_shard: int) -> np.ndarray:
     return np.unique(np.array(got, np.int64))
 
 
-def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, width: int = 2, per_shard: int = 4096) -> None:
-    """Write ``path/ids`` (payload files by shard), ``path/shards`` (totals) and ``path/index``.
+def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, width: int = 2, per_shard: int = 2048) -> None:
+    """Write ``path/ids`` (payload files by shard), ``path/keys`` (their records), ``path/shards`` (totals) and ``path/index``.
 
     ``width`` is the bytes of an id in the files: 2 for vocabularies up to 65,536, else 4.
     """
@@ -138,6 +138,7 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
                      pa.array(tie, pa.int64()).take(place), pa.array(np.diff(at) // width).cast(pa.int64()).take(place),
                      pa.array(values, pa.binary())],
                     ["shard", "kind", "doc_id", "tie", "size", "value"])
+        give_back()
 
     coded = rows.mapInArrow(encode, "shard int, kind byte, doc_id long, tie long, size long, value binary")
     (coded.repartition(len(bounds) + 1, "shard")
@@ -145,7 +146,8 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
      .select("shard", F.col("value").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", end_id.to_bytes(width, "little").decode("latin-1")).text(f"{path}/ids"))
 
-    keys = _scan(spark, path, width, with_crc=False)
+    _scan(spark, path, width, with_crc=False).write.parquet(f"{path}/keys")
+    keys = spark.read.parquet(f"{path}/keys")
     totals = keys.groupBy("shard").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     totals.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).write.parquet(f"{path}/shards")
@@ -212,16 +214,18 @@ def _scan(spark: SparkSession, path: str, width: int, with_crc: bool) -> DataFra
                     copy = pd.DataFrame({"k": key, "z": null}).groupby(["k", "z"]).cumcount().to_numpy(np.int64)
                     yield pa.RecordBatch.from_arrays(
                         [*common, pa.array(key.to_numpy(), mask=null), pa.array(copy)], ["shard", "offset", "n", "doc_id", "copy"])
+        give_back()
 
-    files = spark.read.format("binaryFile").schema(
-        "path string, modificationTime timestamp, length long, content binary, shard int").load(f"{path}/ids").select("shard", "content")
+    # The shard is taken from the path: an empty store has no partition folders to infer it from.
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/ids")
+             .select(F.regexp_extract("path", "/shard=([0-9]+)/", 1).cast("int").alias("shard"), "content").where("shard IS NOT NULL"))
     extra = "ids_crc32 long" if with_crc else "doc_id long, copy long"
     return files.mapInArrow(scan, f"shard int, offset long, n long, {extra}")
 
 
-def stored_keys(spark: SparkSession, path: str, width: int = 2) -> DataFrame:
-    """Keys of the store (doc_id, copy), from the files."""
-    return _scan(spark, path, width, with_crc=False).select("doc_id", "copy")
+def stored_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Keys of the store (doc_id, copy), as read from the files' records."""
+    return spark.read.parquet(f"{path}/keys").select("doc_id", "copy")
 
 
 def lookup(keys: DataFrame, path: str) -> DataFrame:

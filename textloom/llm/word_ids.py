@@ -2,14 +2,16 @@
 
 Tokenizers of the kind used here fold white space, lower-case, split a text by a pattern into pieces that
 never cross white space, and merge inside each piece. So the ids of a text are the ids of its ASCII
-white-space runs in order. A batch's runs are dictionary-encoded; distinct ones come from a cache or, if
-they are of Latin letters, from the file's own split pattern and a cache of merged pieces. Runs with other
-characters or a special token, and files of another kind, go through the whole tokenizer. The caches
-are bounded; what they haven't got is encoded again in each batch.
+white-space runs in order. A batch's runs are dictionary-encoded; distinct ones of Latin letters go through
+the file's own split pattern and a cache of merged pieces. Runs with other characters or a special token,
+and files of another kind, go through the whole tokenizer. The cache is bounded; pieces it hasn't got are
+merged again in each batch.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import os
 import re
@@ -21,9 +23,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Entries of the caches of words and of pieces; about 60 MB each in a worker.
-CACHE_WORDS = 300_000
-CACHE_PIECES = 300_000
+#: Entries of the cache of pieces; about 80 MB in a worker.
+CACHE_PIECES = 400_000
+#: Stands between the ids of two runs; no vocabulary is that large.
+BETWEEN = 0xFFFFFFFF
 #: Longer pieces aren't kept: a text without spaces is one piece.
 LONGEST_KEPT = 64
 #: Bytes of text handled at a time.
@@ -49,7 +52,7 @@ def _latin_class(kind: str) -> str:
 
 
 class PieceEncoder:
-    """``encode(texts) -> (ids, bounds)``; single words as little-endian unsigned 32-bit bytes."""
+    """``encode(texts) -> (ids, bounds)``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,15 +60,14 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         spec = json.loads(self.tokenizer.to_str())
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"\n": array("I", [BETWEEN]).tobytes()}
         self.letters = _byte_letters()
         self.specials = [t["content"] for t in spec["added_tokens"]]
         self.find = self._splitter(spec)
 
     @staticmethod
     def _splitter(spec: dict):
-        """findall() of the file's split pattern over lower-cased Latin text; None if the file is of another kind."""
+        """findall() of the file's split pattern, or a line end, over lower-cased Latin text; None if the file is of another kind."""
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
         norms = [n["type"] for n in (spec.get("normalizer") or {}).get("normalizers") or []]
         if norms != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"]:
@@ -76,7 +78,7 @@ class PieceEncoder:
         white = "\t\n\x0b\x0c\r \x85\xa0"
         pattern = (first["pattern"]["Regex"].replace(r"\p{L}", _latin_class("L"))
                    .replace(r"\p{N}", _latin_class("N")).replace(r"\s", white))
-        return re.compile(pattern).findall
+        return re.compile(pattern + "|\n").findall
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
@@ -90,28 +92,29 @@ class PieceEncoder:
             self.pieces.update((p, v) for p, v in new.items() if len(p) <= LONGEST_KEPT)
         return new
 
-    def _latin(self, texts: list[str]) -> list[bytes]:
-        get, find = self.pieces.get, self.find
-        found = [find(t.lower()) for t in texts]
-        got = [list(map(get, f)) for f in found]
-        open_ = [i for i, g in enumerate(got) if None in g]
-        if open_:
-            new = self._learn({p for i in open_ for p, v in zip(found[i], got[i], strict=True) if v is None})
-            for i in open_:
-                got[i] = [new[p] if v is None else v for p, v in zip(found[i], got[i], strict=True)]
-        return list(map(b"".join, got))
-
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of white-space runs."""
-        out: list = [None] * len(words)
+    def _latin(self, words: list[str]) -> pa.Array:
+        """Ids of each Latin white-space run, as bytes: all runs are split in one pass, a line each."""
+        found = self.find("\n".join(words).lower())
+        got = list(map(self.pieces.get, found))
+        missing = {p for p, v in zip(found, got, strict=True) if v is None}
+        if missing:
+            new = self._learn(missing)
+            got = [new[p] if v is None else v for p, v in zip(found, got, strict=True)]
+        ids = np.frombuffer(b"".join(got), "<u4")
+        marks = ids == BETWEEN
+        ends = np.append(np.flatnonzero(marks) - np.arange(len(words) - 1), len(ids) - len(words) + 1)
+        bounds = np.concatenate([[0], 4 * ends])
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(words), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(ids[~marks].tobytes())])
+
+    def _words(self, words: list[str]) -> pa.Array:
+        """Ids of each white-space run, as bytes."""
         other = [i for i, w in enumerate(words) if not w.isascii() and NOT_LATIN.search(w) or "<" in w and any(s in w for s in self.specials)]
-        if other:
-            for i, ids in zip(other, self._plain([words[i] for i in other]), strict=True):
-                out[i] = ids
-        latin = [i for i, v in enumerate(out) if v is None]
-        for i, ids in zip(latin, self._latin([words[i] for i in latin]), strict=True):
-            out[i] = ids
-        return out
+        if not other:
+            return self._latin(words)
+        plain = dict(zip(other, self._plain([words[i] for i in other]), strict=True))
+        latin = self._latin(["" if i in plain else w for i, w in enumerate(words)]).to_pylist()
+        return pa.array([plain.get(i, v) for i, v in enumerate(latin)], pa.large_binary())
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, where each text's ids begin and the last end). Null is empty."""
@@ -123,20 +126,18 @@ class PieceEncoder:
         runs = pc.ascii_split_whitespace(texts)
         first = runs.offsets.to_numpy().astype(np.int64)
         coded = runs.values.slice(first[0], first[-1] - first[0]).dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        ids = list(map(self.words.get, words))
-        missing = [i for i, v in enumerate(ids) if v is None]
-        if missing:
-            found = self._words([words[i] for i in missing])
-            for i, v in zip(missing, found, strict=True):
-                ids[i] = v
-            room = max(CACHE_WORDS - len(self.words), 0)
-            self.words.update([(words[i], v) for i, v in zip(missing[:room], found, strict=False) if len(words[i]) <= LONGEST_KEPT])
-        table = pa.array(ids, pa.large_binary())
+        if not len(coded):
+            return np.zeros(0, "<u4"), first * 0
+        collecting = gc.isenabled()
+        gc.disable()  # millions of short-lived objects and no cycles
+        try:
+            table = self._words(coded.dictionary.to_pylist())
+        finally:
+            if collecting:
+                gc.enable()
         taken = table.take(coded.indices)
         at = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1, taken.offset * 8)
-        data = taken.buffers()[2]
-        flat = np.frombuffer(data, "<u4", at[-1] // 4) if data is not None and at[-1] else np.zeros(0, "<u4")
+        flat = np.frombuffer(taken.buffers()[2], "<u4", at[-1] // 4) if at[-1] else np.zeros(0, "<u4")
         return flat, at[first - first[0]] // 4
 
 
@@ -147,6 +148,15 @@ def encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker is kept for later stages that need none of it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: it keeps what it has
+        pass
+
+
 def slices(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, pa.Array]]:
     """(first row, rows) of slices of about ``limit`` bytes of text; at least a row each."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
