@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the driver notice which shuffles and broadcasts nothing refers to any more, so that their files go now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def only(df: DataFrame, *cols: str) -> DataFrame:
     """The named columns, found exactly even if ``df`` has others that differ only in case."""
     by_name = {c: i for i, c in enumerate(df.columns)}

@@ -14,9 +14,8 @@ are candidates. The array then becomes a level, and levels of equal size merge u
 batches make at most log2(n) + 1 levels and each suffix is rewritten log2(n) times at most.
 
 Matches. A picked suffix stands for a run of windows. Runs with equal bytes throughout (by two independent 64-bit hashes)
-repeat as a whole. A run that only begins or ends inside a repeat is settled by its own bytes: first by the
-``GRAM`` bytes with half of the rest on either side, which any repeated window must hold, and then, for
-the few runs left, window by window.
+repeat as a whole. A run that only begins or ends inside a repeat is settled by its own bytes: first ``RANGE`` windows at
+a time, by all their bytes and by those they share, and then, where the shared bytes repeat but not all, window by window.
 
 Counts are combined before each shuffle and joined back on the key, so a passage that a third of all texts hold
 costs each task one row per key. Equal texts are one text with a count. Nothing of the data's size reaches the driver.
@@ -38,15 +37,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from textloom.llm.staging import drop_path, stage
+from textloom.llm.staging import drop_path, release, stage
 from textloom.session import fresh_path
 
 #: Shortest repeat that is removed, and bytes of a sampled suffix's key.
 LENGTH = 200
 GRAM = 64
 WINDOWS = LENGTH - GRAM + 1
-#: A window that holds a gram also holds this many more bytes on one of its sides.
-HALF = (LENGTH - GRAM) // 2
+#: Windows of a run are compared this many at a time before they are compared one by one.
+RANGE = 16
 #: Bytes of text hashed at a time; places in a chunk take POSITION_BITS bits.
 CHUNK = 1 << 20
 POSITION_BITS = 22
@@ -205,7 +204,7 @@ class SuffixFamily:
 
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Insert a batch (kh, t, at; bucketed by kh); returns the keys it has twice or shares with a level."""
-        array = suffixes.groupBy("kh").agg(F.min(F.struct("t", "at")).alias("place"), F.count(F.lit(1)).alias("n"))
+        array = suffixes.groupBy("kh").agg(F.first("t").alias("t"), F.first("at").alias("at"), F.count(F.lit(1)).alias("n"))
         name, path = self.table(array, "array")
         scan = self.spark.table(name).select("kh", "n")
         found = F.col("n") > 1
@@ -222,7 +221,7 @@ class SuffixFamily:
         (size, new, new_path), (_, old, old_path) = self.levels.pop(), self.levels.pop()
         a, b = self.spark.table(old).alias("a"), self.spark.table(new).alias("b")
         both = a.join(b, F.col("a.kh") == F.col("b.kh"), "full").select(
-            F.coalesce("a.kh", "b.kh").alias("kh"), F.coalesce("a.place", "b.place").alias("place"),
+            F.coalesce("a.kh", "b.kh").alias("kh"), F.coalesce("a.t", "b.t").alias("t"), F.coalesce("a.at", "b.at").alias("at"),
             (F.coalesce("a.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n"))
         name, path = self.table(both, "array")
         self.levels.append((2 * size, name, path))
@@ -296,41 +295,54 @@ def _parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield b.slice(at, 2048)
 
 
-def _half_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key of the gram with the bytes before it, and with those after it, of each run that has such windows."""
+def _range_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each range of windows of each run: hash of the bytes all of the range's windows share, and of all its bytes."""
     for whole in batches:
         for b in _parts(whole):
             data, base, c = _joined(b)
             if not len(data):
                 continue
+            origin = c["at"] - (LENGTH - GRAM)  # of the first window that can hold the gram
+            low, high = (c["lo"] - origin) // RANGE, (c["hi"] - origin) // RANGE
+            n = high - low + 1
+            of = np.repeat(np.arange(len(n)), n)
+            number = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + low[of]
+            first = origin[of] + number * RANGE
+            last = np.minimum(first + RANGE - 1, c["at"][of])
+            shift = base[of] - c["lo"][of]
+            full = (first >= c["lo"][of]) & (last <= c["hi"][of])
             with np.errstate(over="ignore"):
-                roll = _Rolling(data, 0)
-                at = base + c["at"] - c["lo"]
-                for side, has, start, stop in ((0, c["at"] - c["lo"] >= HALF, at - HALF, at + GRAM), (1, c["hi"] >= c["at"] - HALF, at, at + GRAM + HALF)):
-                    i = np.flatnonzero(has)
-                    key = _mixed(roll.between(start[i], stop[i]) + np.uint64(side))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(c["t"][i]), pa.array(c["at"][i]), pa.array(c["lo"][i]), pa.array(np.full(len(i), side, np.int8))],
-                        ["key", "t", "at", "lo", "side"])
+                roll = _Rolling(data, 1)
+                core = roll.between(shift + last, shift + first + LENGTH)
+                # A range that the run holds only a part of is a class of its own.
+                own = _mixed(_mixed(c["t"][of].view(np.uint64)) + c["at"][of].astype(np.uint64) * np.uint64(2) + np.uint64(1)) + c["lo"][of].astype(np.uint64)
+                every = roll.between(np.where(full, shift + first, 0), np.where(full, shift + last + LENGTH, 0))
+                every = np.where(full, every, own)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c["kh"][of]), pa.array(number), pa.array(core.view(np.int64)), pa.array(every.view(np.int64)), pa.array(c["t"][of]), pa.array(c["at"][of]),
+                 pa.array(c["lo"][of]), pa.array(np.maximum(first, c["lo"][of])), pa.array(np.minimum(last, c["hi"][of])), pa.array(c["need"][of])],
+                ["kh", "range", "core", "every", "t", "at", "lo", "first", "last", "need"])
 
 
 def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Both hashes of each window on the sides of a run that may repeat."""
+    """Both hashes of each window of the ranges that may repeat in part."""
     for whole in batches:
         for b in _parts(whole):
-            data, base, c = _joined(b)
-            if not len(data):
+            if not len(b):
                 continue
-            middle = c["at"] - HALF
-            first = np.where(c["before"], c["lo"], np.maximum(c["lo"], middle))
-            last = np.where(c["after"], c["hi"], np.minimum(c["hi"], middle))
-            n = np.maximum(last - first + 1, 0)
-            of = np.repeat(np.arange(len(n)), n)
-            p = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + first[of]
-            start = base[of] + p - c["lo"][of]
+            data, base, c = _joined(b.drop_columns(["ranges"]))
+            ranges = b.column("ranges")
+            of = np.repeat(np.arange(len(b)), ranges.value_lengths().to_numpy())
+            inner = ranges.flatten()
+            first, last = inner.field("first").to_numpy(), inner.field("last").to_numpy()
+            need = inner.field("need").to_numpy(zero_copy_only=False)
+            n = last - first + 1
+            back = np.repeat(np.arange(len(n)), n)
+            p = np.arange(len(back)) - np.repeat(np.cumsum(n) - n, n) + first[back]
+            start = base[of[back]] + p - c["lo"][of[back]]
             with np.errstate(over="ignore"):
                 one, two = (_Rolling(data, s).between(start, start + LENGTH).view(np.int64) for s in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(c["t"][of]), pa.array(p), pa.array(c["need"][of])],
+            yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(c["t"][of[back]]), pa.array(p), pa.array(need[back])],
                                              ["w1", "w2", "t", "p", "need"])
 
 
@@ -341,22 +353,34 @@ def repeated_spans(documents: DataFrame, text: str = "text", batches: int = 3) -
     """
     rows, copies, seed = _texts(documents, text)
     found = candidates(rows, batches)
-    classes = stage(found.groupBy("kh", "sh").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("t", "at", "lo", "hi")).alias("first")), "classes")
+    release(rows.sparkSession)
+    first = [F.first(c).alias(c) for c in ("t", "at", "lo", "hi")]
+    classes = stage(found.groupBy("kh", "sh").agg(F.count(F.lit(1)).alias("n"), *first), "classes")
     same = classes.where("n > 1").select("kh", "sh")
     whole = found.join(same, ["kh", "sh"]).select("t", F.col("lo").alias("start"), (F.col("hi") + LENGTH).alias("stop"))
 
     # Runs without an equal one, and one of each equal class they may share a part with.
     groups = classes.groupBy("kh").agg(F.count(F.lit(1)).alias("classes"), F.min("n").alias("least")).where("classes > 1 AND least = 1").select("kh")
-    runs = classes.join(groups, "kh").select("kh", "first.*", (F.col("n") == 1).alias("need"))
+    runs = classes.join(groups, "kh").select("kh", "t", "at", "lo", "hi", (F.col("n") == 1).alias("need"))
     by_text = runs.groupBy("t").agg(F.collect_list(F.struct("at", "lo", "hi", "kh", "need")).alias("runs"))
     context = stage(rows.join(by_text, "t").mapInArrow(_contexts, "t long, at long, lo long, hi long, kh long, need boolean, bytes binary")
                     .dropDuplicates(["t", "at", "lo"]), "contexts")
-    halves = context.mapInArrow(_half_rows, "key long, t long, at long, lo long, side byte")
-    twice = halves.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    sides = halves.join(twice, "key").groupBy("t", "at", "lo").agg(F.max(F.col("side") == 0).alias("before"), F.max(F.col("side") == 1).alias("after"))
-    windows = stage(context.join(sides, ["t", "at", "lo"]).mapInArrow(_window_rows, "w1 long, w2 long, t long, p long, need boolean"), "windows")
+    ranges = stage(context.mapInArrow(_range_rows, "kh long, range long, core long, every long, t long, at long, lo long, first long, last long, need boolean"), "ranges")
+    by_bytes = ranges.groupBy("kh", "range", "core", "every").agg(
+        F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in ("t", "at", "lo", "first", "last", "need")])
+    parts = stage(by_bytes, "parts")
+    # Ranges with equal bytes throughout repeat as a whole.
+    equal_ranges = parts.where("n > 1").select("kh", "range", "core", "every")
+    mostly = ranges.where("need").join(equal_ranges, ["kh", "range", "core", "every"]).select("t", F.col("first").alias("start"), (F.col("last") + LENGTH).alias("stop"))
+    # Ranges that share their core but not all bytes: one of each kind, window by window.
+    mixed = parts.groupBy("kh", "range", "core").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("kh", "range", "core")
+    asked = (parts.join(mixed, ["kh", "range", "core"])
+             .groupBy("t", "at", "lo").agg(F.collect_list(F.struct("first", "last", (F.col("need") & (F.col("n") == 1)).alias("need"))).alias("ranges")))
+    windows = stage(context.select("t", "at", "lo", "bytes").join(asked, ["t", "at", "lo"])
+                    .mapInArrow(_window_rows, "w1 long, w2 long, t long, p long, need boolean"), "windows")
+    release(rows.sparkSession)
     equal = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("w1", "w2")
-    partly = windows.where("need").join(equal, ["w1", "w2"]).select("t", F.col("p").alias("start"), (F.col("p") + LENGTH).alias("stop"))
+    partly = windows.where("need").join(equal, ["w1", "w2"]).select("t", F.col("p").alias("start"), (F.col("p") + LENGTH).alias("stop")).union(mostly)
 
     copied = copies.where("copies > 1").select("t", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
     spans = whole.union(partly).union(copied).groupBy("t").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
