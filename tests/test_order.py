@@ -37,18 +37,52 @@ def test_split_matches_full_sort_and_ignores_partitioning(spark):
 
 
 def test_kth_key_refines_large_buckets(spark, monkeypatch):
-    monkeypatch.setattr(order, "_SMALL_BUCKET", 3)
+    monkeypatch.setattr(order, "BUCKET_ROWS", 3)
     df = order.with_shuffle_key(spark.range(3000).select(F.lit("x").alias("source"), "id"))
     ordered = df.orderBy("key", "source", "id").collect()
     for k in (1, 2, 777, 3000):
         assert order.kth_smallest_by_key(df, k) == tuple(ordered[k - 1][c] for c in ("key", "source", "id"))
 
 
-def test_first_n_by_id_sparse_and_duplicated_ids(spark, monkeypatch):
-    monkeypatch.setattr(order, "_SMALL_BUCKET", 5)
+def test_first_n_ids_sparse_and_duplicated(spark):
     ids = [i * i for i in range(400)] * 2  # sparse, each id twice (turn rows of one conversation)
     df = spark.createDataFrame([(i,) for i in ids], "id long")
     for n in (1, 7, 123, 399, 400, 1000):
-        got = sorted({r.id for r in order.first_n_by_id(df, n).collect()})
+        got = sorted({r.id for r in order.first_n_ids(df, n).collect()})
         assert got == sorted(set(ids))[:n]
-    assert order.first_n_by_id(df, 0).count() == 0
+    assert order.first_n_ids(df, 0).count() == 0
+
+
+def test_first_n_rows_are_n_rows(spark):
+    repeated = spark.createDataFrame([(i % 5, f"t{i}") for i in range(20)], "id long, text string")
+    assert order.first_n_rows(repeated, 4).count() == 4
+    assert {r.id for r in order.first_n_rows(repeated, 4).collect()} == {0}
+    assert sorted(r.id for r in order.first_n_rows(repeated, 6).collect()) == [0, 0, 0, 0, 1, 1]
+    half_null = spark.createDataFrame([(i if i < 10 else None, f"t{i}") for i in range(20)], "id long, text string")
+    assert order.first_n_rows(half_null, 100).count() == 20
+    assert order.first_n_rows(half_null, 12).where("id is null").count() == 2
+    assert order.first_n_rows(half_null.where("id is null"), 3).count() == 3
+    named = spark.createDataFrame([(f"u{i:02d}", "t") for i in range(20)], "id string, text string")
+    assert sorted(r.id for r in order.first_n_rows(named, 10).collect()) == [f"u{i:02d}" for i in range(10)]
+    assert order.first_n_rows(named, None).count() == 20 and order.first_n_rows(named, 0).count() == 0
+
+
+def test_split_with_null_ids(spark):
+    df = spark.createDataFrame([("s", i if i % 3 else None, "t") for i in range(100)], "source string, id long, text string")
+    split, n_valid, n = order.holdout_split(order.with_shuffle_key(df), 0.5)
+    assert (n_valid, n) == (50, 100)
+    assert split.where("split = 'valid'").count() in range(50, 85)  # rows that agree in key, source and id stay together
+
+
+def test_written_splits_are_in_shuffle_order(spark, tmp_path):
+    from textloom.sources.sinks import write_splits, written_order
+
+    df = order.with_shuffle_key(spark.range(20_000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("source"), "id", F.col("id").cast("string").alias("text")))
+    split, n_valid, _ = order.holdout_split(df, 0.05)
+    write_splits(order.range_ordered(split, lead=("split",)), str(tmp_path / "out"), ["text"], n_valid)
+    got = {}
+    for r in written_order(spark, str(tmp_path / "out"), ["split"]).orderBy("split", "row_no").collect():
+        got.setdefault(r.split, []).append(r.value)
+    for part in ("train", "valid"):
+        want = [f'{{"text":"{r.id}"}}' for r in split.where(F.col("split") == part).orderBy("key", "source", "id").collect()]
+        assert got[part] == want

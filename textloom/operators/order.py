@@ -3,18 +3,22 @@
 A DataFrame has no order, so "shuffle then take the first k" becomes: give every
 row a deterministic key (md5 of seed, source and id), find the k-th smallest key
 exactly, and filter ``key <= cutoff``.  The cutoff is found from small histograms
-(at most 65,536 buckets per pass) plus one bounded sort of a single bucket, so no
-step runs a global sort or a single-task window, and the result does not depend
-on partitioning.
+(at most 65,536 buckets per pass) that are refined until a bucket has at most
+``BUCKET_ROWS`` rows or a single key, so no step runs a global sort or a single-task
+window, and the result does not depend on partitioning.  Nulls sort first.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bucket at most this large is sorted directly (one bounded TakeOrdered).
-_SMALL_BUCKET = 200_000
+from textloom.session import materialize
+
+# Histograms are refined down to buckets of at most this many rows; the driver sees no more of them.
+BUCKET_ROWS = 4_096
+# Rows per file of a written shuffled set.
+ROWS_PER_FILE = 250_000
 _HEX_STEP = 4  # hex digits per histogram level -> 65,536 buckets
 
 
@@ -22,7 +26,7 @@ def seeded_key(seed: int, source: Column | str, id_col: Column | str) -> Column:
     """L4: md5 hex of ``'{seed}:{source}:{id}'``; identical in Spark and DuckDB."""
     source = F.col(source) if isinstance(source, str) else source
     id_col = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.md5(F.concat(F.lit(f"{seed}:"), source, F.lit(":"), id_col.cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), source, F.lit(":"), F.coalesce(id_col.cast("string"), F.lit("None"))))
 
 
 def with_shuffle_key(df: DataFrame, seed: int = 42, source: str = "source", id_col: str = "id",
@@ -31,12 +35,17 @@ def with_shuffle_key(df: DataFrame, seed: int = 42, source: str = "source", id_c
 
 
 def _tuple_le(cols: list[str], values: tuple) -> Column:
-    """Lexicographic ``(cols) <= values`` as a plain boolean expression (pushable)."""
+    """Lexicographic ``(cols) <= values``, nulls first, as a plain boolean expression."""
     expr = None
     for c, v in reversed(list(zip(cols, values))):
-        le = F.col(c) <= F.lit(v) if expr is None else (F.col(c) < F.lit(v)) | ((F.col(c) == F.lit(v)) & expr)
-        expr = le
-    return expr
+        col, none = F.col(c), F.col(c).isNull()
+        if v is None:
+            expr = none if expr is None else none & expr
+        elif expr is None:
+            expr = none | (col <= F.lit(v))
+        else:
+            expr = none | (col < F.lit(v)) | ((col == F.lit(v)) & expr)
+    return F.coalesce(expr, F.lit(False))
 
 
 def kth_smallest_by_key(df: DataFrame, k: int, key: str = "key",
@@ -44,7 +53,7 @@ def kth_smallest_by_key(df: DataFrame, k: int, key: str = "key",
     """The k-th smallest (key, *tiebreak) tuple (1-based), or None when k <= 0.
 
     ``key`` is a lowercase hex string (md5); rows are bucketed by hex prefix and the
-    bucket holding rank k is refined until it is small, then sorted.
+    bucket holding rank k is refined; rows that agree in the whole tuple count as one entry with a number.
     """
     if k <= 0:
         return None
@@ -62,50 +71,43 @@ def kth_smallest_by_key(df: DataFrame, k: int, key: str = "key",
                 break
             rank -= n
         cond = cond & (b == F.lit(bucket))
-        if n <= _SMALL_BUCKET or plen >= 32:
-            rows = df.filter(cond).select(*cols).orderBy(*cols).limit(rank).collect()
-            return tuple(rows[-1])
+        if n <= BUCKET_ROWS or plen >= 32:
+            entries = df.filter(cond).groupBy(*cols).agg(F.count(F.lit(1)).alias("_n")).orderBy(*cols).collect()
+            for row in entries:
+                if rank <= row["_n"]:
+                    return tuple(row)[:-1]
+                rank -= row["_n"]
         plen += _HEX_STEP
 
 
-def kth_smallest_id(df: DataFrame, k: int, id_col: str = "id") -> int | None:
-    """The k-th smallest distinct integer id (1-based); None if k <= 0, max id if k >= n."""
+def kth_smallest_id(df: DataFrame, k: int, id_col: str = "id", distinct: bool = True) -> int | None:
+    """The k-th smallest integer id (1-based), counting ids or rows; None if k <= 0, max id if k exceeds them."""
     if k <= 0:
         return None
     ids = df.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull())
     lo, hi, rows = ids.agg(F.min("id"), F.max("id"), F.count(F.lit(1))).first()
-    if lo is None:
-        return None
-    if rows <= k:  # rows >= distinct ids, so every id is within the first k
+    if lo is None or rows <= k:  # rows >= distinct ids, so every id is within the first k
         return hi
+    number = F.countDistinct("id") if distinct else F.count(F.lit(1))
     rank = k
     while True:
         width = max(1, -(-(hi - lo + 1) // 65_536))
         bucket = F.floor((F.col("id") - F.lit(lo)) / F.lit(width)).cast("long")
         part = ids.where((F.col("id") >= lo) & (F.col("id") <= hi))
-        hist = sorted(tuple(r) for r in part.groupBy(bucket.alias("b"))
-                      .agg(F.countDistinct("id").alias("n")).collect())
-        if not hist:
-            return None
-        chosen = None
+        hist = sorted(tuple(r) for r in part.groupBy(bucket.alias("b")).agg(number.alias("n")).collect())
         for b, n in hist:
             if rank <= n:
-                chosen = (b, n)
                 break
             rank -= n
-        if chosen is None:  # fewer distinct ids than k: everything qualifies
+        else:  # fewer than k: everything qualifies
             return hi
-        b, n = chosen
-        blo, bhi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
-        if n <= _SMALL_BUCKET or width == 1:
-            rows = (part.where((F.col("id") >= blo) & (F.col("id") <= bhi)).select("id").distinct()
-                    .orderBy("id").limit(rank).collect())
-            return rows[-1][0]
-        lo, hi = blo, bhi
+        lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
+        if lo == hi:
+            return lo
 
 
-def first_n_by_id(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
-    """L2: the first ``n`` distinct ids (``train[:n]``); n=None keeps everything.
+def first_n_ids(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
+    """L2 for tables with several rows per item (turns): all rows of the first ``n`` distinct integer ids.
 
     Becomes ``id <= cutoff``, which Catalyst pushes into the Parquet scan.
     """
@@ -114,7 +116,50 @@ def first_n_by_id(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame
     if n <= 0:
         return df.limit(0)
     cutoff = kth_smallest_id(df, n, id_col)
-    return df if cutoff is None else df.where(F.col(id_col) <= F.lit(cutoff))
+    return df.limit(0) if cutoff is None else df.where(F.col(id_col) <= F.lit(cutoff))
+
+
+def first_n_rows(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
+    """L2 for item tables: exactly the first ``n`` rows by id (``train[:n]``), or all if there are fewer.
+
+    Rows without an id come last. Integer ids are cut by ``id <= cutoff`` in the scan; rows of the cutoff id are
+    counted out in content order. Ids of other types are ranked over a written, range-sorted copy.
+    """
+    if n is None:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    col = F.col(id_col)
+    if dict(df.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):
+        return _ranked(df, [col.isNull(), col, F.xxhash64(*df.columns)]).where(F.col("_rank") < n).drop("_rank")
+    cutoff = kth_smallest_id(df, n, id_col, distinct=False)
+    if cutoff is None:  # no ids at all
+        return _ranked(df, [F.xxhash64(*df.columns)]).where(F.col("_rank") < n).drop("_rank")
+    below = df.where(col <= F.lit(cutoff))
+    have, at = below.agg(F.count(F.lit(1)), F.sum((col == F.lit(cutoff)).cast("long"))).first()
+    if have == n:
+        return below
+    if have < n:  # all ids, and rows without one
+        rest = _ranked(df.where(col.isNull()), [F.xxhash64(*df.columns)])
+        return below.unionByName(rest.where(F.col("_rank") < n - have).drop("_rank"))
+    ties = _ranked(df.where(col == F.lit(cutoff)), [F.xxhash64(*df.columns)])
+    return df.where(col < F.lit(cutoff)).unionByName(ties.where(F.col("_rank") < at - (have - n)).drop("_rank"))
+
+
+def _ranked(df: DataFrame, by: list[Column]) -> DataFrame:
+    """``_rank`` of each row in the order of ``by`` (0-based), from a written, range-sorted copy.
+
+    Each file is sorted and the files are in order, so a row's rank is its place in its file plus the rows
+    of the files before: a table with one row per file, never a single-task sort.
+    """
+    keyed = df.select("*", *[c.alias(f"_by{i}") for i, c in enumerate(by)])
+    names = [f"_by{i}" for i in range(len(by))]
+    done = materialize(keyed.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names), "ranked")
+    task = F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]+)", 1).cast("long")
+    at = done.select("*", task.alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = at.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return at.join(offsets, "_file").withColumn("_rank", F.col("_off") + F.col("_row")).drop("_file", "_row", "_off")
 
 
 def holdout_count(n: int, ratio: float = 0.05, at_least_one: bool = False) -> int:
@@ -164,10 +209,13 @@ def counts_by_split(df: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def range_ordered(df: DataFrame, key: str = "key", tiebreak: tuple[str, ...] = ("source", "id"),
-                  partitions: int | None = None) -> DataFrame:
+                  rows: int | None = None, lead: tuple[str, ...] = ()) -> DataFrame:
     """Physical layout for writing a shuffled set: range partitions on the key, sorted inside.
 
-    Files part-00000, part-00001, ... then hold the rows in global key order.
+    Files part-00000, part-00001, ... then hold the rows in global key order. For a set that is written with
+    ``partitionBy(lead)``, name those columns: the writer needs its rows sorted by them, and would put a sort of its own
+    in place of this one. ``rows`` (counted if not given) sets the number of files.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartitionByRange(n, key, *tiebreak).sortWithinPartitions(key, *tiebreak)
+    n = df.count() if rows is None else rows
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-n // ROWS_PER_FILE))
+    return df.repartitionByRange(parts, key, *tiebreak).sortWithinPartitions(*lead, key, *tiebreak)

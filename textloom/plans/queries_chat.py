@@ -12,7 +12,8 @@ from textloom.operators.mix import (chatml_budgets, counts_by_source, mix_source
                                     running_load_totals)
 from textloom.plans.registry import query
 from textloom.plans.sql_snippets import KNOWN_ROLES, NL, chat_cte, holdout_sql, key_sql, web_cte
-from textloom.session import materialize
+from textloom.session import fresh_path, materialize
+from textloom.sources.sinks import write_jsonl, write_splits, written_order
 from textloom.sources.tables import role_chat_source, standard_sources, table_path, tolerant_load
 
 # Reference defaults (job parameters, fixed values).
@@ -209,7 +210,7 @@ def prefix_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: first N documents by id, N = half the table (so the cut is exercised at any scale)."""
     docs = spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text")
     n = docs.count() // 2
-    return order.first_n_by_id(docs, n)
+    return order.first_n_rows(docs, n)
 
 
 # ---------------------------------------------------------------- splits
@@ -235,6 +236,31 @@ def mix_chatml(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chatml_cli(spark, sf_dir).select("source", "id", "key", "split", "text")
 
 
+_AS_WRITTEN = "row_number() OVER ({part}ORDER BY key, source, id) AS row_no"
+
+
+@query("split_files_order",
+       f"SELECT split, {_AS_WRITTEN.format(part='PARTITION BY split ')}, source, text FROM ({_chatml_cli_sql('*')}) t")
+def split_files_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 + L4: the written train and valid files, read back in file order."""
+    path = fresh_path(spark, "chatml-files")
+    split = _chatml_cli(spark, sf_dir)
+    write_splits(order.range_ordered(split, lead=("split",)), path, ["text", "source"], 1)
+    line = F.from_json("value", "text string, source string")
+    return written_order(spark, path, ["split"]).select("split", "row_no", line["source"].alias("source"), line["text"].alias("text"))
+
+
+@query("mix_files_order",
+       f"SELECT {_AS_WRITTEN.format(part='')}, source, text FROM (SELECT *, {key_sql()} AS key FROM ({_pretrain_sql('source, id, text')}) m) k")
+def mix_files_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + L4: the written pretraining mix, read back in file order."""
+    path = fresh_path(spark, "mix-files")
+    mix = materialize(order.with_shuffle_key(mix_sources(spark, standard_sources(spark, sf_dir), pretrain_budgets(), "raw"), SEED), "mix")
+    write_jsonl(order.range_ordered(mix), path, ["text", "source"])
+    line = F.from_json("value", "text string, source string")
+    return written_order(spark, path).select("row_no", line["source"].alias("source"), line["text"].alias("text"))
+
+
 @query("counts_by_split",
        f"WITH s AS ({_chatml_cli_sql('split')}), names(split) AS (VALUES ('train'), ('valid')) "
        "SELECT names.split, CAST(count(s.split) AS BIGINT) AS n FROM names LEFT JOIN s ON s.split = names.split "

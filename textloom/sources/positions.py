@@ -14,18 +14,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def read_positioned(spark: SparkSession, paths: str | list[str], line_sep: str | None = None) -> DataFrame:
-    """Text scan -> ``(file, block, seq, file_size, value)``; ``line_sep`` None = \\n, \\r\\n or \\r."""
+#: Names of files that the text reader decompresses; their size on disk isn't that of their text.
+_COMPRESSED = r"\.(gz|gzip|bz2|zst|zstd|lz4|snappy|deflate|xz)$"
+
+
+def read_positioned(spark: SparkSession, paths: str | list[str], line_sep: str | None = None,
+                    by_size: bool = False, extra: list[str] | None = None) -> DataFrame:
+    """Text scan -> ``(file, block, seq, file_size, value)``; ``line_sep`` None = \\n, \\r\\n or \\r.
+
+    ``extra``: partition columns to keep. ``by_size``: the caller compares text with ``file_size``; a compressed file is then an error.
+    """
     reader = spark.read.format("text")
     if line_sep is not None:
         reader = reader.option("lineSep", line_sep)
     df = reader.load(paths)
+    file = F.col("_metadata.file_path")
+    if by_size:
+        file = F.when(file.rlike(_COMPRESSED), F.raise_error(F.concat(
+            F.lit("decompress this file first, its text is compared with its size: "), file))).otherwise(file)
     return df.select(
-        F.col("_metadata.file_path").alias("file"),
+        file.alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("seq"),
         F.col("_metadata.file_size").alias("file_size"),
         F.col("value"),
+        *(extra or []),
     )
 
 
@@ -42,3 +55,12 @@ def running_sums(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     local = base.select("*", *[F.sum(n).over(within).alias(f"{n}_run") for n in names])
     out = local.join(offsets, ["file", "block"])
     return out.select(*base.columns, *[(F.col(f"{n}_run") + F.col(f"{n}_off")).alias(f"{n}_cum") for n in names])
+
+
+def before_last(df: DataFrame, flag: str, number: str) -> DataFrame:
+    """Rows whose group ``number`` (flags before them in their file) is closed by a flagged row.
+
+    What follows the last flag of a file belongs to no group; it is dropped here, before anything is gathered.
+    """
+    closed = df.groupBy("file").agg(F.sum(flag).alias("_closed"))
+    return df.join(closed, "file").where(F.col(number) < F.col("_closed")).drop("_closed")
