@@ -75,8 +75,8 @@ class Vocabulary:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """K3: vocabulary and merges as Parquet tables under ``path``."""
-        self.vocab_frame(spark).write.mode("overwrite").parquet(f"{path}/vocab")
-        self.merges_frame(spark).write.mode("overwrite").parquet(f"{path}/merges")
+        self.vocab_frame(spark).write.parquet(f"{path}/vocab")
+        self.merges_frame(spark).write.parquet(f"{path}/merges")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Vocabulary":

@@ -1,141 +1,137 @@
 """Encoding and decoding with a learned vocabulary.
 
-Encoding is a Spark plan, not a per-document Python loop:
-
-1. special-token literals are cut out of the text first (longest first) and become
-   their ids;
-2. the remaining pieces are pre-tokenised (T1) and exploded with their positions;
-3. each *distinct* pre-token is merged once, by lowest merge rank, in a pandas UDF
-   that holds the merge table (bounded by the vocabulary size) as a broadcast;
-4. the ids are joined back (AQE splits hot tokens' partitions, or broadcasts the
-   table when its runtime size is small) and reassembled per document by
-   (piece, position); an empty part per document keeps empty texts without a join.
+Encoding is a map over the documents: no shuffle, one scan. Built-in expressions cut special tokens and
+pre-tokens out of a text in one pass of the pre-token pattern (T1), with the special-token literals as its
+first alternatives; an Arrow UDF then turns each document's array of pre-tokens into ids. It merges every
+distinct pre-token of a batch once, by lowest merge rank, and keeps a bounded cache in the worker. The merge
+table it holds is bounded by the vocabulary size. Decoding is built-in expressions only.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.bytelevel import byte_chars, char_bytes, pretokens
+from textloom.functions.bytelevel import PRETOKEN_PATTERN, byte_chars, char_bytes
 from textloom.operators.bpe import BOS, EOS, UNK, Vocabulary
 
-_SENTINEL = "\u0000"
-
-
-def split_specials(text: Column, specials: list[str]) -> Column:
-    """Pieces of the text with every special-token literal as its own piece (leftmost, longest)."""
-    alternation = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
-    marked = F.regexp_replace(text, f"({alternation})", f"{_SENTINEL}$1{_SENTINEL}")
-    return F.filter(F.split(marked, _SENTINEL, -1), lambda p: F.length(p) > 0)
-
-
-def _bpe_udf(spark, vocab: Vocabulary):
+#: Distinct pre-tokens a worker keeps the ids of.
+CACHE_TOKENS = 200_000
+#: Texts in one batch of pre-tokens.
+ROWS_PER_BATCH = 2_048
+
+_CACHES: dict[str, dict[str, list[int]]] = {}
+
+
+def text_pieces(text: Column, specials: list[str]) -> Column:
+    """Special tokens and pre-tokens of a text, in order (their concatenation is the text).
+
+    A special token is cut out wherever it starts, the longest first; the text between two of them is
+    pre-tokenised on its own, as the pattern sees no further than the next special token.
+    """
+    if not specials:
+        return F.regexp_extract_all(text, F.lit(PRETOKEN_PATTERN), 0)
+    special = "|".join(re.escape(s) for s in sorted(specials, key=len, reverse=True))
+    # Runs without a special token, or one special token; then the pre-tokens of each run.
+    runs = F.regexp_extract_all(text, F.lit(f"(?s)(?:{special})|(?:(?!{special}).)++"), 0)
+    alone = F.array(*[F.lit(s) for s in specials])
+    return F.flatten(F.transform(runs, lambda r: F.when(F.array_contains(alone, r), F.array(r)).otherwise(
+        F.regexp_extract_all(r, F.lit(PRETOKEN_PATTERN), 0))))
+
+
+def merge_token(token: str, first: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+    """Ids of one pre-token: its bytes, merged by the lowest rank first, leftmost of equal ranks."""
+    ids = [first[b] for b in token.encode()]
+    while len(ids) > 1:
+        hits = [(ranks[pair], i) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
+        if not hits:
+            break
+        (rank, new), _ = min(hits)
+        out, i = [], 0
+        while i < len(ids):
+            if ranks.get(tuple(ids[i:i + 2]), (None,))[0] == rank:
+                out.append(new)
+                i += 2
+            else:
+                out.append(ids[i])
+                i += 1
+        ids = out
+    return ids
+
+
+def _ids_udf(vocab: Vocabulary, specials: list[str]):
     ids = vocab.token_ids()
     unk = ids.get(UNK, 0)
     first = [ids.get(c, unk) for c in byte_chars()]
     ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(vocab.merges)}
-    bc = spark.sparkContext.broadcast((first, ranks))
-
-    @F.pandas_udf("array<int>")
-    def bpe(tokens: pd.Series) -> pd.Series:
-        first_ids, merge_ranks = bc.value
-
-        def word(tok: str) -> list[int]:
-            syms = [first_ids[b] for b in tok.encode("utf-8")]
-            while len(syms) > 1:
-                best = None
-                for i in range(len(syms) - 1):
-                    hit = merge_ranks.get((syms[i], syms[i + 1]))
-                    if hit is not None and (best is None or hit[0] < best[0]):
-                        best = hit
-                        pair = (syms[i], syms[i + 1])
-                if best is None:
-                    break
-                out, i = [], 0
-                while i < len(syms):
-                    if i + 1 < len(syms) and (syms[i], syms[i + 1]) == pair:
-                        out.append(best[1])
-                        i += 2
-                    else:
-                        out.append(syms[i])
-                        i += 1
-                syms = out
-            return syms
-
-        return tokens.map(word)
-
-    return bpe
+    fixed = {s: [ids[s]] for s in specials}
+    name = uuid.uuid4().hex  # of this vocabulary's cache in a worker
+
+    @F.arrow_udf("array<int>")
+    def to_ids(pieces: pa.Array) -> pa.Array:
+        cache = _CACHES.setdefault(name, {})
+        coded = pieces.flatten().dictionary_encode()
+        table = []
+        for token in coded.dictionary.to_pylist():
+            got = fixed.get(token) or cache.get(token)
+            if got is None:
+                got = merge_token(token, first, ranks)
+                if len(cache) < CACHE_TOKENS:
+                    cache[token] = got
+            table.append(got)
+        lengths = pa.array(table, pa.list_(pa.int32()))
+        taken = lengths.take(coded.indices)
+        bounds = taken.offsets.to_numpy().astype(np.int64)
+        counts = np.array([n or 0 for n in pieces.value_lengths().to_pylist()], np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        offsets = pa.array(bounds[ends] - bounds[0], pa.int32(), mask=np.append(pieces.is_null().to_numpy(zero_copy_only=False), False))
+        return pa.ListArray.from_arrays(offsets, taken.flatten())
+
+    return to_ids
+
+
+def id_column(text: Column, vocab: Vocabulary, add_special_tokens: bool = True) -> Column:
+    """Ids of a text column as ``ARRAY<INT>``; with ``<s> ... </s>`` around by default. Null text is empty."""
+    ids = vocab.token_ids()
+    specials = [s for s in vocab.specials if s in ids]
+    body = _ids_udf(vocab, specials)(text_pieces(F.coalesce(text, F.lit("")), specials))
+    if not add_special_tokens:
+        return body
+    return F.concat(F.array(F.lit(ids[BOS])), body, F.array(F.lit(ids[EOS])))
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, id_col: str = "id", text_col: str = "text",
-           add_special_tokens: bool = True, salts: int = 16) -> DataFrame:
-    """T7 + T8: ``(id, ids ARRAY<INT>)``; with ``<s> ... </s>`` around when ``add_special_tokens``."""
-    spark = docs.sparkSession
-    ids = vocab.token_ids()
-    specials = [s for s in vocab.specials if s in ids]
-    special_map = F.create_map(*[x for s in specials for x in (F.lit(s), F.lit(ids[s]))])
-    pieces = docs.select(F.col(id_col).alias("id"),
-                         F.posexplode(split_specials(F.col(text_col), specials)).alias("piece_no", "piece"))
-    is_special = special_map[F.col("piece")].isNotNull()
-    special_rows = pieces.where(is_special).select(
-        "id", "piece_no", F.lit(0).alias("tok_no"), F.array(special_map[F.col("piece")]).alias("ids"))
-    # Pre-tokens are spread over (token, salt) partitions in one shuffle: a hot token is
-    # split over ``salts`` tasks.  The distinct-token table, encoded once per token, is
-    # replicated once per salt (``explode``, not a join) so the join on (token, salt)
-    # needs no second shuffle of the pre-token rows.  (The pre-token regex runs in both
-    # branches; the distinct branch shuffles only partially aggregated rows.)
-    salts = max(1, int(salts))
-    raw = (pieces.where(~is_special)
-           .select("id", "piece_no", F.posexplode(pretokens(F.col("piece"))).alias("tok_no", "token"))
-           .withColumn("salt", F.pmod(F.xxhash64("id", "piece_no", "tok_no"), F.lit(salts)).cast("int")))
-    n_parts = spark.conf.get("spark.sql.shuffle.partitions")
-    toks = raw.repartition(int(n_parts), "token", "salt")
-    bpe = _bpe_udf(spark, vocab)
-    # Distinct tokens from the unpartitioned rows: partial aggregation before the exchange.
-    table = raw.select("token").distinct().select("token", bpe(F.col("token")).alias("ids"))
-    salted = table.select("token", "ids", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    encoded = toks.join(salted, ["token", "salt"]).select("id", "piece_no", "tok_no", "ids")
-    # One empty part per document, so documents without pieces (empty text) still get a row.
-    empty = docs.select(F.col(id_col).alias("id"), F.lit(-1).alias("piece_no"), F.lit(-1).alias("tok_no"),
-                        F.array().cast("array<int>").alias("ids"))
-    parts = encoded.unionByName(special_rows).unionByName(empty)
-    per_doc = parts.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "tok_no", "ids"))).alias("p"))
-    body = F.flatten(F.transform("p", lambda x: x["ids"]))
-    if add_special_tokens:
-        body = F.concat(F.array(F.lit(ids[BOS])), body, F.array(F.lit(ids[EOS])))
-    return per_doc.select("id", body.alias("ids"))
+           add_special_tokens: bool = True) -> DataFrame:
+    """T7 + T8: ``(id, ids ARRAY<INT>)``, one row per row of ``docs``."""
+    return docs.select(F.col(id_col).alias("id"), id_column(F.col(text_col), vocab, add_special_tokens).alias("ids"))
 
 
 def encode_pair(pairs: DataFrame, vocab: Vocabulary, id_col: str = "id") -> DataFrame:
     """``<s> A </s> <s> B </s>`` for columns ``a`` and ``b``."""
-    ids = vocab.token_ids()
-    a = encode(pairs.select(id_col, F.col("a").alias("text")), vocab, id_col, add_special_tokens=False)
-    b = encode(pairs.select(id_col, F.col("b").alias("text")), vocab, id_col, add_special_tokens=False)
-    bos, eos = F.array(F.lit(ids[BOS])), F.array(F.lit(ids[EOS]))
-    return (a.withColumnRenamed("ids", "a_ids").join(b.withColumnRenamed("ids", "b_ids"), "id")
-            .select("id", F.concat(bos, "a_ids", eos, bos, "b_ids", eos).alias("ids")))
-
+    both = F.concat(id_column(F.col("a"), vocab), id_column(F.col("b"), vocab))
+    return pairs.select(F.col(id_col).alias("id"), both.alias("ids"))
 
-def decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", skip_special_tokens: bool = True) -> Column:
-    """Ids -> text: tokens concatenated, printable characters mapped back to bytes, UTF-8
-    decoded (invalid sequences become U+FFFD); special tokens skipped by default."""
-    spark = encoded.sparkSession
-    bc = spark.sparkContext.broadcast((vocab.tokens, set(range(len(vocab.specials))), dict(char_bytes())))
-
-    @F.pandas_udf("string")
-    def dec(col: pd.Series) -> pd.Series:
-        tokens, special_ids, back = bc.value
 
-        def one(ids):
-            if ids is None:
-                return None
-            chars = "".join(tokens[i] for i in ids if not (skip_special_tokens and i in special_ids))
-            return bytes(back[c] for c in chars if c in back).decode("utf-8", errors="replace")
+def tokens_column(ids: Column, vocab: Vocabulary) -> Column:
+    """Token strings of an id array, as an encoder prints them."""
+    return F.transform(ids, lambda i: F.get(F.array(*[F.lit(t) for t in vocab.tokens]), i))
 
-        return col.map(one)
 
-    return dec(F.col(ids_col))
+def decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", skip_special_tokens: bool = True) -> Column:
+    """Ids -> text: the tokens' bytes concatenated and read as UTF-8 (invalid sequences become
+    U+FFFD); special tokens skipped by default, else their own text."""
+    back = char_bytes()
+    special = set(vocab.specials)
+
+    def bytes_of(token: str) -> str:
+        if token in special:
+            return "" if skip_special_tokens else token.encode().hex()
+        return "".join(f"{back[c]:02x}" for c in token)
+
+    table = F.array(*[F.lit(bytes_of(t)) for t in vocab.tokens])
+    return F.make_valid_utf8(F.unhex(F.array_join(F.transform(F.col(ids_col), lambda i: F.get(table, i)), "")).cast("string"))

@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.bytelevel import pretokens
+from textloom.functions.bytelevel import byte_symbols, pretokens
 from textloom.operators.bpe import SPECIALS_CLI, byte_alphabet, pretoken_counts
 from textloom.operators.encode import decode, encode, encode_pair
 from textloom.operators.windows import context_windows
 from textloom.plans.registry import query
 from textloom.plans.stages import vocabulary_stage
-from textloom.session import spread
 from textloom.sources.tables import table_path
 
 # Job parameters of the registered vocabulary (the reference default is 32,000; the
@@ -27,11 +26,11 @@ _DUCK_PRETOKENS = (
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text"))
+    return spark.read.parquet(table_path(sf_dir, "documents")).select(F.col("doc_id").alias("id"), "text")
 
 
 def _vocab(spark: SparkSession, sf_dir: str):
-    return vocabulary_stage(spark, f"documents@{sf_dir}", lambda: _docs(spark, sf_dir),
+    return vocabulary_stage(spark, [table_path(sf_dir, "documents")], lambda: _docs(spark, sf_dir),
                             QUERY_VOCAB_SIZE, MIN_FREQUENCY, SPECIALS_CLI)
 
 
@@ -40,7 +39,7 @@ def _vocab(spark: SparkSession, sf_dir: str):
        f"FROM (SELECT doc_id, {_DUCK_PRETOKENS} AS toks FROM documents) d) t")
 def pretokens_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level pre-tokens of every document with their positions."""
-    docs = spread(spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text"))
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(pretokens(F.col("text"))).alias("pos", "token")).select(
         "doc_id", F.col("pos").cast("long").alias("pos"), "token")
 
@@ -75,6 +74,24 @@ def byte_alphabet_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "token string, id int, kind string")
 
 
+_PAIRS_SQL = (
+    f"WITH toks AS (SELECT token, count(*) AS n FROM (SELECT unnest({_DUCK_PRETOKENS}) AS token FROM documents) t GROUP BY token), "
+    f"bytes AS (SELECT n, token, i, CAST(('0x' || substr(hex(encode(token)), 2 * i + 1, 2)) AS INTEGER) AS b "
+    f"FROM toks, range(0, 100000) r(i) WHERE i < octet_length(encode(token))), "
+    f"syms AS (SELECT n, token, i, {_BYTE_CHAR_SQL} AS s FROM bytes) "
+    f"SELECT a.s AS left_symbol, c.s AS right_symbol, CAST(sum(a.n) AS BIGINT) AS n FROM syms a JOIN syms c "
+    f"ON a.token = c.token AND c.i = a.i + 1 GROUP BY a.s, c.s")
+
+
+@query("pair_counts", _PAIRS_SQL)
+def pair_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4, first round: how often each pair of byte symbols is adjacent, over all pre-tokens."""
+    syms = pretoken_counts(_docs(spark, sf_dir)).select(byte_symbols(F.col("token")).alias("s"), "n").where(F.size("s") > 1)
+    pairs = F.arrays_zip(F.slice("s", 1, F.size("s") - 1).alias("l"), F.slice("s", 2, F.size("s") - 1).alias("r"))
+    return (syms.select(F.explode(pairs).alias("p"), "n")
+            .groupBy(F.col("p.l").alias("left_symbol"), F.col("p.r").alias("right_symbol")).agg(F.sum("n").alias("n")))
+
+
 @query("bpe_merges")
 def bpe_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: learned merges ``(rank, left, right, new_id)``; checked against the public
@@ -127,7 +144,7 @@ def decode_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
        f"range(0, CAST(ceil(len(toks) / {CONTEXT_SIZE}) AS BIGINT)) r(w) WHERE len(toks) > 0")
 def context_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pre-token sequences cut into 1,024-token windows (overlap 0)."""
-    docs = spread(spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text"))
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text")
     toks = docs.select("doc_id", pretokens(F.col("text")).alias("toks"))
     wins = context_windows(toks, "toks", CONTEXT_SIZE, CHUNK_OVERLAP, keep=["doc_id"])
     return wins.select("doc_id", F.col("window_no").cast("long").alias("window_no"),

@@ -10,26 +10,37 @@ from __future__ import annotations
 import hashlib
 import inspect
 
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
 from textloom.operators import bpe
 from textloom.operators.bpe import Vocabulary, train_bpe
 from textloom.session import materialize, scratch_dir  # noqa: F401  (materialize is re-exported)
 
 
-def vocabulary_stage(spark, name: str, texts_fn, vocab_size: int, min_frequency: int, specials: list[str],
+def input_state(spark, paths: list[str]) -> str:
+    """Names, sizes and times of the files under ``paths``: changes when the data does."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    rows = files.select("path", "length", "modificationTime").groupBy().agg(
+        F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return "/".join(map(str, rows))
+
+
+def vocabulary_stage(spark, paths: list[str], texts_fn, vocab_size: int, min_frequency: int, specials: list[str],
                      skip_if_exists: bool = True) -> Vocabulary:
-    """The vocabulary learned from ``texts_fn()``, reused when the same stage was written before.
+    """The vocabulary learned from ``texts_fn()`` over the files at ``paths``, reused while they stay as they are.
 
-    The stage key covers the input name, the parameters and the trainer's source code,
-    so a changed trainer never reuses an old stage.
+    The stage key covers the files' state, the parameters and the trainer's source code.
     """
     code = hashlib.sha1(inspect.getsource(bpe).encode()).hexdigest()
-    key = f"{name}|{vocab_size}|{min_frequency}|{'|'.join(specials)}|{code}"
+    key = f"{input_state(spark, paths)}|{vocab_size}|{min_frequency}|{'|'.join(specials)}|{code}"
     path = f"{scratch_dir(spark).rstrip('/')}/vocab-stages/{hashlib.sha1(key.encode()).hexdigest()[:16]}"
     if skip_if_exists:
         try:
             return Vocabulary.load(spark, path)
-        except Exception:  # noqa: BLE001 - not written yet
-            pass
+        except AnalysisException as exc:
+            if exc.getCondition() != "PATH_NOT_FOUND":
+                raise
     vocab = train_bpe(texts_fn(), vocab_size, min_frequency, specials)
     vocab.save(spark, path)
     return vocab
