@@ -7,12 +7,15 @@ strings), Python's ``json.loads`` is not.  A line is accepted only when
 * ``'{"k":' || v || '}'`` parses,
 
 which together reject trailing garbage, several values, single quotes, raw control
-characters, ``NaN``/``Infinity`` and duplicate keys (the last two Python accepts;
-a documented difference).
+characters, ``NaN``/``Infinity`` and duplicate keys. Python accepts the last two, so rejected
+lines, and only they, are read again by ``reread``.
 """
 
 from __future__ import annotations
 
+import json
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,3 +78,31 @@ def text_status(line: Column, value: Column, key: Column, picked: Column) -> Col
 
 def variant_string(v: Column) -> Column:
     return F.variant_get(v, "$", "string")
+
+
+def _reread_line(line: str | None, keys: list[str]) -> tuple[str | None, str | None, str | None]:
+    """(status, key, text) of a line that only Python's parser may accept."""
+    if line is None:
+        return None, None, None
+    try:
+        value = json.loads(line)
+    except (ValueError, RecursionError):
+        return "invalid", None, None
+    if not isinstance(value, dict):
+        return "not_object", None, None
+    key = next((k for k in keys if k in value), None)
+    if key is None:
+        return "no_key", None, None
+    if isinstance(value[key], str):
+        return "ok", key, value[key]
+    return "null_text" if value[key] is None else "non_string", key, None
+
+
+def reread(line: Column, keys: list[str] = TEXT_KEYS) -> Column:
+    """Struct (status, key, text) of a line by Python's parser; null for a null line."""
+
+    @F.pandas_udf("struct<status: string, key: string, text: string>")
+    def parse(lines: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_reread_line(v, keys) for v in lines], columns=["status", "key", "text"], dtype=object)
+
+    return parse(line)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.json import (TEXT_KEYS, first_present_key, has_key, is_blank, is_object, key_value,
-                                     strict_value, text_status, variant_string)
+                                     reread, strict_value, text_status, variant_string)
 from textloom.sources.positions import read_positioned
 
 SNIFF_LINES = 10  # fixed value: lines tested to decide the format of a file
@@ -24,7 +24,12 @@ def extract_text(df: DataFrame, line_col: str = "value", keys: list[str] = TEXT_
     keyed = parsed.withColumn("key", F.when(is_object(F.col("obj")), first_present_key(F.col("obj"), keys)))
     picked = keyed.withColumn("_picked", key_value(F.col("obj"), F.col("key"), keys))
     status = picked.withColumn("status", text_status(F.col(line_col), F.col("obj"), F.col("key"), F.col("_picked")))
-    return status.withColumn("text", F.when(F.col("status") == "ok", variant_string(F.col("_picked")))).drop("_picked")
+    # Duplicate keys and NaN: only lines rejected so far are read again, by Python's own parser.
+    again = status.withColumn("_again", reread(F.when(F.col("status") == "invalid", F.col(line_col)), keys))
+    text = F.when(F.col("status") == "ok", variant_string(F.col("_picked"))).otherwise(F.col("_again.text"))
+    return (again.withColumn("text", text)
+            .withColumn("key", F.coalesce("key", "_again.key"))
+            .withColumn("status", F.coalesce("_again.status", "status")).drop("_picked", "_again"))
 
 
 def lenient_jsonl(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -38,16 +43,12 @@ def strict_jsonl(spark: SparkSession, paths: str | list[str], key: str = "text")
     Keeps ``text`` only where the key is present (F7).  A blank line is a bad line
     here, as in the reference's plain ``for line in f: json.loads(line)``.
     """
-    lines = spark.read.text(paths)
-    v = strict_value(F.col("value"))
-    bad = v.isNull() | ~is_object(v)
-    checked = lines.select(F.when(bad, F.raise_error(F.concat(
-        F.lit("invalid JSON line: "), F.substring("value", 1, 200)))).otherwise(v).alias("obj"))
-    present = checked.where(has_key(F.col("obj"), key))
-    picked = F.variant_get(F.col("obj"), f"$.{key}", "variant")
-    not_text = F.is_variant_null(picked) | (F.schema_of_variant(picked) != "STRING")
-    return present.select("obj", F.when(not_text, F.raise_error(F.lit(f"'{key}' is not a string")))
-                          .otherwise(variant_string(picked)).alias("text"))
+    rows = extract_text(spark.read.text(paths), keys=[key])
+    fault = (F.when(F.col("status").isin("blank", "invalid", "not_object"), F.concat(
+                F.lit("invalid JSON line: "), F.substring("value", 1, 200)))
+             .when(F.col("status").isin("null_text", "non_string"), F.lit(f"'{key}' is not a string")))
+    checked = rows.select("obj", "status", F.when(fault.isNotNull(), F.raise_error(fault)).otherwise(F.col("text")).alias("text"))
+    return checked.where(F.col("status") != "no_key").select("obj", "text")
 
 
 def sniff_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> DataFrame:
@@ -66,7 +67,8 @@ def sniff_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> Data
     head = (pos.join(near_start, ["file", "block"], "left_semi").withColumn("rn", rn)
             .where(F.col("rn") <= SNIFF_LINES).join(near_start, ["file", "block"])
             .where(F.col("off") + F.col("rn") <= SNIFF_LINES))
-    ok = is_blank(F.col("value")) | strict_value(F.col("value")).isNotNull()
+    strict = is_blank(F.col("value")) | strict_value(F.col("value")).isNotNull()
+    ok = F.coalesce(reread(F.when(~strict, F.col("value")))["status"] != "invalid", F.lit(True))
     return head.groupBy("file").agg(
         F.when(F.bool_and(ok), F.lit("jsonl")).otherwise(F.lit("multiline")).alias("mode"))
 

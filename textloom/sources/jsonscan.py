@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.json import strict_value
+from textloom.functions.json import reread, strict_value
 from textloom.sources.jsonl import extract_text
-from textloom.sources.positions import read_positioned, running_sums
+from textloom.sources.positions import before_last, read_positioned, running_sums
 
 # Strings are removed in two linear steps (escape pairs, then quoted runs): a single
 # alternation pattern recurses per character in java.util.regex and overflows on long lines.
@@ -47,18 +47,16 @@ def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, o
     ends = (F.col("delta_cum") == 0) & (stripped.endswith("}") | stripped.endswith("},"))
     marked = running_sums(depth, {"is_end": ends.cast("long")})
     chunked = marked.withColumn("chunk_no", F.col("is_end_cum") - F.col("is_end"))
-    chunks = (chunked.groupBy("file", "chunk_no")
-              .agg(_assemble("\n").alias("chunk"), F.max("is_end").alias("closed"))
-              .where(F.col("closed") == 1))
+    chunks = before_last(chunked, "is_end", "chunk_no").groupBy("file", "chunk_no").agg(_assemble("\n").alias("chunk"))
     body = F.regexp_replace(F.regexp_replace("chunk", _TRAILING_SPACE, ""), ",+$", "")
     parsed = extract_text(chunks.withColumn("body", body), "body")
     if on_error == "stop":
-        first_bad = (parsed.where(F.col("obj").isNull()).groupBy("file")
+        first_bad = (parsed.where(F.col("status") == "invalid").groupBy("file")
                      .agg(F.min("chunk_no").alias("bad_from")))
         parsed = (parsed.join(first_bad, "file", "left")
                   .where(F.col("bad_from").isNull() | (F.col("chunk_no") < F.col("bad_from"))).drop("bad_from"))
     elif on_error == "skip":
-        parsed = parsed.where(F.col("obj").isNotNull())
+        parsed = parsed.where(F.col("status") != "invalid")
     else:
         raise ValueError("on_error must be 'stop' or 'skip'")
     return parsed.select("file", "chunk_no", "chunk", "status", "key", "text", "obj")
@@ -73,17 +71,17 @@ def rebuild_concatenated(spark: SparkSession, paths: str | list[str]) -> DataFra
     ``}`` is dropped by comparing running byte offsets with the file size.
     Returns ``file, obj_no, line`` for every object that parses strictly, as one line.
     """
-    pos = read_positioned(spark, paths, line_sep="}")
+    pos = read_positioned(spark, paths, line_sep="}", by_size=True)
     sums = running_sums(pos, {"delta": _count(F.col("value"), "{") - F.lit(1),
                               "nbytes": F.octet_length("value") + F.lit(1)})
     closed_part = sums.where(F.col("nbytes_cum") <= F.col("file_size"))
     marked = running_sums(closed_part.drop("delta", "nbytes", "nbytes_cum"),
                           {"is_close": (F.col("delta_cum") == 0).cast("long")})
     objs = marked.withColumn("obj_no", F.col("is_close_cum") - F.col("is_close"))
-    grouped = (objs.groupBy("file", "obj_no")
-               .agg(_assemble("", "}").alias("buffer"), F.max("is_close").alias("closed"))
-               .where(F.col("closed") == 1))
+    grouped = before_last(objs, "is_close", "obj_no").groupBy("file", "obj_no").agg(_assemble("", "}").alias("buffer"))
     one_line = F.trim(F.regexp_replace("buffer", r"[\r\n]+", " "))
     out = grouped.select("file", "obj_no", one_line.alias("line"))
-    return out.where(strict_value(F.col("line")).isNotNull())
+    strict = out.withColumn("_ok", strict_value(F.col("line")).isNotNull())
+    again = strict.withColumn("_again", reread(F.when(~F.col("_ok"), F.col("line"))))
+    return again.where(F.col("_ok") | (F.col("_again.status") != "invalid")).select("file", "obj_no", "line")
 

@@ -21,7 +21,7 @@ def training_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     line is found from one row per file (total bytes vs. file size, last position),
     joined back on the file: no window, no sort.
     """
-    pos = read_positioned(spark, paths, line_sep="\n")
+    pos = read_positioned(spark, paths, line_sep="\n", by_size=True)
     per_file = pos.groupBy("file").agg(
         F.sum(F.octet_length("value") + 1).alias("bytes"), F.max("file_size").alias("size"),
         F.max(F.struct("block", "seq")).alias("last"))
