@@ -57,3 +57,11 @@ def test_chat_template_keeps_roles_verbatim(spark):
     t = render_template(df, "messages", add_generation_prompt=True).first().text
     assert t == "<|im_start|>tool\nx<|im_end|>\n<|im_start|>User\ny<|im_end|>\n<|im_start|>assistant\n"
     assert render_template(df, "messages").first().text.endswith("<|im_end|>\n")
+
+
+def test_template_keeps_null_content(spark):
+    from textloom.functions.chat import chat_template_text
+
+    df = spark.createDataFrame([([("user", None), ("assistant", "x")],)], "m array<struct<role: string, content: string>>")
+    got = df.select(chat_template_text(F.col("m")).alias("t")).first().t
+    assert got == "<|im_start|>user\nNone<|im_end|>\n<|im_start|>assistant\nx<|im_end|>\n"

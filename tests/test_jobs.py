@@ -33,7 +33,7 @@ def test_chatml_cli_and_missing_source(spark, tmp_path):
     src = standard_sources(spark, SF)
     src["capybara"] = role_chat_source(spark, table_path(SF, "nope"))
     r = jobs.prepare_chatml_cli(spark, src, str(tmp_path / "chatml"))
-    assert r.counts["capybara"] == 0 and r.counts["hermes"] > 0
+    assert r.counts["capybara"] == 0 and r.counts["hermes"] > 0 and r.failed == ["capybara"]
     assert r.preview.endswith("...")
 
 
@@ -80,6 +80,21 @@ def test_corrupt_source_gives_zero_rows(spark, tmp_path):
     mix = mix_sources(spark, src, {"fineweb": 10, "hermes": 5}, "raw")
     counts = {r.source: r.n for r in counts_by_source(mix, ["fineweb", "hermes"]).collect()}
     assert counts["fineweb"] == 0 and counts["hermes"] == 5
+    # The fault may show only in the scan; the job then stages the other sources.
+    res = jobs.prepare_pretrain_data(spark, src, str(tmp_path / "mix"), 30)
+    assert res.failed == ["fineweb"] and res.counts["hermes"] > 0
+
+
+def test_other_errors_fail_the_job(spark, tmp_path):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from textloom.sources.tables import Source
+
+    broken = Source("hermes", "text", lambda n: spark.range(3).select("id", F.raise_error(F.lit("boom")).cast("string").alias("text")), "id BIGINT, text STRING")
+    src = standard_sources(spark, SF) | {"hermes": broken}
+    with pytest.raises(Exception, match="boom"):
+        jobs.prepare_chatml_cli(spark, src, str(tmp_path / "o"))
 
 
 def test_cli_fix_jsonl_and_prepare_chatml(spark, tmp_path):

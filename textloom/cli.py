@@ -8,7 +8,12 @@ copies are given as paths).  Flags and defaults follow the reference.
     tokenizer       --data PATH --output DIR [--vocab-size 32000] [--min-frequency 2]
     fix-jsonl       INPUT [--output DIR]
     pretrain-mix    --web PATH --first PATH --second PATH --output DIR [--total 500000] [--web-ratio 0.7]
+    chatml-set      --first PATH --second PATH --output DIR [--samples 100000] [--hermes-ratio 0.7]
+    text-set        --items PATH --output DIR
     run-all         --tables DIR --output DIR [--skip pretrain,tokenizer,chatml,textset] [--vocab-size 32000]
+                    [--pretrain-samples 500000] [--chatml-samples 100000]
+
+Command, flag and short-option names and their defaults are fixed values: they are the interface.
 """
 
 from __future__ import annotations
@@ -65,11 +70,26 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--total", type=int, default=500_000)
     m.add_argument("--web-ratio", type=float, default=0.7)
 
+    d = sub.add_parser("chatml-set")
+    d.add_argument("--first", required=True)
+    d.add_argument("--second", required=True)
+    d.add_argument("--id-column", default="id")
+    d.add_argument("--output", "-o", required=True)
+    d.add_argument("--samples", "-n", type=int, default=100_000)
+    d.add_argument("--hermes-ratio", type=float, default=0.7)
+
+    x = sub.add_parser("text-set")
+    x.add_argument("--items", required=True, help="Parquet dataset with a `text` column")
+    x.add_argument("--id-column", default="id")
+    x.add_argument("--output", "-o", required=True)
+
     r = sub.add_parser("run-all")
     r.add_argument("--tables", required=True, help="directory with documents/conversations/benchmark Parquet")
     r.add_argument("--output", "-o", required=True)
     r.add_argument("--skip", default="")
     r.add_argument("--vocab-size", type=int, default=32_000)
+    r.add_argument("--pretrain-samples", type=int, default=500_000)
+    r.add_argument("--chatml-samples", type=int, default=100_000)
 
     args = ap.parse_args(argv)
     spark = build_session(args.master, shuffle_partitions=int(args.shuffle_partitions))
@@ -85,13 +105,18 @@ def main(argv: list[str] | None = None) -> int:
         src = _chat_sources(spark, args)
         src["fineweb"] = parquet_text_source(spark, args.web, "fineweb", args.id_column)
         res = jobs.prepare_pretrain_data(spark, src, args.output, args.total, args.web_ratio)
+    elif args.cmd == "chatml-set":
+        res = jobs.prepare_chatml_data(spark, _chat_sources(spark, args), args.output, args.samples, args.hermes_ratio)
+    elif args.cmd == "text-set":
+        res = jobs.prepare_textset(spark, parquet_text_source(spark, args.items, "textset", args.id_column, kind="text"), args.output)
     else:
         skip = {s for s in args.skip.split(",") if s}
-        res = jobs.run_all(spark, args.tables, args.output, skip, args.vocab_size)
+        res = jobs.run_all(spark, args.tables, args.output, skip, args.vocab_size, args.pretrain_samples,
+                           args.chatml_samples)
         res = {k: (v.counts if v else None) for k, v in res.items()}
         print(json.dumps(res))
         return 0
-    print(json.dumps({"output": res.output, "counts": res.counts, "preview": res.preview}, ensure_ascii=False))
+    print(json.dumps({"output": res.output, "counts": res.counts, "preview": res.preview, "failed": res.failed}, ensure_ascii=False))
     return 0
 
 

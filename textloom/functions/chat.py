@@ -90,9 +90,13 @@ def raw_chat_text(turns: Column, turn_type: DataType, null_content: str | None =
 
 
 def chat_template_text(messages: Column, add_generation_prompt: bool = False) -> Column:
-    """The tokenizer chat template: every message verbatim, each followed by a newline."""
+    """The tokenizer chat template: every message verbatim, each followed by a newline.
+
+    A null role or content is rendered as ``None``, as in P4 and P5; no message is lost.
+    """
+    none = F.lit("None")
     parts = F.transform(messages, lambda m: F.concat(
-        F.lit(IM_START), m["role"], F.lit("\n"), m["content"], F.lit(IM_END + "\n")))
+        F.lit(IM_START), F.coalesce(m["role"], none), F.lit("\n"), F.coalesce(m["content"], none), F.lit(IM_END + "\n")))
     body = F.array_join(parts, "")
     return F.concat(body, F.lit(GENERATION_PROMPT)) if add_generation_prompt else body
 

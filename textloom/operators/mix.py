@@ -35,9 +35,12 @@ def chatml_budgets(total: int = 50_000, first_ratio: float = 0.7, first_only: bo
     return {"hermes": a, "capybara": b}
 
 
-def load_samples(spark: SparkSession, source: Source, budget: int | None, style: str) -> DataFrame:
-    """Prefix cut (L2) -> render (P4/P5) or F1 -> source tag (P7): ``(source, id, text)``."""
-    items = tolerant_load(spark, source, budget)
+def load_samples(spark: SparkSession, source: Source, budget: int | None, style: str, tolerant: bool = True) -> DataFrame:
+    """Prefix cut (L2) -> render (P4/P5) or F1 -> source tag (P7): ``(source, id, text)``.
+
+    ``tolerant=False`` leaves a source's faults to the caller.
+    """
+    items = tolerant_load(spark, source, budget) if tolerant else source.load(budget)
     if source.kind == "chat":
         texts = render_chat(items, source.turns_field, style)
     else:
@@ -49,6 +52,8 @@ def mix_sources(spark: SparkSession, sources: dict[str, Source], budgets: dict[s
                 chat_style: str) -> DataFrame:
     """Union of the rendered sources in load order, duplicates kept."""
     parts = [load_samples(spark, sources[name], n, chat_style) for name, n in budgets.items()]
+    if len({p.schema["id"].dataType.simpleString() for p in parts}) > 1:  # sources may number or name their items
+        parts = [p.withColumn("id", F.col("id").cast("string")) for p in parts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

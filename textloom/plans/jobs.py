@@ -11,6 +11,7 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from textloom.operators.chat import nonempty_text
 from textloom.operators.mix import chatml_budgets, counts_by_source, load_samples, pretrain_budgets
 from textloom.sources.jsonl import extract_text_auto, strict_jsonl
 from textloom.sources.jsonscan import rebuild_concatenated
-from textloom.sources.sinks import write_jsonl, write_splits
-from textloom.sources.tables import Source, standard_sources
+from textloom.sources.sinks import write_jsonl, write_splits, write_text_file
+from textloom.sources.tables import READ_ERRORS, Source, is_source_fault, standard_sources
 from textloom.sources.text import training_lines
 from textloom.session import fresh_path
 
@@ -37,43 +38,54 @@ class JobResult:
     output: str
     counts: dict[str, int] = field(default_factory=dict)
     preview: str | None = None
+    failed: list[str] = field(default_factory=list)  # sources that could not be read (S9)
 
 
 def _path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("text").load(path).limit(0).collect()
         return True
-    except Exception:  # noqa: BLE001 - AnalysisException when absent
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
 def _stage_sources(spark: SparkSession, sources: dict[str, Source], budgets: dict[str, int],
-                   style: str, seed: int) -> DataFrame:
-    """Each source rendered, tagged, keyed and written as its own stage; failures give zero rows."""
-    parts = []
+                   style: str, seed: int) -> tuple[DataFrame, list[str]]:
+    """Each source rendered, tagged, keyed and written as its own stage, and the sources that could not be read.
+
+    Only a missing or unreadable source counts as zero rows; any other error fails the job.
+    """
+    parts, failed = [], []
     for name, n in budgets.items():
-        df = order.with_shuffle_key(load_samples(spark, sources[name], n, style), seed)
         path = fresh_path(spark, f"source-{name}")
         try:
-            df.write.mode("overwrite").parquet(path)
+            samples = load_samples(spark, sources[name], n, style, tolerant=False)
+            order.with_shuffle_key(samples, seed).write.parquet(path)
             parts.append(spark.read.parquet(path))
-        except Exception as exc:  # noqa: BLE001 - S9: warn and go on
+        except READ_ERRORS as exc:
+            if not is_source_fault(exc):
+                raise
+            failed.append(name)
             log.warning("source %s failed while loading: %s", name, str(exc).splitlines()[0])
     if not parts:
-        return spark.createDataFrame([], "source string, id long, text string, key string")
+        return spark.createDataFrame([], "source string, id long, text string, key string"), failed
+    if len({p.schema["id"].dataType.simpleString() for p in parts}) > 1:  # sources may number or name their items
+        parts = [p.withColumn("id", F.col("id").cast("string")) for p in parts]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, failed
 
 
 def prepare_pretrain_data(spark: SparkSession, sources: dict[str, Source], output: str,
                           total_samples: int = 500_000, web_ratio: float = 0.7, seed: int = 42) -> JobResult:
     """Pretraining mix: web 70 %, chat 30 % split 70/30, raw chat text, shuffled, UTF-8 JSONL."""
-    mixed = _stage_sources(spark, sources, pretrain_budgets(total_samples, web_ratio), "raw", seed)
+    mixed, failed = _stage_sources(spark, sources, pretrain_budgets(total_samples, web_ratio), "raw", seed)
     write_jsonl(order.range_ordered(mixed), output, ["text", "source"])
     counts = {r.source: r.n for r in counts_by_source(mixed, ["fineweb", "hermes", "capybara"]).collect()}
-    return JobResult(output, counts)
+    return JobResult(output, counts, failed=failed)
 
 
 def prepare_chatml_cli(spark: SparkSession, sources: dict[str, Source], output: str, samples: int = 50_000,
@@ -81,24 +93,24 @@ def prepare_chatml_cli(spark: SparkSession, sources: dict[str, Source], output:
                        seed: int = 42, val_split: float = 0.05) -> JobResult:
     """CLI ChatML set: ``text, source`` UTF-8; stops when nothing loaded; ``valid`` only when non-empty."""
     budgets = chatml_budgets(samples, first_ratio, first_only, second_only)
-    staged = _stage_sources(spark, sources, budgets, "chatml", seed)
+    staged, failed = _stage_sources(spark, sources, budgets, "chatml", seed)
     if staged.isEmpty():
-        raise RuntimeError("No samples loaded!")
+        raise RuntimeError("no source gave any sample; nothing is written")
     split, n_valid, n = order.holdout_split(staged, val_split)
-    write_splits(order.range_ordered(split), output, ["text", "source"], n_valid, always_write_valid=False)
+    write_splits(order.range_ordered(split, lead=("split",)), output, ["text", "source"], n_valid, always_write_valid=False)
     counts = {r.split: r.n for r in order.counts_by_split(split).collect()}
     counts.update({r.source: r.n for r in counts_by_source(staged, ["hermes", "capybara"], False).collect()})
     preview = order.preview(split).first()
-    return JobResult(output, counts, preview[0] if preview else None)
+    return JobResult(output, counts, preview[0] if preview else None, failed)
 
 
 def prepare_chatml_data(spark: SparkSession, sources: dict[str, Source], output: str,
                         num_samples: int = 100_000, first_ratio: float = 0.7, seed: int = 42) -> JobResult:
     """Pipeline ChatML set: ``text`` only, ASCII-escaped, both splits always written."""
-    staged = _stage_sources(spark, sources, chatml_budgets(num_samples, first_ratio), "chatml", seed)
+    staged, failed = _stage_sources(spark, sources, chatml_budgets(num_samples, first_ratio), "chatml", seed)
     split, n_valid, _ = order.holdout_split(staged, 0.05)
-    write_splits(order.range_ordered(split), output, ["text"], n_valid, ensure_ascii=True)
-    return JobResult(output, {r.split: r.n for r in order.counts_by_split(split).collect()})
+    write_splits(order.range_ordered(split, lead=("split",)), output, ["text"], n_valid, ensure_ascii=True)
+    return JobResult(output, {r.split: r.n for r in order.counts_by_split(split).collect()}, failed=failed)
 
 
 def prepare_textset(spark: SparkSession, source: Source, output: str, seed: int = 42) -> JobResult:
@@ -106,20 +118,16 @@ def prepare_textset(spark: SparkSession, source: Source, output: str, seed: int
     items = nonempty_text(source.load(None)).select(F.lit(source.name).alias("source"), "id", "text")
     staged = spark.read.parquet(_write_stage(order.with_shuffle_key(items, seed), "textset"))
     split, n_valid, _ = order.holdout_split(staged, 0.05, at_least_one=True)
-    write_splits(order.range_ordered(split), output, ["text"], n_valid, ensure_ascii=True)
+    write_splits(order.range_ordered(split, lead=("split",)), output, ["text"], n_valid, ensure_ascii=True)
     return JobResult(output, {r.split: r.n for r in order.counts_by_split(split).collect()})
 
 
 def _write_stage(df: DataFrame, name: str) -> str:
     path = fresh_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.parquet(path)
     return path
 
 
-def _write_one_line(spark: SparkSession, text: str, path: str) -> None:
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
-
-
 def train_tokenizer(spark: SparkSession, data_path: str, output: str, vocab_size: int = 32_000,
                     min_frequency: int = 2, variant: str = "cli") -> JobResult:
     """Vocabulary job.  ``cli``: ``.jsonl`` -> sniff + lenient/multi-line extraction, other
@@ -134,12 +142,13 @@ def train_tokenizer(spark: SparkSession, data_path: str, output: str, vocab_size
     else:
         texts = training_lines(spark, data_path)
         specials, max_len, template = SPECIALS_CLI, 1024, None
+    texts = spark.read.parquet(_write_stage(texts, "training-texts"))
     vocab = train_bpe(texts, vocab_size, min_frequency, specials)
     vocab.save(spark, output)
     tok_json, config = vocab.tokenizer_json(max_len, template)
-    _write_one_line(spark, tok_json, f"{output}/tokenizer.json")
-    _write_one_line(spark, config.replace("\n", " "), f"{output}/tokenizer_config.json")
-    return JobResult(output, {"vocab_size": vocab.size, "merges": len(vocab.merges)})
+    write_text_file(spark, f"{output}/tokenizer.json", tok_json)
+    write_text_file(spark, f"{output}/tokenizer_config.json", config)
+    return JobResult(output, {"texts": texts.count(), "vocab_size": vocab.size, "merges": len(vocab.merges)})  # A6, A7
 
 
 def fix_jsonl(spark: SparkSession, input_path: str, output: str) -> JobResult:
@@ -148,26 +157,29 @@ def fix_jsonl(spark: SparkSession, input_path: str, output: str) -> JobResult:
     staged = spark.read.parquet(_write_stage(objs, "fix-jsonl"))
     n = staged.count()
     if n == 0:
-        raise RuntimeError(f"No valid JSON objects found in {input_path}")
-    staged.orderBy("file", "obj_no").select(F.col("line").alias("value")).write.mode("overwrite").text(output)
+        raise RuntimeError(f"{input_path} holds no JSON object that parses; nothing is written")
+    staged.orderBy("file", "obj_no").select(F.col("line").alias("value")).write.text(output)
     return JobResult(output, {"objects": n})
 
 
 def run_all(spark: SparkSession, sf_dir: str, output: str, skip: set[str] | None = None,
-            vocab_size: int = 32_000) -> dict[str, JobResult | None]:
+            vocab_size: int = 32_000, pretrain_samples: int = 500_000,
+            chatml_samples: int = 100_000) -> dict[str, JobResult | None]:
     """J1 + J2: mix -> vocabulary -> ChatML set -> text-only set; a skipped stage keeps its
     earlier output (and must exist if a later stage reads it)."""
     skip = skip or set()
     src = standard_sources(spark, sf_dir)
     out = output.rstrip("/")
     res: dict[str, JobResult | None] = {}
-    res["pretrain"] = None if "pretrain" in skip else prepare_pretrain_data(spark, src, f"{out}/pretrain_data")
+    res["pretrain"] = None if "pretrain" in skip else prepare_pretrain_data(
+        spark, src, f"{out}/pretrain_data", pretrain_samples)
     if "tokenizer" not in skip:
         if not _path_exists(spark, f"{out}/pretrain_data"):
             raise FileNotFoundError(f"{out}/pretrain_data")  # J3
         res["tokenizer"] = train_tokenizer(spark, f"{out}/pretrain_data", f"{out}/tokenizer", vocab_size,
                                            variant="pipeline")
-    res["chatml"] = None if "chatml" in skip else prepare_chatml_data(spark, src, f"{out}/finetune_chatml")
+    res["chatml"] = None if "chatml" in skip else prepare_chatml_data(
+        spark, src, f"{out}/finetune_chatml", chatml_samples)
     res["textset"] = None if "textset" in skip else prepare_textset(spark, src["textset"], f"{out}/finetune_text")
     return res
 

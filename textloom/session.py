@@ -2,7 +2,8 @@
 
 Scratch space (lineage cuts, staged tables, fixture files) always lives under
 the shared checkpoint directory named by the cluster in ``spark.checkpoint.dir``.
-Only when that is unset (local tests) do we create one of our own.
+Only a local master without that setting (tests) gets a folder of its own; on a cluster
+executors' own /tmp folders would not hold each other's files, so there it is an error.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import SparkSession
 
 
 def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "textloom", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "textloom", extra: dict | None = None, driver_memory: str = "8g") -> SparkSession:
     """Session for tests, bench and the CLI; ``master=None`` leaves it to spark-submit."""
     builder = SparkSession.builder if master is None else SparkSession.builder.master(master)
     builder = (
@@ -30,7 +31,7 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Checkpoint files of iterative jobs (BPE rounds) are removed once their RDDs are collected.
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -49,6 +50,8 @@ def scratch_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
+    elif not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     else:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="textloom-ckpt-", dir="/tmp"))
     return sc.getCheckpointDir()
@@ -69,16 +72,3 @@ def materialize(df, name: str):
     path = fresh_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def spread(df):
-    """Round-robin ``df`` over the cluster's parallelism when it has fewer partitions.
-
-    A small input (e.g. one Parquet row group) is read by a single task; the heavy
-    per-row work that follows (regex pre-tokenisation) would then run in that one task.
-    Large inputs already have at least that many splits, and are returned unchanged.
-    Apply it to a scan only: on a plan with exchanges, adaptive execution would run
-    the upstream stages just to report the partition count.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -17,11 +17,13 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.chat import group_turns
-from textloom.operators.order import first_n_by_id
+from textloom.operators.order import first_n_ids, first_n_rows
 
 log = logging.getLogger(__name__)
 
@@ -50,7 +52,7 @@ def web_source(spark: SparkSession, path: str, name: str = "fineweb") -> Source:
     """Web documents by ``doc_id``; only ``text`` is kept (``documents.source`` is dropped)."""
     def load(n):
         df = spark.read.parquet(path).select(F.col("doc_id").alias("id"), "text")
-        return first_n_by_id(df, n)
+        return first_n_rows(df, n)
     return Source(name, "web", load, WEB_SCHEMA)
 
 
@@ -58,7 +60,7 @@ def text_source(spark: SparkSession, path: str, name: str = "textset") -> Source
     """Text-only items by ``item_id`` (S8: whole split, no tolerance wrapper in the reference)."""
     def load(n):
         df = spark.read.parquet(path).select(F.col("item_id").alias("id"), "text")
-        return first_n_by_id(df, n)
+        return first_n_rows(df, n)
     return Source(name, "text", load, WEB_SCHEMA)
 
 
@@ -72,7 +74,7 @@ def _flat_turns(spark: SparkSession, path: str, first_chat: bool) -> DataFrame:
 def sharegpt_source(spark: SparkSession, path: str, name: str = "hermes") -> Source:
     """First chat source: ``conversations`` of ``{from, value}`` with ShareGPT role names."""
     def load(n):
-        flat = first_n_by_id(_flat_turns(spark, path, True), n, "conv_id")
+        flat = first_n_ids(_flat_turns(spark, path, True), n, "conv_id")
         role = F.col("role")
         for canon, alias in SHAREGPT_ROLE_NAMES.items():
             role = F.when(F.col("role") == canon, F.lit(alias)).otherwise(role)
@@ -84,7 +86,7 @@ def sharegpt_source(spark: SparkSession, path: str, name: str = "hermes") -> Sou
 def role_chat_source(spark: SparkSession, path: str, name: str = "capybara") -> Source:
     """Second chat source: ``conversation`` of ``{role, content}``."""
     def load(n):
-        flat = first_n_by_id(_flat_turns(spark, path, False), n, "conv_id")
+        flat = first_n_ids(_flat_turns(spark, path, False), n, "conv_id")
         return group_turns(flat, {"role": "role", "content": "text"}, "conversation")
     return Source(name, "chat", load, ROLE_CHAT_SCHEMA, "conversation")
 
@@ -93,8 +95,8 @@ def parquet_text_source(spark: SparkSession, path: str, name: str, id_col: str =
                         text_col: str = "text", kind: str = "web") -> Source:
     """A Parquet dataset of text items; ``id_col`` gives the dataset order for ``train[:n]``."""
     def load(n):
-        df = spark.read.parquet(path).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        return first_n_by_id(df, n)
+        df = spark.read.parquet(path).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        return first_n_rows(df, n)
     return Source(name, kind, load, WEB_SCHEMA)
 
 
@@ -103,8 +105,8 @@ def parquet_chat_source(spark: SparkSession, path: str, name: str, turns_field:
     """A Parquet dataset of chat items with a nested list of turns (struct or map turns)."""
     def load(n):
         df = spark.read.parquet(path)
-        cols = [F.col(id_col).cast("long").alias("id")] + ([F.col(turns_field)] if turns_field in df.columns else [])
-        return first_n_by_id(df.select(*cols), n)
+        cols = [F.col(id_col).alias("id")] + ([F.col(turns_field)] if turns_field in df.columns else [])
+        return first_n_rows(df.select(*cols), n)
     schema = f"id BIGINT, {turns_field} ARRAY<STRUCT<role: STRING, content: STRING>>"
     return Source(name, "chat", load, schema, turns_field)
 
@@ -119,16 +121,31 @@ def standard_sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
     }
 
 
+#: What a failed analysis or a failed scan raises (the latter may come unconverted from the JVM).
+READ_ERRORS = (PySparkException, Py4JJavaError)
+#: Error conditions that say that a source isn't there, isn't the expected shape, or can't be read.
+SOURCE_FAULTS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "UNRESOLVED_COLUMN", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "FIELD_NOT_FOUND")
+
+
+def is_source_fault(exc: BaseException) -> bool:
+    """Whether an error is the source's own (S9); a lost executor or a fault in a job isn't."""
+    condition = exc.getCondition() if isinstance(exc, PySparkException) else None
+    said = f"{condition or ''} {exc}"
+    return isinstance(exc, READ_ERRORS) and any(f in said for f in SOURCE_FAULTS)
+
+
 def tolerant_load(spark: SparkSession, source: Source, n: int | None) -> DataFrame:
-    """A source that fails to load yields zero rows and a warning; the job goes on.
+    """A source that is missing or unreadable yields zero rows and a warning; other errors pass.
 
-    Analysis-time failures (missing path, missing column) are caught here; jobs that
-    write a stage per source also catch failures of the scan itself.
+    Analysis-time failures are caught here; jobs that write a stage per source also catch
+    failures of the scan itself.
     """
     try:
         df = source.load(n)
         df.schema  # force analysis
         return df
-    except Exception as exc:  # noqa: BLE001 - the reference swallows every exception here
+    except READ_ERRORS as exc:
+        if not is_source_fault(exc):
+            raise
         log.warning("source %s failed to load: %s", source.name, str(exc).splitlines()[0])
         return spark.createDataFrame([], source.schema)
