@@ -1,9 +1,8 @@
 """Files derived from the driver tables, for the file-based scans.
 
 Each writer takes ``documents`` and writes a directory under the shared scratch
-space (fresh path per call); the source table is then the oracle.  Files are
-hash-partitioned on ``doc_id`` into a few parts and sorted inside, so every run
-writes the same bytes.
+space (fresh path per call); the source table is then the oracle.  Rows are dealt
+to files by ``doc_id`` and sorted inside; the number of files follows the data.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 
 from textloom.session import fresh_path
 
-FILE_PARTS = 4
 # Fixed mapping used by the fixtures: which key carries the text for each language.
 KEY_BY_LANG = {"en": "text", "fr": "content", "de": "prompt", "es": "completion"}
 
@@ -29,9 +27,9 @@ def json_string(c: Column) -> Column:
 
 def _write_lines(df: DataFrame, value: Column, name: str, partition_by: str | None = None) -> str:
     path = fresh_path(df.sparkSession, name)
-    out = df.repartition(FILE_PARTS, "doc_id").sortWithinPartitions("doc_id")
+    out = df.repartition("doc_id").sortWithinPartitions("doc_id")
     cols = [value.alias("value")] + ([F.col(partition_by)] if partition_by else [])
-    writer = out.select(*cols).write.mode("overwrite")
+    writer = out.select(*cols).write
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.text(path)
@@ -58,8 +56,8 @@ def lenient_jsonl(docs: DataFrame) -> str:
     lines = F.array(good, extra)
     rows = docs.select("doc_id", F.posexplode(lines).alias("k", "line"))
     path = fresh_path(docs.sparkSession, "jsonl_lenient")
-    (rows.repartition(FILE_PARTS, "doc_id").sortWithinPartitions("doc_id", "k")
-     .select(F.col("line").alias("value")).write.mode("overwrite").text(path))
+    (rows.repartition("doc_id").sortWithinPartitions("doc_id", "k")
+     .select(F.col("line").alias("value")).write.text(path))
     return path
 
 
@@ -86,12 +84,14 @@ def sniff_dirs(docs: DataFrame) -> str:
 def concatenated_json(docs: DataFrame) -> str:
     """Objects one after another: pretty-printed for en/de, compact for fr/es.
 
-    Texts containing braces are left out: the reference's counter is not string-aware.
+    The brace counter isn't string-aware, so braces inside texts are written as JSON escapes; all documents
+    are written.
     """
-    usable = docs.where(~F.col("text").rlike("[{}]"))
-    compact = _json(F.col("doc_id"), F.col("text"))
-    value = F.when(F.col("lang").isin("en", "de"), pretty_object(F.col("doc_id"), F.col("text"))).otherwise(compact)
-    return _write_lines(usable, value, "json_concat")
+    escaped = F.replace(F.replace(json_string(F.col("text")), F.lit("{"), F.lit("\\u007b")), F.lit("}"), F.lit("\\u007d"))
+    head = F.concat(F.lit('"doc_id":'), F.col("doc_id").cast("string"))
+    compact = F.concat(F.lit("{"), head, F.lit(',"text":'), escaped, F.lit("}"))
+    pretty = F.concat(F.lit("{\n  "), head, F.lit(',\n  "text": '), escaped, F.lit("\n}"))
+    return _write_lines(docs, F.when(F.col("lang").isin("en", "de"), pretty).otherwise(compact), "json_concat")
 
 
 def text_file(docs: DataFrame) -> str:
