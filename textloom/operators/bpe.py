@@ -1,20 +1,19 @@
 """Vocabulary learning: pre-token counts (T2), alphabet (T3), special tokens (T5),
 byte-pair merges (T4) and the vocabulary tables (K3, K4, A7).
 
-Merge learning runs as rounds of Spark jobs over the frame of *distinct* pre-tokens
+Merge learning runs as rounds of Spark jobs over the table of *distinct* pre-tokens
 ``(ids ARRAY<INT>, n BIGINT)``.  A round
 
-1. counts adjacent pairs (``explode`` + ``groupBy``; partial aggregation absorbs
-   hot pairs) and takes the top candidates by (count desc, left id, right id) --
-   the order the sequential trainer pops its queue in;
+1. counts adjacent pairs (array operations over a batch of words, summed before the shuffle)
+   and takes the top candidates by (count desc, left id, right id) -- the order the
+   sequential trainer pops its queue in;
 2. bounds, for each candidate (A, B), the count of any pair a merge of (A, B) can
-   create by its largest trigram count (X, A, B) or (A, B, Y);
+   create: (X, AB) occurs min(c(X, A), c(A, B)) times at most, (AB, Y) likewise;
 3. accepts candidates in order while the result provably equals the sequential
    algorithm: a candidate must not share a boundary symbol with an accepted one
    (its count would change), must beat every accepted bound (a new pair could
    otherwise come first), and the batch ends after a pair of equal symbols or a
-   merge whose token string already exists (its count would grow);
-4. applies the accepted merges to every word in one left-to-right pass.
+   merge whose token string already exists (its count would grow).
 
 The driver keeps only the merge list and token strings, bounded by ``vocab_size``.
 """
@@ -22,12 +21,16 @@ The driver keeps only the merge list and token strings, bounded by ``vocab_size`
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.bytelevel import byte_symbols, pretokens
+from textloom.session import materialize, remove_stage
 
 # Special tokens, in id order, of the two variants.
 SPECIALS_CLI = ["<unk>", "<s>", "</s>", "<pad>", "<|im_start|>", "<|im_end|>", "<knowledge>", "</knowledge>",
@@ -131,63 +134,6 @@ def initial_vocabulary(alphabet: list[str], specials: list[str]) -> Vocabulary:
     return Vocabulary(tokens, kinds, [], list(specials))
 
 
-def word_frame(counts: DataFrame, alphabet: list[str], first_id: int) -> DataFrame:
-    """Distinct pre-tokens as symbol-id arrays ``(ids ARRAY<INT>, n)``; one-symbol words dropped."""
-    ids = F.create_map(*[x for i, c in enumerate(alphabet) for x in (F.lit(c), F.lit(first_id + i))])
-    words = counts.select(F.transform(byte_symbols(F.col("token")), lambda s: ids[s]).alias("ids"), "n")
-    return words.where(F.size("ids") > 1)
-
-
-def _pair_counts(words: DataFrame) -> DataFrame:
-    """Adjacent-pair counts; ``arrays_zip`` of two slices keeps the explode out of lambdas."""
-    n = F.size("ids") - 1
-    z = F.explode(F.arrays_zip(F.slice("ids", 1, n).alias("a"), F.slice("ids", 2, n).alias("b"))).alias("z")
-    return (words.select(z, "n").select((F.col("z.a").cast("long") * _SHIFT + F.col("z.b")).alias("p"), "n")
-            .groupBy("p").agg(F.sum("n").alias("c")))
-
-
-def _trigram_bounds(words: DataFrame, cands: list[int]) -> dict[int, int]:
-    """Largest trigram count each candidate pair takes part in (as first or second pair).
-
-    Candidates are looked up in a hash-map literal (at most ``candidates`` entries).
-    """
-    cand = F.create_map(*[x for c in cands for x in (F.lit(c), F.lit(True))])
-    pos = F.sequence(F.lit(0), F.size("ids") - 3)
-    tri = F.transform(pos, lambda i: F.struct(
-        (F.col("ids")[i].cast("long") * _SHIFT + F.col("ids")[i + 1]).alias("p1"),
-        (F.col("ids")[i + 1].cast("long") * _SHIFT + F.col("ids")[i + 2]).alias("p2"),
-        F.col("ids")[i + 2].alias("z")))
-    t = (words.where(F.size("ids") > 2).select(F.explode(tri).alias("t"), "n")
-         .where(cand[F.col("t.p1")].isNotNull() | cand[F.col("t.p2")].isNotNull())
-         .groupBy(F.col("t.p1").alias("p1"), F.col("t.z").alias("z"), F.col("t.p2").alias("p2"))
-         .agg(F.sum("n").alias("c")))
-    credited = t.select(F.col("p1").alias("p"), "c").unionByName(t.select(F.col("p2").alias("p"), "c"))
-    rows = credited.where(cand[F.col("p")].isNotNull()).groupBy("p").agg(F.max("c")).collect()
-    return {r[0]: r[1] for r in rows}
-
-
-def _apply_merges(words: DataFrame, merges: dict[int, int]) -> DataFrame:
-    """One left-to-right pass; a symbol made in this pass is not merged again in it.
-
-    Merged symbols are kept negative (-(id+1)) during the fold, then restored.
-    """
-    table = F.create_map(*[x for k, v in merges.items() for x in (F.lit(k), F.lit(v))])
-
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        hit = table[last.cast("long") * _SHIFT + x]
-        can = (F.size(acc) > 0) & (last >= 0) & hit.isNotNull()
-        return F.when(can, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(-hit - 1))) \
-                .otherwise(F.concat(acc, F.array(x)))
-
-    folded = F.aggregate(F.col("ids"), F.array().cast("array<int>"), step)
-    restored = F.transform(folded, lambda v: F.when(v < 0, -v - 1).otherwise(v))
-    ids = F.col("ids")
-    touched = F.exists(F.sequence(F.lit(0), F.size(ids) - 2),
-                       lambda i: table[ids[i].cast("long") * _SHIFT + ids[i + 1]].isNotNull())
-    return words.select(F.when(touched, restored).otherwise(ids).alias("ids"), "n").where(F.size("ids") > 1)
-
-
 def _eligible_prefix(top: list[tuple[int, int]], vocab: Vocabulary, ids: dict[str, int]) -> int:
     """How many leading candidates pass every acceptance rule except the trigram bound."""
     lefts, rights, made = set(), set(), set()
@@ -221,26 +167,13 @@ def _pair_bounds(top: list[tuple[int, int]], rest: int) -> dict[int, int]:
     return out
 
 
-def _pair_keys(ids: Column) -> Column:
-    """Adjacent pair keys of a symbol array (``left * 2^32 + right``)."""
-    n = F.size(ids) - 1
-    z = F.arrays_zip(F.slice(ids, 1, n).alias("a"), F.slice(ids, 2, n).alias("b"))
-    return F.transform(z, lambda x: x["a"].cast("long") * _SHIFT + x["b"])
-
-
-def _select_batch(fetched, candidates, vocab, ids, vocab_size, bound, words):
+def _select_batch(fetched, candidates, vocab, ids, vocab_size) -> dict[int, int]:
     """Accept the exact batch of merges for this round (see module docstring)."""
     top, rest = fetched[:candidates], (fetched[candidates][1] if len(fetched) > candidates else 0)
-    top = top[:_eligible_prefix(top, vocab, ids)]
-    if len(top) < 2:
-        bounds = {}
-    elif bound == "pairs":
-        bounds = _pair_bounds(fetched[:candidates], rest)
-    else:
-        bounds = _trigram_bounds(words, [p for p, _ in top])
+    bounds = _pair_bounds(top, rest)
     accepted: dict[int, int] = {}
     limit = -1
-    for p, c in top:
+    for p, c in top[:_eligible_prefix(top, vocab, ids)]:
         if vocab.size >= vocab_size or (accepted and c <= limit):
             break
         a, b = divmod(p, _SHIFT)
@@ -256,87 +189,102 @@ def _select_batch(fetched, candidates, vocab, ids, vocab_size, bound, words):
     return accepted
 
 
+def merge_round(symbols: np.ndarray, word: np.ndarray, merges: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Apply one round's merges to all words at once: ``symbols`` in order, and the word each is in.
+
+    Accepted pairs share no boundary symbol, so two of them never overlap; only a pair of equal symbols overlaps
+    itself, and of such a run every other place counts, from the left.
+    """
+    if len(symbols) < 2:
+        return symbols, word
+    keys = np.array(sorted(merges), np.int64)
+    pair = symbols[:-1].astype(np.int64) * _SHIFT + symbols[1:]
+    at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
+    hit = (keys[at] == pair) & (word[:-1] == word[1:])
+    place = np.flatnonzero(hit)
+    if not len(place):
+        return symbols, word
+    run = np.flatnonzero(np.append(True, np.diff(place) > 1))
+    nth = np.arange(len(place)) - np.repeat(run, np.diff(np.append(run, len(place))))
+    place = place[nth % 2 == 0]
+    out = symbols.copy()
+    out[place] = np.array([merges[k] for k in keys.tolist()], np.int32)[at[place]]
+    keep = np.ones(len(symbols), bool)
+    keep[place + 1] = False
+    return out[keep], word[keep]
+
+
+def _flat(batch: pa.RecordBatch, rounds: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, word numbers, word counts) of a batch after the given rounds."""
+    ids = batch.column("ids")
+    symbols = ids.flatten().to_numpy().astype(np.int32)
+    word = np.repeat(np.arange(len(batch)), ids.value_lengths().to_numpy())
+    for merges in rounds:
+        symbols, word = merge_round(symbols, word, merges)
+    return symbols, word, batch.column("n").to_numpy()
+
+
+def _pair_counts(words: DataFrame, rounds: list[dict[int, int]]) -> DataFrame:
+    """``(p, c)``: adjacent-pair counts of the words after the given rounds, summed in each batch before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            symbols, word, n = _flat(b, rounds)
+            inside = word[:-1] == word[1:]
+            pair = (symbols[:-1].astype(np.int64) * _SHIFT + symbols[1:])[inside]
+            keys, at = np.unique(pair, return_inverse=True)
+            total = np.zeros(len(keys), np.int64)
+            np.add.at(total, at, n[word[:-1][inside]])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["p", "n"])
+
+    return words.mapInArrow(count, "p long, n long").groupBy("p").agg(F.sum("n").alias("c"))
+
+
+def _merged_words(words: DataFrame, rounds: list[dict[int, int]]) -> DataFrame:
+    """The words after the given rounds; words of one symbol are done and dropped."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            symbols, word, n = _flat(b, rounds)
+            size = np.bincount(word, minlength=len(b))
+            left = size > 1
+            ends = np.concatenate([[0], np.cumsum(size[left])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols[left[word]]))
+            yield pa.RecordBatch.from_arrays([ids, pa.array(n[left])], ["ids", "n"])
+
+    return words.mapInArrow(merge, "ids array<int>, n long")
+
+
 def learn_merges(words: DataFrame, vocab: Vocabulary, vocab_size: int, min_frequency: int = 2,
-                 candidates: int = 1024, checkpoint_every: int = 4, bound: str = "pairs",
-                 incremental: bool = True, log=None) -> Vocabulary:
+                 candidates: int = 1024, rewrite_every: int = 24, log=None) -> Vocabulary:
     """T4: extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency.
 
-    ``incremental=True`` keeps the pair-count table between rounds: each word stores its
-    pair keys, the words holding an accepted pair are found with ``arrays_overlap`` and
-    re-merged in place (a projection, so partitions never multiply), and only their old
-    and new pairs update the table.  ``incremental=False`` recounts all pairs each round.
-    ``bound="trigram"`` uses the tighter trigram bound at the cost of one more job per round.
+    The words are a written table. A round reads it, applies the rounds since it was written and counts pairs,
+    a batch of words at a time in arrays; every ``rewrite_every`` rounds the merged words are written anew, and
+    the table before is removed. Lineage never grows, and a lost task repeats one batch.
     """
-    spark = words.sparkSession
-    par = spark.sparkContext.defaultParallelism
     ids = vocab.token_ids()
     floor = max(1, min_frequency)
-    if incremental:
-        words = words.select("ids", _pair_keys(F.col("ids")).alias("keys"), "n")
-    words = words.repartition(par).checkpoint(eager=True)
-    held = words  # the persisted / checkpointed frame behind ``words``
-    pairs = None
-    if incremental:
-        pairs = (words.select(F.explode("keys").alias("p"), "n").groupBy("p")
-                 .agg(F.sum("n").alias("c")).checkpoint(eager=True))
-    rounds, stale = 0, []
+    table = materialize(words.select("ids", F.col("n").cast("long").alias("n")), "bpe-words")
+    rounds: list[dict[int, int]] = []
+    done = 0
     while vocab.size < vocab_size:
-        counts = pairs if incremental else _pair_counts(words)
-        fetched = [(r["p"], r["c"]) for r in
-                   counts.where(F.col("c") >= floor).orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
-        for df in stale:  # this round's frames are materialised now: release their parents
-            df.unpersist()
-        stale = []
+        counts = _pair_counts(table, rounds).where(F.col("c") >= floor)
+        fetched = [(r["p"], r["c"]) for r in counts.orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
         if not fetched:
             break
-        accepted = _select_batch(fetched, candidates, vocab, ids, vocab_size, bound, words)
-        rounds += 1
+        rounds.append(_select_batch(fetched, candidates, vocab, ids, vocab_size))
+        done += 1
         if log:
-            log(f"round {rounds}: {len(accepted)} merges, vocab {vocab.size}")
-        if vocab.size >= vocab_size:
-            break
-        cut = rounds % checkpoint_every == 0
-        if not incremental:
-            nxt = _apply_merges(words, accepted)
-            nxt = nxt.checkpoint(eager=True) if cut else nxt.persist()
-            stale, words, held = [held], nxt, nxt
-            continue
-        touched = F.arrays_overlap(F.col("keys"), F.array(*[F.lit(p) for p in accepted]))
-        merged = words.select(F.when(touched, _merged_ids(accepted)).otherwise(F.col("ids")).alias("ids"),
-                              "keys", "n", touched.alias("chg"))
-        step = merged.select("ids", F.when(F.col("chg"), _pair_keys(F.col("ids"))).otherwise(F.col("keys"))
-                             .alias("keys"), F.when(F.col("chg"), F.col("keys")).alias("old"), "n", "chg")
-        step = step.checkpoint(eager=True) if cut else step.persist()
-        changed = step.where("chg")
-        delta = (changed.select(F.explode("old").alias("p"), (-F.col("n")).alias("n"))
-                 .unionByName(changed.select(F.explode("keys").alias("p"), "n")))
-        nxt_pairs = (pairs.select("p", F.col("c").alias("n")).unionByName(delta)
-                     .groupBy("p").agg(F.sum("n").alias("c")).where(F.col("c") > 0))
-        nxt_pairs = nxt_pairs.checkpoint(eager=True) if cut else nxt_pairs.persist()
-        stale = [held, pairs]
-        held = step  # the persisted frame behind ``words``
-        words = step.where(F.size("ids") > 1).select("ids", "keys", "n")
-        pairs = nxt_pairs
-    for df in stale + [held] + ([pairs] if pairs is not None else []):
-        df.unpersist()
+            log(f"round {done}: {len(rounds[-1])} merges, vocab {vocab.size}")
+        if len(rounds) == rewrite_every:
+            table, old = materialize(_merged_words(table, rounds), "bpe-words"), table
+            remove_stage(old)
+            rounds = []
+    remove_stage(table)
     return vocab
 
 
-def _merged_ids(merges: dict[int, int]) -> Column:
-    """Merged symbol array of ``ids`` (the fold of ``_apply_merges``, as a column)."""
-    table = F.create_map(*[x for k, v in merges.items() for x in (F.lit(k), F.lit(v))])
-
-    def step(acc, x):
-        last = F.try_element_at(acc, F.lit(-1))
-        hit = table[last.cast("long") * _SHIFT + x]
-        can = (F.size(acc) > 0) & (last >= 0) & hit.isNotNull()
-        return F.when(can, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(-hit - 1))) \
-                .otherwise(F.concat(acc, F.array(x)))
-
-    folded = F.aggregate(F.col("ids"), F.array().cast("array<int>"), step)
-    return F.transform(folded, lambda v: F.when(v < 0, -v - 1).otherwise(v))
-
-
 def train_bpe(texts: DataFrame, vocab_size: int = 32_000, min_frequency: int = 2,
               specials: list[str] | None = None, text_col: str = "text", **kw) -> Vocabulary:
     """Learn a byte-level BPE vocabulary from a frame of texts."""
