@@ -78,7 +78,7 @@ if __name__ == "__main__":
 
     sf_dir = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     names = sys.argv[1:]
-    spark = build_session("local[8]", 8)
+    spark = build_session(os.environ.get("MASTER", "local[8]"), 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0

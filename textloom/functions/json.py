@@ -99,10 +99,13 @@ def _reread_line(line: str | None, keys: list[str]) -> tuple[str | None, str | N
 
 
 def reread(line: Column, keys: list[str] = TEXT_KEYS) -> Column:
-    """Struct (status, key, text) of a line by Python's parser; null for a null line."""
+    """Struct (status, key, text) of a line by Python's parser; null for a null line.
+
+    Declared non-deterministic, so that a filter on the result isn't pushed down with copies of the call and of its input.
+    """
 
     @F.pandas_udf("struct<status: string, key: string, text: string>")
     def parse(lines: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([_reread_line(v, keys) for v in lines], columns=["status", "key", "text"], dtype=object)
 
-    return parse(line)
+    return parse.asNondeterministic()(line)

@@ -8,6 +8,7 @@ executors' own /tmp folders would not hold each other's files, so there it is an
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -37,10 +38,23 @@ def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     scratch_dir(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package, wherever the driver was started.
+
+    A cluster gets it with ``--py-files``; a path that isn't there does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared checkpoint directory; set a local one only if none is configured."""
     sc = spark.sparkContext

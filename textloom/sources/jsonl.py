@@ -69,8 +69,8 @@ def sniff_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> Data
             .where(F.col("off") + F.col("rn") <= SNIFF_LINES))
     strict = is_blank(F.col("value")) | strict_value(F.col("value")).isNotNull()
     ok = F.coalesce(reread(F.when(~strict, F.col("value")))["status"] != "invalid", F.lit(True))
-    return head.groupBy("file").agg(
-        F.when(F.bool_and(ok), F.lit("jsonl")).otherwise(F.lit("multiline")).alias("mode"))
+    return head.withColumn("ok", ok).groupBy("file").agg(
+        F.when(F.bool_and("ok"), F.lit("jsonl")).otherwise(F.lit("multiline")).alias("mode"))
 
 
 def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str = "stop") -> DataFrame:

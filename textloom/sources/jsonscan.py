@@ -2,8 +2,9 @@
 
 Both are positional scans: brace depth is a running sum in file order (see
 ``positions``), an object ends where the depth returns to zero, and the object
-number of a row is the count of ends before it.  Rows are then grouped by
-(file, object number), so each object is assembled and parsed exactly once.
+number of a row is the count of ends before it.  Rows after a file's last end are
+dropped by the file's count of ends, before anything is gathered; the others are grouped
+by (file, object number), so each object is assembled and parsed exactly once.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.json import reread, strict_value
 from textloom.sources.jsonl import extract_text
-from textloom.sources.positions import before_last, read_positioned, running_sums
+from textloom.sources.positions import read_positioned, running_sums
 
 # Strings are removed in two linear steps (escape pairs, then quoted runs): a single
 # alternation pattern recurses per character in java.util.regex and overflows on long lines.
@@ -47,7 +48,7 @@ def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, o
     ends = (F.col("delta_cum") == 0) & (stripped.endswith("}") | stripped.endswith("},"))
     marked = running_sums(depth, {"is_end": ends.cast("long")})
     chunked = marked.withColumn("chunk_no", F.col("is_end_cum") - F.col("is_end"))
-    chunks = before_last(chunked, "is_end", "chunk_no").groupBy("file", "chunk_no").agg(_assemble("\n").alias("chunk"))
+    chunks = chunked.where(F.col("chunk_no") < F.col("is_end_tot")).groupBy("file", "chunk_no").agg(_assemble("\n").alias("chunk"))
     body = F.regexp_replace(F.regexp_replace("chunk", _TRAILING_SPACE, ""), ",+$", "")
     parsed = extract_text(chunks.withColumn("body", body), "body")
     if on_error == "stop":
@@ -75,10 +76,10 @@ def rebuild_concatenated(spark: SparkSession, paths: str | list[str]) -> DataFra
     sums = running_sums(pos, {"delta": _count(F.col("value"), "{") - F.lit(1),
                               "nbytes": F.octet_length("value") + F.lit(1)})
     closed_part = sums.where(F.col("nbytes_cum") <= F.col("file_size"))
-    marked = running_sums(closed_part.drop("delta", "nbytes", "nbytes_cum"),
+    marked = running_sums(closed_part.drop("delta", "delta_tot", "nbytes", "nbytes_cum", "nbytes_tot"),
                           {"is_close": (F.col("delta_cum") == 0).cast("long")})
     objs = marked.withColumn("obj_no", F.col("is_close_cum") - F.col("is_close"))
-    grouped = before_last(objs, "is_close", "obj_no").groupBy("file", "obj_no").agg(_assemble("", "}").alias("buffer"))
+    grouped = objs.where(F.col("obj_no") < F.col("is_close_tot")).groupBy("file", "obj_no").agg(_assemble("", "}").alias("buffer"))
     one_line = F.trim(F.regexp_replace("buffer", r"[\r\n]+", " "))
     out = grouped.select("file", "obj_no", one_line.alias("line"))
     strict = out.withColumn("_ok", strict_value(F.col("line")).isNotNull())

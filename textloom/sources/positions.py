@@ -43,24 +43,17 @@ def read_positioned(spark: SparkSession, paths: str | list[str], line_sep: str |
 
 
 def running_sums(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
-    """Adds, for each ``name -> expr``, the column ``name`` and its inclusive running sum
-    ``name_cum`` over file order."""
+    """Adds, for each ``name -> expr``, the column ``name``, its inclusive running sum
+    ``name_cum`` over file order, and its sum over the file, ``name_tot``."""
     names = list(exprs)
     base = df.select("*", *[e.alias(n) for n, e in exprs.items()])
     per_block = base.groupBy("file", "block").agg(*[F.sum(n).alias(n) for n in names])
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_block.select("file", "block", *[
-        F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_off") for n in names])
+        c for n in names for c in (F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_off"),
+                                   F.sum(n).over(Window.partitionBy("file")).alias(f"{n}_tot"))])
     within = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     local = base.select("*", *[F.sum(n).over(within).alias(f"{n}_run") for n in names])
     out = local.join(offsets, ["file", "block"])
-    return out.select(*base.columns, *[(F.col(f"{n}_run") + F.col(f"{n}_off")).alias(f"{n}_cum") for n in names])
-
-
-def before_last(df: DataFrame, flag: str, number: str) -> DataFrame:
-    """Rows whose group ``number`` (flags before them in their file) is closed by a flagged row.
-
-    What follows the last flag of a file belongs to no group; it is dropped here, before anything is gathered.
-    """
-    closed = df.groupBy("file").agg(F.sum(flag).alias("_closed"))
-    return df.join(closed, "file").where(F.col(number) < F.col("_closed")).drop("_closed")
+    return out.select(*base.columns, *[c for n in names for c in (
+        (F.col(f"{n}_run") + F.col(f"{n}_off")).alias(f"{n}_cum"), F.col(f"{n}_tot"))])
