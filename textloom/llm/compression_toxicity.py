@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from textloom.llm.staging import only
+from textloom.llm.word_ids import give_back
 
 #: Bounds of the labelled sample.
 MAX_TOXIC = 1500
@@ -222,7 +223,9 @@ def score_column(model: ToxicityModel, text: Column) -> Column:
 
     @arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array([model.score(t.as_py().encode() if t.is_valid else b"") for t in texts], pa.float64())
+        out = pa.array([model.score(t.as_py().encode() if t.is_valid else b"") for t in texts], pa.float64())
+        give_back()
+        return out
 
     return score(text)
 

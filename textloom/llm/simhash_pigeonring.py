@@ -18,8 +18,6 @@ repeated rows are rows of one class; a null doc_id takes part but is never a com
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -30,6 +28,7 @@ from pyspark.sql.functions import arrow_udf
 
 from textloom.llm.components import components
 from textloom.llm.staging import only, stage
+from textloom.llm.word_ids import give_back
 
 #: Fixed values of the contract: shingle length, hash seed, most differing bits.
 SHINGLE = 4
@@ -37,8 +36,10 @@ SEED = 42
 DISTANCE = 4
 #: Buckets with more distinct fingerprints are dealt again.
 HOT = 100_000
+#: Bucket rows handled together on average.
+ROWS = 50_000
 #: Pairs compared at a time, and group sizes from which pivots are tried first.
-BLOCK = 1 << 21
+BLOCK = 1 << 20
 DENSE = 512
 PIVOTS = 64
 
@@ -72,6 +73,7 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE, seed: int = SEED) -
     @arrow_udf("long")
     def prints(texts: pa.Array) -> pa.Array:
         out = np.fromiter((fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle, seed) for t in texts), np.uint64, len(texts))
+        give_back()
         return pa.array(out.view(np.int64))
 
     return prints(text)
@@ -131,35 +133,59 @@ def _compare(fp: np.ndarray, a: np.ndarray, b: np.ndarray, start: int, ring: lis
         links.join(x[ok], y[ok])
 
 
-def _connect(fp: np.ndarray, start: int, distance: int, own: np.ndarray | None) -> _Links:
-    """Links among a bucket's distinct fingerprints that share the segment at ``start``.
+def _expand(first: np.ndarray, count: np.ndarray, a: np.ndarray, b: np.ndarray):
+    """All pairs of members of the groups a and b, some million at a time."""
+    size = count[a] * count[b]
+    ends = np.cumsum(size)
+    at = 0
+    while at < len(a):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK, "right")))
+        n = size[at:stop]
+        of = np.repeat(np.arange(at, stop), n)
+        within = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+        yield first[a[of]] + within // count[b[of]], first[b[of]] + within % count[b[of]]
+        at = stop
 
-    ``own``: for a bucket dealt again, the members' masked second segment; all agree, and all are one group.
-    """
+
+def _connect(fp: np.ndarray, bucket: np.ndarray, start: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (u, v) that connect the near fingerprints of each bucket; all buckets share the segment at ``start``."""
     ring = segments(distance)
-    links = _Links(len(fp))
     shift, width = ring[(start + 1) % len(ring)]
     second = ((fp >> np.uint64(shift)) & np.uint64((1 << width) - 1)).astype(np.int64)
-    order = np.argsort(second, kind="stable")
-    values, first, count = np.unique(second[order], return_index=True, return_counts=True)
-    groups = [order[i:i + n] for i, n in zip(first.tolist(), count.tolist(), strict=True)]
-    for g in groups:
-        if len(g) > DENSE:  # dense groups mostly hang together: a few pivots connect them without pairs
-            for _ in range(PIVOTS):
-                parts, n = np.unique(links.root[g], return_counts=True)
-                if len(parts) == 1:
-                    break
-                pivot = parts[np.argmax(-n)] if len(parts) == len(g) else g[np.argmin(n[np.searchsorted(parts, links.root[g])])]
-                near = g[np.bitwise_count(fp[g] ^ fp[pivot]) <= distance]
-                links.join(near, np.full(len(near), pivot))
-        if len(g) > 1:
-            _compare(fp, g, g, start, ring, distance, links)
+    full = bucket << width | second
+    order = np.lexsort((fp, full))
+    fp, full = fp[order], full[order]
+    links = _Links(len(fp))
+    values, first, count = np.unique(full, return_index=True, return_counts=True)
+    group = lambda k: np.arange(first[k], first[k] + count[k])
+    alone = np.flatnonzero(count > 1)
+    pairs = [(alone, alone)]
     for bit in range(width):
-        partner = np.searchsorted(values, values ^ (1 << bit))
-        partner = np.minimum(partner, len(values) - 1)
-        for k in np.flatnonzero((values[partner] == values ^ (1 << bit)) & (values < values ^ (1 << bit))).tolist():
-            _compare(fp, groups[k], groups[partner[k]], start, ring, distance, links)
-    return links
+        partner = np.minimum(np.searchsorted(values, values ^ (1 << bit)), len(values) - 1)
+        found = np.flatnonzero((values[partner] == values ^ (1 << bit)) & (values < values ^ (1 << bit)))
+        pairs.append((found, partner[found]))
+    for a, b in pairs:
+        small = count[a] * count[b] <= DENSE * DENSE
+        for i, j in _expand(first, count, a[small], b[small]):
+            ok = (i != j) & _chain_ok(fp[i] ^ fp[j], start, ring, distance)
+            links.join(i[ok], j[ok])
+        for k, m in zip(a[~small].tolist(), b[~small].tolist(), strict=True):
+            if k == m:  # a dense group mostly hangs together: a few pivots connect it without pairs
+                _pivots(fp, group(k), distance, links)
+            _compare(fp, group(k), group(m), start, ring, distance, links)
+    linked = np.flatnonzero(links.root != np.arange(len(fp)))
+    return fp[linked], fp[links.root[linked]]
+
+
+def _pivots(fp: np.ndarray, members: np.ndarray, distance: int, links: _Links) -> None:
+    """Link members to pivots of still small parts, as long as there are several parts."""
+    for _ in range(PIVOTS):
+        parts, n = np.unique(links.root[members], return_counts=True)
+        if len(parts) == 1:
+            return
+        pivot = parts[np.argmin(n)]
+        near = members[np.bitwise_count(fp[members] ^ fp[pivot]) <= distance]
+        links.join(near, np.full(len(near), pivot))
 
 
 def near_edges(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
@@ -179,13 +205,20 @@ def near_edges(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     again = F.when(F.col("hot"), masks).otherwise(F.array(F.struct(F.lit(-1).alias("bit"), F.lit(0).alias("rest"))))
     bucketed = marked.select("fp", "start", "first", F.explode(again).alias("m")).select("fp", "start", "first", "m.bit", "m.rest")
 
-    def link(rows: pd.DataFrame) -> pd.DataFrame:
-        fp = np.sort(rows["fp"].to_numpy(np.int64).view(np.uint64))
-        links = _connect(fp, int(rows["start"].iloc[0]), distance, None)
-        linked = np.flatnonzero(links.root != np.arange(len(fp)))
-        return pd.DataFrame({"u": fp[linked].view(np.int64), "v": fp[links.root[linked]].view(np.int64)})
+    # Buckets are small as a rule, so some hundreds of them go to Python together.
+    deals = max(1, n * prints.count() // ROWS)
+    whole = F.xxhash64("start", "first", "bit", "rest")
 
-    return bucketed.groupBy("start", "first", "bit", "rest").applyInPandas(link, "u long, v long")
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        u, v = [], []
+        for start, part in rows.groupby("start"):
+            _, bucket = np.unique(part[["first", "bit", "rest"]].to_numpy(np.int64) @ np.array([1 << 32, 1 << 20, 1]), return_inverse=True)
+            a, b = _connect(part["fp"].to_numpy(np.int64).view(np.uint64), bucket, int(start), distance)
+            u.append(a.view(np.int64))
+            v.append(b.view(np.int64))
+        return pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)})
+
+    return bucketed.groupBy(F.pmod(whole, F.lit(deals)).alias("deal")).applyInPandas(link, "u long, v long")
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
