@@ -12,26 +12,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import best_fit_packing, compression_toxicity, decontaminate, simhash_pigeonring, suffix_family
-from textloom.llm.queries import TOKENIZER, ship
+from textloom.llm.queries import TOKENIZER
 from textloom.llm.staging import stage
+from textloom.session import ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance classifier doesn't call toxic."""
-    ship(spark)
+    ship_package(spark)
     model = compression_toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(compression_toxicity.score_column(model, F.col("text")) < 0.5)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    ship(spark)
+    ship_package(spark)
     return simhash_pigeonring.deduplicate(docs, shingle=4, distance=4)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the passages that occur twice."""
-    ship(spark)
+    ship_package(spark)
     return suffix_family.remove_repeats(docs)
 
 
@@ -42,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining documents with their places in sequences."""
-    ship(spark)
+    ship_package(spark)
     return best_fit_packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), capacity=2048, end_id=0)
 
 

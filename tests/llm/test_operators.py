@@ -29,9 +29,8 @@ from textloom.llm import (
     warc_store,
 )
 from textloom.llm.components import components
-from textloom.llm.queries import ship
 from textloom.llm.word_ids import encoder
-from textloom.session import fresh_path
+from textloom.session import fresh_path, ship_package
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -40,7 +39,7 @@ DOCS = "doc_id long, text string, Doc_Id_ string, row string, _score string"
 
 @pytest.fixture(scope="module", autouse=True)
 def shipped(spark):
-    ship(spark)
+    ship_package(spark)
 
 
 def docs(spark, texts, ids=None):

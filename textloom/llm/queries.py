@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,6 +20,7 @@ from textloom.llm import (
     token_store,
     warc_store,
 )
+from textloom.session import ship_package
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -28,19 +28,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def ship(spark: SparkSession) -> None:
-    """Let Python workers on this machine find the package; a cluster gets it with --py-files."""
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-
-
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
 
     QUERIES[fn.__name__] = run
