@@ -17,8 +17,8 @@ Matches. A picked suffix stands for a run of windows. Runs with equal bytes thro
 repeat as a whole. A run that only begins or ends inside a repeat is settled by its own bytes: first ``RANGE`` windows at
 a time, by all their bytes and by those they share, and then, where the shared bytes repeat but not all, window by window.
 
-Counts are combined before each shuffle and joined back on the key, so a passage that a third of all texts hold
-costs each task one row per key. Equal texts are one text with a count. Nothing of the data's size reaches the driver.
+Runs of which a task has seen two alike are turned into spans at once, and counts are combined before each shuffle and
+joined back on the key, so a passage that a third of all texts hold costs each task a few rows per key. Equal texts are one text with a count. Nothing of the data's size reaches the driver.
 
 Defined results: null and empty texts have no bytes; a text of fewer than ``LENGTH`` bytes keeps all of them; copies of a
 text lose all their bytes; repeated rows are such copies.
@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from textloom.llm.staging import drop_path, release, stage
+from textloom.llm.word_ids import give_back
 from textloom.session import fresh_path
 
 #: Shortest repeat that is removed, and bytes of a sampled suffix's key.
@@ -46,8 +47,12 @@ GRAM = 64
 WINDOWS = LENGTH - GRAM + 1
 #: Windows of a run are compared this many at a time before they are compared one by one.
 RANGE = 16
+#: Batches a whole table is inserted in: each doubling costs one more rewrite of the arrays.
+BATCHES = 2
+#: Buckets whose repeated keys go to one file.
+BUCKETS_PER_FILE = 8
 #: Bytes of text hashed at a time; places in a chunk take POSITION_BITS bits.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 POSITION_BITS = 22
 
 _MASK = (1 << 64) - 1
@@ -167,12 +172,47 @@ def _suffix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = picked(data, ends)
         text = got["text"]
         shift = np.array(begins)[text] - (ends - np.diff(ends, prepend=0))[text]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(got["kh"]), pa.array(got["sh"]), pa.array(np.array(ids, np.int64)[text]), pa.array(got["at"] + shift),
-             pa.array(got["lo"] + shift), pa.array(got["hi"] + shift)], ["kh", "sh", "t", "at", "lo", "hi"])
+        t = np.array(ids, np.int64)[text]
+        at, lo, hi = (got[c] + shift for c in ("at", "lo", "hi"))
+        # Two runs of a kind stand for all of that kind here; the others are known to repeat.
+        more = _third_on(got["kh"], got["sh"])
+        yield _rows(got["kh"][~more], got["sh"][~more], t[~more], at[~more], lo[~more], hi[~more], 0)
+        of, start, stop = _joined_spans(text[more], lo[more], hi[more] + LENGTH)
+        t = np.array(ids, np.int64)[of]
+        with np.errstate(over="ignore"):
+            yield _rows(_mixed(t.view(np.uint64)).view(np.int64), t * 0, t, start, start, stop, 1)
+    give_back()
+
+
+def _third_on(kh: np.ndarray, sh: np.ndarray) -> np.ndarray:
+    """Whether two rows before each have the same keys."""
+    order = np.lexsort((sh, kh))
+    a, b = kh[order], sh[order]
+    out = np.zeros(len(order), bool)
+    out[order[2:]] = (a[2:] == a[:-2]) & (b[2:] == b[:-2])
+    return out
+
+
+def _joined_spans(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans (text, start, stop) in order, joined where they touch."""
+    if not len(text):
+        return text, start, stop
+    order = np.lexsort((start, text))
+    text, start, stop = text[order], start[order], stop[order]
+    far = int(stop.max()) + 2
+    reach = np.maximum.accumulate(stop + text * far)
+    first = np.flatnonzero(np.append(True, start[1:] + text[1:] * far > reach[:-1]))
+    last = np.append(first[1:], len(text)) - 1
+    return text[first], start[first], reach[last] - text[last] * far
 
 
-_SUFFIX = "kh long, sh long, t long, at long, lo long, hi long"
+def _rows(kh, sh, t, at, lo, hi, kind: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*map(pa.array, (kh, sh, t, at, lo, hi)), pa.array(np.full(len(kh), kind, np.int8))],
+                                      ["kh", "sh", "t", "at", "lo", "hi", "kind"])
+
+
+#: kind 0: a picked suffix; kind 1: a span (lo, hi) of windows that are known to repeat, under a key of its text.
+_SUFFIX = "kh long, sh long, t long, at long, lo long, hi long, kind byte"
 
 
 def text_key(text: Column, seed: int = 0) -> Column:
@@ -211,7 +251,7 @@ class SuffixFamily:
         for i, (_, level, _) in enumerate(self.levels):
             scan = scan.join(self.spark.table(level).select("kh", F.lit(True).alias(f"in_{i}")), "kh", "left")
             found |= F.col(f"in_{i}").isNotNull()
-        repeated = stage(scan.where(found).select("kh"), "repeated")
+        repeated = stage(scan.where(found).select("kh").coalesce(-(-self.buckets // BUCKETS_PER_FILE)), "repeated")
         self.levels.append((1, name, path))
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             self._merge()
@@ -245,14 +285,15 @@ def _texts(documents: DataFrame, text: str) -> tuple[DataFrame, DataFrame, int]:
     raise RuntimeError("text keys clash under every seed")
 
 
-def candidates(rows: DataFrame, batches: int) -> DataFrame:
-    """Picked suffixes whose key the family has found twice (staged)."""
+def candidates(rows: DataFrame, batches: int) -> tuple[DataFrame, DataFrame]:
+    """Picked suffixes whose key the family has found twice, and spans already known to repeat (both staged)."""
     spark = rows.sparkSession
     family = SuffixFamily(spark, fresh_path(spark, "family"), int(spark.conf.get("spark.sql.shuffle.partitions")))
     suffixes = rows.mapInArrow(_suffix_rows, _SUFFIX).withColumn("batch", F.pmod(F.xxhash64("t"), F.lit(batches)).cast("int"))
     # The one shuffle of all suffixes; arrays, scans and merges work on equal buckets from here on.
     all_name, _ = family.table(suffixes.repartition(family.buckets, "kh"), "all")
-    everything = spark.table(all_name)
+    everything = spark.table(all_name).where("kind = 0").drop("kind")
+    known = stage(spark.table(all_name).where("kind = 1").select("t", F.col("lo").alias("start"), F.col("hi").alias("stop")).distinct(), "known")
     repeated = None
     for b in range(batches):
         part = everything.where(F.col("batch") == b)
@@ -260,7 +301,7 @@ def candidates(rows: DataFrame, batches: int) -> DataFrame:
         repeated = found if repeated is None else repeated.union(found)
     out = stage(everything.drop("batch").join(repeated.distinct(), "kh").dropDuplicates(["kh", "t", "at", "lo"]), "candidates")
     family.close()
-    return out
+    return out, known
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,13 +387,13 @@ def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              ["w1", "w2", "t", "p", "need"])
 
 
-def repeated_spans(documents: DataFrame, text: str = "text", batches: int = 3) -> tuple[DataFrame, int]:
+def repeated_spans(documents: DataFrame, text: str = "text", batches: int = BATCHES) -> tuple[DataFrame, int]:
     """(t, spans) of every text with something to remove, and the seed of its key ``t``.
 
     ``spans`` is an array of (start, stop) in bytes; they may overlap.
     """
     rows, copies, seed = _texts(documents, text)
-    found = candidates(rows, batches)
+    found, known = candidates(rows, batches)
     release(rows.sparkSession)
     first = [F.first(c).alias(c) for c in ("t", "at", "lo", "hi")]
     classes = stage(found.groupBy("kh", "sh").agg(F.count(F.lit(1)).alias("n"), *first), "classes")
@@ -383,7 +424,7 @@ def repeated_spans(documents: DataFrame, text: str = "text", batches: int = 3) -
     partly = windows.where("need").join(equal, ["w1", "w2"]).select("t", F.col("p").alias("start"), (F.col("p") + LENGTH).alias("stop")).union(mostly)
 
     copied = copies.where("copies > 1").select("t", F.lit(0).cast("long").alias("start"), F.col("size").alias("stop"))
-    spans = whole.union(partly).union(copied).groupBy("t").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = whole.union(partly).union(known).union(copied).groupBy("t").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     return spans, seed
 
 
@@ -418,7 +459,7 @@ def _with_spans(documents: DataFrame, text: str, batches: int) -> DataFrame:
     return rows.join(spans, "t", "left").select("row", "text", "spans")
 
 
-def removal_report(documents: DataFrame, batches: int = 3) -> DataFrame:
+def removal_report(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
 
     @arrow_udf("struct<n_bytes: long, n_removed: long, n_spans: long, kept_sha256: string>")
@@ -435,7 +476,7 @@ def removal_report(documents: DataFrame, batches: int = 3) -> DataFrame:
     return rows.select(F.col("row.doc_id").alias("doc_id"), report(F.col("text"), F.col("spans")).alias("r")).select("doc_id", "r.*")
 
 
-def remove_repeats(documents: DataFrame, batches: int = 3) -> DataFrame:
+def remove_repeats(documents: DataFrame, batches: int = BATCHES) -> DataFrame:
     """The documents with repeated bytes taken out of ``text``; every row and column stays.
 
     A character of which a part is removed goes as a whole. ``n_chars``, if there, is counted anew.
