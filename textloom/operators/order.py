@@ -135,12 +135,15 @@ def first_n_rows(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
     cutoff = kth_smallest_id(df, n, id_col, distinct=False)
     if cutoff is None:  # no ids at all
         return _ranked(df, [F.xxhash64(*df.columns)]).where(F.col("_rank") < n).drop("_rank")
-    below = df.where(col <= F.lit(cutoff))
-    have, at = below.agg(F.count(F.lit(1)), F.sum((col == F.lit(cutoff)).cast("long"))).first()
+    le, eq, none = (col <= F.lit(cutoff)), (col == F.lit(cutoff)), col.isNull()
+    have, at, nulls = df.agg(*[F.coalesce(F.sum(c.cast("long")), F.lit(0)) for c in (le, eq, none)]).first()
+    below = df.where(le)
     if have == n:
         return below
-    if have < n:  # all ids, and rows without one
-        rest = _ranked(df.where(col.isNull()), [F.xxhash64(*df.columns)])
+    if have + nulls <= n:
+        return df
+    if have < n:  # all ids, and some of the rows without one
+        rest = _ranked(df.where(none), [F.xxhash64(*df.columns)])
         return below.unionByName(rest.where(F.col("_rank") < n - have).drop("_rank"))
     ties = _ranked(df.where(col == F.lit(cutoff)), [F.xxhash64(*df.columns)])
     return df.where(col < F.lit(cutoff)).unionByName(ties.where(F.col("_rank") < at - (have - n)).drop("_rank"))
