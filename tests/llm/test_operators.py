@@ -260,6 +260,31 @@ def test_extraction():
     assert text_density.extract("<div>" * 20_000 + "deep") == "deep"
 
 
+def prose(word, n, paragraphs=3):
+    """Paragraphs of n words each, and the text they are."""
+    texts = [" ".join(f"{word}{k}x{i}" for i in range(n)) for k in range(paragraphs)]
+    return "".join(f"<p>{t}</p>" for t in texts), " ".join(texts)
+
+
+def test_extraction_directly_under_body():
+    assert text_density.extract("<body><p>Alpha one</p><p>Beta two</p><p>Gamma three</p></body>") == "Alpha one Beta two Gamma three"
+    (a, a_text), (b, b_text), (c, c_text) = prose("a", 40), prose("b", 20), prose("c", 3, 1)
+    sections = "".join(f"<section><h2>Part</h2>{x}</section>" for x in (a, b, c))
+    want = f"Part {a_text} Part {b_text} Part {c_text}"
+    assert text_density.extract(f"<body>{sections}</body>") == want
+    assert text_density.extract(PAGE % sections) == want
+    assert text_density.extract(f"<body><div>{b}</div><div>{a}</div></body>") == f"{b_text} {a_text}"
+    links = "<div><ul>" + "<li><a href='/'>Another page</a></li>" * 12 + "</ul></div>"
+    assert text_density.extract(f"<body>{links}<div>{a}</div>{links}</body>") == a_text
+
+
+def test_extraction_article_cards():
+    story, text = prose("s", 60, 5)
+    cards = "".join(f"<article><h3>Card {i}</h3><p>Teaser of {i}.</p></article>" for i in range(3))
+    for page in (f"<body>{cards}<div>{story}</div></body>", f"<body><main>{cards}</main><div><div>{story}</div></div></body>"):
+        assert text_density.extract(page) == text
+
+
 def test_extraction_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % "<article><p>Text</p></article>", "x"), (None, None, None, "x"), (1, "u", "", "x")], "page_id long, url string, html string, Text string")
     assert sorted(map(str, text_density.extract_pages(pages).collect())) == sorted(

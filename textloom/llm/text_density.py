@@ -2,8 +2,10 @@
 
 For every DOM node: characters per tag, adjusted for links (Sun, Song and Liao, "DOM Based Content
 Extraction via Text Density"). A node's density sum adds its children's densities and that of its
-own direct text. The node with the largest sum seeds the article; the subtree grows along the path to the body
-while each parent is at least as dense as the whole body. Elements that are never article text
+own direct text. Of all nodes, body included, the one with the largest sum seeds the article; the subtree grows
+along the path to the body while each parent is at least as dense as the whole body. Blocks beside that path are taken
+too if most of their text is no link and their density or density sum reaches the least density on the path; a <section>
+beside a chosen <section> always is. The tags article and main decide nothing. Elements that are never article text
 (menus, headers, footers, adverts, comments ...) count for the body's density but can't be chosen.
 
 Defined results: null or empty html, or html without text, gives ""; broken or cut markup is read
@@ -56,13 +58,14 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total", "best")
 
     def __init__(self, tag: str, parent: _Node | None, boiler: bool):
         self.tag, self.parent, self.boiler = tag, parent, boiler
         self.parts: list = []  # text and child nodes in page order; None for a line break inside a block
         self.chars = self.tags = self.link_chars = self.link_tags = self.own = self.own_tags = 0
         self.density = self.total = 0.0
+        self.best: _Node | None = None  # the largest density sum below, this node included
 
 
 def _is_boiler(tag: str, attrs: str) -> bool:
@@ -175,30 +178,37 @@ def measure(nodes: list[_Node]) -> None:
             p.density for p in node.parts if isinstance(p, _Node) and p.tag not in INLINE and not p.boiler)
 
 
-def choose(nodes: list[_Node]) -> _Node | None:
-    """The article's node: the largest density sum, grown along the path to the body."""
+def choose(nodes: list[_Node]) -> list[_Node]:
+    """The article's nodes in page order, none inside another: the largest density sum of all nodes, body included, grown along
+    the path to the body, and what else reaches the least density on that path."""
     body = nodes[0]
-    able = [n for n in nodes[1:] if not n.boiler and n.tag not in INLINE and n.chars]
-    marked = [n for n in able if n.tag == "article"] or [n for n in able if n.tag == "main"]
-    if marked:  # the page says where its articles are: the densest of them bounds the search
-        top = max(marked, key=lambda n: n.total)
-        inside = {id(top)}
-        for n in able:
-            if n.parent is not None and id(n.parent) in inside:
-                inside.add(id(n))
-        able = [n for n in able if id(n) in inside]
-        limit = top
-    else:
-        limit = None
-    if not able:
-        return body if body.chars else None
-    seed = max(able, key=lambda n: n.total)
-    if body.own and body.own / (body.own_tags + 1) > seed.total and not marked:
-        return body
-    while seed is not limit and seed.parent is not None and seed.parent is not body and (
-            limit is not None or seed.parent.density >= body.density):
-        seed = seed.parent
-    return seed
+    if not body.chars:
+        return []
+    for node in reversed(nodes):
+        node.best = node if node.tag not in INLINE and not node.boiler and node.chars else None
+        for part in node.parts:
+            if isinstance(part, _Node) and part.best is not None and (node.best is None or part.best.total > node.best.total):
+                node.best = part.best
+    up, least = body.best, body.density
+    while up is not body:
+        least = min(least, up.density)
+        up = up.parent
+    chosen: list[_Node] = []
+    scopes = [(body, True)]
+    while scopes:
+        scope, sure = scopes.pop()
+        top = scope.best
+        if top is None or not sure and (max(top.total, top.density) < least or 2 * top.link_chars > top.chars):
+            continue
+        while top is not scope and top.parent is not body and top.parent.density >= body.density:
+            top = top.parent
+        chosen.append(top)
+        inner = top
+        while inner is not scope:  # what stands beside the path is judged on its own
+            scopes += [(p, p.tag == inner.tag == "section") for p in inner.parent.parts if isinstance(p, _Node) and p is not inner]
+            inner = inner.parent
+    taken = {id(n) for n in chosen}
+    return [n for n in nodes if id(n) in taken]
 
 
 def block_text(node: _Node) -> str:
@@ -242,8 +252,7 @@ def extract(page: str | None) -> str:
         return ""
     _, nodes = parse(page)
     measure(nodes)
-    node = choose(nodes)
-    return block_text(node) if node is not None else ""
+    return " ".join(filter(None, map(block_text, choose(nodes))))
 
 
 def _extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
