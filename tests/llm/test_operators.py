@@ -285,6 +285,19 @@ def test_extraction_article_cards():
         assert text_density.extract(page) == text
 
 
+def test_extraction_wrapper_classes():
+    story, text = prose("s", 40)
+    for names in ("layout with-sidebar", "no-sidebar", "has-header", "page site-footer-fixed", "sidebar", "header menu", "cookie-notice"):
+        page = f'<body><div class="{names}"><article>{story}</article><div class="sidebar"><p>Side text</p></div></div><footer>Foot</footer></body>'
+        assert text_density.extract(page) == text, names
+    assert text_density.extract(f"<body><form><nav>Menu</nav><div id='comments'>{story}</div></form><p>x</p></body>") == text
+    assert text_density.extract(f"<body><article>{story}<div class='legal-history'><p>Of law</p></div><div class='share'>Share it</div></article></body>") == text + " Of law"
+    comments = "<div id='comments'>" + "<div><span>Name</span> <b>at</b> <p>A remark of a few words</p></div>" * 30 + "</div>"
+    assert text_density.extract(f"<body><article>{story}</article>{comments}</body>") == text
+    assert text_density.extract(f"<body><article><p>Short</p></article><footer>{story}</footer></body>") == "Short"
+    assert text_density.extract(f"<body><div hidden>{story}</div><p>x</p></body>") == "x"
+
+
 def test_extraction_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % "<article><p>Text</p></article>", "x"), (None, None, None, "x"), (1, "u", "", "x")], "page_id long, url string, html string, Text string")
     assert sorted(map(str, text_density.extract_pages(pages).collect())) == sorted(

@@ -6,7 +6,9 @@ own direct text. Of all nodes, body included, the one with the largest sum seeds
 along the path to the body while each parent is at least as dense as the whole body. Blocks beside that path are taken
 too if most of their text is no link and their density or density sum reaches the least density on the path; a <section>
 beside a chosen <section> always is. The tags article and main decide nothing. Elements that are never article text
-(menus, headers, footers, adverts, comments ...) count for the body's density but can't be chosen.
+(menus, headers, footers, adverts, comments ...) count for the body's density but can't be chosen. What marks them is their
+tag, role, or a class or id made of words of a list; the mark of a word or a form doesn't hold where the node has most of
+the page's unlinked text and a larger density sum than any unmarked node outside.
 
 Defined results: null or empty html, or html without text, gives ""; broken or cut markup is read
 as far as it goes; text outside any tag belongs to the body; ties go to the outer node, then to the
@@ -34,13 +36,18 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 BOILER_TAGS = frozenset("nav header footer aside form button menu dialog fieldset input optgroup option datalist "
                         "figcaption audio video head".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog menu menubar".split())
-#: Words of a class or id that mark what isn't article text.
+#: Words that mark what isn't article text: a class or id is such a word, or made of such words only ("cookie-notice").
 BOILER_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar sidebars aside widget widgets header masthead footer comment comments disqus reply "
     "replies respond reactions related recommended recommendations share sharing social toolbar pagination pager skip copyright "
     "legal disclaimer".split())
+#: Kinds of ``boiler``: by a word, or a form, which may wrap a whole page, so that the density sums may overrule it; by anything else.
+MARKED, FIRM = 1, 2
+WRAPPERS = frozenset(("form", "fieldset"))
+#: A node with more than this share of the page's unlinked text holds most of it.
+MOST_TEXT = 2 / 3
 #: A start tag on the left closes an open element on the right.
 _P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                        "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section table td th tr ul dd dt body".split())
@@ -58,37 +65,39 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total", "best")
+    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total", "best", "most", "free")
 
-    def __init__(self, tag: str, parent: _Node | None, boiler: bool):
+    def __init__(self, tag: str, parent: _Node | None, boiler: int):
         self.tag, self.parent, self.boiler = tag, parent, boiler
         self.parts: list = []  # text and child nodes in page order; None for a line break inside a block
         self.chars = self.tags = self.link_chars = self.link_tags = self.own = self.own_tags = 0
         self.density = self.total = 0.0
+        self.most = self.free = 0.0  # the largest density sum below, marks aside, and below no mark
         self.best: _Node | None = None  # the largest density sum below, this node included
 
 
-def _is_boiler(tag: str, attrs: str) -> bool:
-    if tag in BOILER_TAGS:
-        return True
+def _mark(tag: str, attrs: str) -> int:
+    """``MARKED``, ``FIRM`` or 0 by an element's own tag and attributes."""
+    mark = 0 if tag not in BOILER_TAGS else MARKED if tag in WRAPPERS else FIRM
     if not attrs or tag in ("body", "html", "article", "main"):
-        return False
+        return mark
     for m in _ATTR.finditer(attrs):
         kind = m[1].lower()
         value = (m[2] or m[3] or m[4] or "").lower()
         if kind == "role":
             if value.strip() in BOILER_ROLES:
-                return True
-        elif kind == "hidden" or kind == "aria-hidden" and value == "true":
-            return True
-        elif not BOILER_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+                return FIRM
+        elif kind == "hidden" or kind == "aria-hidden":
+            if kind == "hidden" or value == "true":
+                return FIRM
+        elif any(words and BOILER_WORDS.issuperset(words) for words in map(_WORD.findall, value.split())):
+            mark = mark or MARKED
+    return mark
 
 
 def parse(page: str) -> tuple[_Node, list[_Node]]:
     """A light DOM: the root, and every node in page order. Tolerates unclosed and stray tags."""
-    root = _Node("body", None, False)
+    root = _Node("body", None, 0)
     nodes, at, pos = [root], root, 0
     for m in _TOKEN.finditer(page):
         if m.start() > pos:
@@ -129,7 +138,7 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
                 at = up.parent
         if tag == "br" or tag == "hr":
             at.parts.append(None)
-        node = _Node(tag, at, at.boiler or _is_boiler(tag, m[4]))
+        node = _Node(tag, at, _mark(tag, m[4]))
         at.parts.append(node)
         nodes.append(node)
         if tag not in VOID and not m[4].endswith("/"):
@@ -172,10 +181,30 @@ def measure(nodes: list[_Node]) -> None:
     body = nodes[0]
     for node in reversed(nodes):
         node.density = _composite(node, body.chars, body.link_chars)
-        if node.boiler:
-            continue
-        node.total = node.own / (node.own_tags + 1) + sum(
-            p.density for p in node.parts if isinstance(p, _Node) and p.tag not in INLINE and not p.boiler)
+        below = [p for p in node.parts if isinstance(p, _Node)]
+        node.total = node.own / (node.own_tags + 1) + sum(p.density for p in below if p.tag not in INLINE)
+        sums = [node.total if node.tag not in INLINE else 0.0]
+        node.most = max(sums + [p.most for p in below])
+        node.free = 0.0 if node.boiler else max(sums + [p.free for p in below])
+    overrule(body)
+    for node in nodes[1:]:
+        node.boiler = node.parent.boiler or node.boiler
+    for node in nodes:
+        if not node.boiler:
+            node.total -= sum(p.density for p in node.parts if isinstance(p, _Node) and p.tag not in INLINE and p.boiler)
+
+
+def overrule(body: _Node) -> None:
+    """Lift the marks of nodes that hold most of the page's unlinked text and a larger density sum than all unmarked nodes outside."""
+    page, outside, at = body.chars - body.link_chars, 0.0, body
+    while at is not None and at.boiler != FIRM:
+        below = [p for p in at.parts if isinstance(p, _Node)]
+        at = next((p for p in below if p.chars - p.link_chars > MOST_TEXT * page), None)
+        outside = max([outside, *(p.free for p in below if p is not at)])
+        if at is not None and at.boiler == MARKED:
+            if at.most <= outside:
+                return
+            at.boiler = 0
 
 
 def choose(nodes: list[_Node]) -> list[_Node]:
