@@ -377,6 +377,37 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs(spark, texts), bench.limit(0)).count() == 0
 
 
+def contaminated_brute(texts, items):
+    """(doc, item) -> (similarity, first shingle) by the counts of every window."""
+    def cut(text):
+        words = (text or "").lower().split()
+        return [tuple(words[i:i + 5]) for i in range(max(len(words) - 4, 1))] if words else []
+
+    out = {}
+    for (i, text), (j, item) in [(d, b) for d in enumerate(texts) for b in items]:
+        have, want = cut(text), cut(item)
+        best = (0.0, 0)
+        for at in range(max(len(have) - len(want), 0) + 1):
+            a, b = Counter(have[at:at + len(want)]), Counter(want)
+            best = max(best, (sum((a & b).values()) / max(sum((a | b).values()), 1), -at))
+        if best[0] >= 0.8:
+            out[i, j] = (round(best[0], 6), -best[1])
+    return out
+
+
+def test_decontamination_of_repeated_and_templated_items(spark):
+    run = lambda w, n: " ".join(f"{w}{i}" for i in range(n))
+    twice, often, lead = run("q", 59), run("z", 59), run("lead", 40)
+    items = [(i, twice) for i in range(2)] + [(i, often) for i in range(10, 20)] + [(i, f"{lead} {run(f'n{i}x', 19)}") for i in range(30, 36)]
+    changed = lambda text, word: f"before it {text.replace(f' {word} ', ' changed ')} and after"
+    texts = [changed(twice, "q30"), changed(often, "z30"), changed(items[-1][1], "lead20"), twice, lead, "clean text " * 30]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_shingle"]) for r in decontaminate.contaminated(docs(spark, texts), bench).collect()}
+    want = contaminated_brute(texts, items)
+    assert got == want and {(0, 0), (0, 1), (2, 35)} | {(1, i) for i in range(10, 20)} < set(want) and want[0, 0][0] == 0.833333
+    assert sorted(r["doc_id"] for r in decontaminate.remove_contaminated(docs(spark, texts), bench).collect()) == [4, 5]
+
+
 def test_simhash_columns(spark):
     hashes = [random.Random(i).getrandbits(63) - (1 << 62) for i in range(9)]
     got = spark.createDataFrame([(hashes,)], "h array<bigint>").select(decontaminate.simhash(F.col("h"))).first()[0]
