@@ -158,6 +158,23 @@ def test_packing(spark):
     assert best_fit_packing.pack_documents(docs(spark, []), TOKENIZER).count() == 0
 
 
+def test_packed_sequences_hold_the_ids(spark):
+    random.seed(2)
+    texts = ODD_TEXTS + ["tok " * random.randint(1, 60) for _ in range(300)]
+    table, path = docs(spark, texts).repartition(3), fresh_path(spark, "packed")
+    best_fit_packing.write_sequences(table, TOKENIZER, capacity=50, end_id=0, path=path)
+    parts = {}
+    for r in spark.read.parquet(path).collect():
+        ids = np.frombuffer(r["ids"], best_fit_packing.id_kind(TOKENIZER, 0)).tolist()
+        assert len(ids) == sum(p["length"] for p in r["pieces"]) <= 50
+        for p in r["pieces"]:
+            parts[p["doc_id"], p["start"]] = ids[p["offset"]:p["offset"] + p["length"]]
+    whole = {}
+    for (i, _), ids in sorted(parts.items()):
+        whole.setdefault(i, []).extend(ids)
+    assert whole == {i: [*ids_of(t), 0] for i, t in enumerate(texts)}
+
+
 def test_bin_plans_hold_every_piece():
     for seed in range(200):
         random.seed(seed)
