@@ -74,6 +74,28 @@ def test_toxicity_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got.values())
 
 
+def test_toxicity_prior_of_all_labels(spark):
+    random.seed(4)
+    plain = [f"w{random.randint(0, 400)}" for _ in range(5000)]
+    rows = []
+    for i in range(900):
+        words = random.choices(plain, k=60)
+        for _ in range(random.randint(0, 3) if i % 9 == 0 else i % 40 == 1):
+            words[random.randrange(len(words))] = random.choice(["horrible", "despicable", "vileness", "wretched"])
+        rows.append((i, " ".join(words), int(i % 9 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    usable = table.where(~compression_toxicity.held_out(F.col("doc_id")))
+    n = {t: usable.where(F.col("toxic") == t).count() for t in (0, 1)}
+    fit = lambda most: compression_toxicity.fit(table, table, max_toxic=n[1], max_ordinary=most)
+    whole, capped = fit(n[0]), fit(n[1])
+    texts = {t: [r[1].encode() for r in rows if r[2] == t] for t in (0, 1)}
+    assert np.mean([whole.score(t) for t in texts[0] + texts[1]]) == pytest.approx(1 / 9, abs=0.03)
+    assert np.mean([capped.score(t) for t in texts[0] + texts[1]]) == pytest.approx(1 / 9, abs=0.05)
+    sampled = compression_toxicity.train(texts[1], texts[0][:100])
+    shifted = compression_toxicity.train(texts[1], texts[0][:100], (100, 800))
+    assert shifted.slope == sampled.slope and shifted.bias - sampled.bias == pytest.approx(np.log(100 / 800))
+
+
 def test_toxicity_odd_rows(spark):
     model = compression_toxicity.train([b"vile words here " * 4] * 40, [b"plain words there " * 4] * 40)
     got = compression_toxicity.score_documents(docs(spark, ODD_TEXTS, ODD_IDS), model).collect()

@@ -12,7 +12,9 @@ from one part of the labelled sample and distributions and calibration from the
 is judged by a dictionary that holds it.
 
 The labelled sample is bounded: ``max_toxic`` and ``max_ordinary`` documents, lowest key hash first, of at
-most ``max_bytes`` bytes each; its size doesn't follow the input's. Scoring covers every window of every text.
+most ``max_bytes`` bytes each; its size doesn't follow the input's. The calibration's bias is shifted from the
+sample's odds of toxic to ordinary documents to those of all usable labels, so that a score doesn't depend on the
+bounds. Scoring covers every window of every text.
 
 Defined results: null and empty texts have no window and get the score of no evidence; without a toxic or
 without an ordinary label every score is 0 or 1 as all labels are, and 0 without any; repeated rows are scored each; a label
@@ -159,8 +161,8 @@ class ToxicityModel:
         return 1.0 / (1.0 + math.exp(-min(max(x, -40.0), 40.0)))
 
 
-def train(toxic: list[bytes], ordinary: list[bytes]) -> ToxicityModel:
-    """Fit on labelled texts (held in memory; see the bounds above)."""
+def train(toxic: list[bytes], ordinary: list[bytes], counts: tuple[int, int] | None = None) -> ToxicityModel:
+    """Fit on labelled texts (held in memory; see the bounds above), a sample of ``counts`` toxic and ordinary ones."""
     if not toxic or not ordinary:
         return ToxicityModel(b"", b"", constant=1.0 if toxic else 0.0)
     # Two of three documents give the dictionaries, the third the calibration.
@@ -179,6 +181,8 @@ def train(toxic: list[bytes], ordinary: list[bytes]) -> ToxicityModel:
     x = np.array([model.evidence(g) for g in (*g_tox, *g_plain)])
     y = np.concatenate([np.ones(len(g_tox)), np.zeros(len(g_plain))])
     model.slope, model.bias = _logistic(x, y)
+    n_toxic, n_plain = counts or (len(toxic), len(ordinary))
+    model.bias += math.log(n_toxic / n_plain) - math.log(len(g_tox) / len(g_plain))
     return model
 
 
@@ -208,6 +212,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max
     # Choose by key first; only the chosen documents' texts are shuffled and sent.
     usable = only(documents, "doc_id", "text").where(~held_out(F.col("doc_id")) & F.octet_length("text").between(1, max_bytes))
     keys = marks.where(~held_out(F.col("doc_id"))).join(usable.select("doc_id"), "doc_id", "left_semi")
+    counts = dict(keys.groupBy("toxic").count().collect())
     parts = {}
     for mark, most in ((1, max_toxic), (0, max_ordinary)):
         chosen = keys.where(F.col("toxic") == mark).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -215,7 +220,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max
         rows = usable.where(F.col("doc_id").isin(ids)).collect() if ids else []
         texts = {r["doc_id"]: r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))}
         parts[mark] = [texts[i].encode() for i in ids]
-    return train(parts[1], parts[0])
+    return train(parts[1], parts[0], (counts.get(1, 0), counts.get(0, 0)))
 
 
 def score_column(model: ToxicityModel, text: Column) -> Column:
