@@ -12,7 +12,10 @@ from textloom.llm import (
     best_fit_packing,
     compression_toxicity,
     decontaminate,
+    exact_dedup,
+    filter_audit,
     jump_shards,
+    ranked_search,
     repetition,
     simhash_pigeonring,
     suffix_family,
@@ -97,3 +100,27 @@ def op3_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op3_simhash_windows"] = decontaminate.ORACLE_SQL
+
+
+@_query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=50)
+
+
+ORACLE_SQL["op11_ranked_search"] = ranked_search.ORACLE_SQL
+
+
+@_query
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicate_report(_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_exact_dedup"] = exact_dedup.ORACLE_SQL
+
+
+@_query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+ORACLE_SQL["op13_filter_audit"] = filter_audit.ORACLE_SQL
