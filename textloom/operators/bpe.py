@@ -1,19 +1,5 @@
-"""Vocabulary learning: pre-token counts (T2), alphabet (T3), special tokens (T5),
-byte-pair merges (T4) and the vocabulary tables (K3, K4, A7).
-
-Merge learning runs as rounds of Spark jobs over the table of *distinct* pre-tokens
-``(ids ARRAY<INT>, n BIGINT)``.  A round
-
-1. counts adjacent pairs (array operations over a batch of words, summed before the shuffle)
-   and takes the top candidates by (count desc, left id, right id) -- the order the
-   sequential trainer pops its queue in;
-2. bounds, for each candidate (A, B), the count of any pair a merge of (A, B) can
-   create: (X, AB) occurs min(c(X, A), c(A, B)) times at most, (AB, Y) likewise;
-3. accepts candidates in order while the result provably equals the sequential
-   algorithm: a candidate must not share a boundary symbol with an accepted one
-   (its count would change), must beat every accepted bound (a new pair could
-   otherwise come first), and the batch ends after a pair of equal symbols or a
-   merge whose token string already exists (its count would grow).
+"""Vocabulary learning: pre-token counts (T2), alphabet (T3), special tokens (T5) and the vocabulary tables (K3, K4,
+A7). The merges (T4) are learned in ``textloom.operators.merges``.
 
 The driver keeps only the merge list and token strings, bounded by ``vocab_size``.
 """
@@ -21,16 +7,13 @@ The driver keeps only the merge list and token strings, bounded by ``vocab_size`
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.bytelevel import byte_symbols, pretokens
-from textloom.session import materialize, remove_stage
+from textloom.operators.merges import learn_merges
 
 # Special tokens, in id order, of the two variants.
 SPECIALS_CLI = ["<unk>", "<s>", "</s>", "<pad>", "<|im_start|>", "<|im_end|>", "<knowledge>", "</knowledge>",
@@ -39,8 +22,6 @@ SPECIALS_PIPELINE = ["<unk>", "<s>", "</s>", "<pad>", "<|im_start|>", "<|im_end|
                      "<k_res>", "<k_end>"]
 UNK, BOS, EOS, PAD = "<unk>", "<s>", "</s>", "<pad>"
 
-_SHIFT = 1 << 32  # pair key = left * 2^32 + right (ids < 2^31)
-
 
 def pretoken_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``(token, n)`` over all texts (raw, unmapped pre-tokens)."""
@@ -134,157 +115,6 @@ def initial_vocabulary(alphabet: list[str], specials: list[str]) -> Vocabulary:
     return Vocabulary(tokens, kinds, [], list(specials))
 
 
-def _eligible_prefix(top: list[tuple[int, int]], vocab: Vocabulary, ids: dict[str, int]) -> int:
-    """How many leading candidates pass every acceptance rule except the trigram bound."""
-    lefts, rights, made = set(), set(), set()
-    for k, (p, _) in enumerate(top):
-        a, b = divmod(p, _SHIFT)
-        token = vocab.tokens[a] + vocab.tokens[b]
-        if k and (a in rights or b in lefts or token in made):
-            return k
-        made.add(token)
-        lefts.add(a)
-        rights.add(b)
-        if a == b or token in ids:
-            return k + 1
-    return len(top)
-
-
-def _pair_bounds(top: list[tuple[int, int]], rest: int) -> dict[int, int]:
-    """Bound from pair counts alone: merging (A, B) creates (X, AB) at most min(c(X,A), c(A,B))
-    times and (AB, Y) at most min(c(B,Y), c(A,B)) times.  Pairs outside the fetched list
-    count at most ``rest`` (the first count not fetched)."""
-    max_right: dict[int, int] = {}
-    max_left: dict[int, int] = {}
-    for p, c in top:
-        a, b = divmod(p, _SHIFT)
-        max_left[a] = max(max_left.get(a, 0), c)
-        max_right[b] = max(max_right.get(b, 0), c)
-    out = {}
-    for p, c in top:
-        a, b = divmod(p, _SHIFT)
-        out[p] = min(c, max(max_right.get(a, 0), max_left.get(b, 0), rest))
-    return out
-
-
-def _select_batch(fetched, candidates, vocab, ids, vocab_size) -> dict[int, int]:
-    """Accept the exact batch of merges for this round (see module docstring)."""
-    top, rest = fetched[:candidates], (fetched[candidates][1] if len(fetched) > candidates else 0)
-    bounds = _pair_bounds(top, rest)
-    accepted: dict[int, int] = {}
-    limit = -1
-    for p, c in top[:_eligible_prefix(top, vocab, ids)]:
-        if vocab.size >= vocab_size or (accepted and c <= limit):
-            break
-        a, b = divmod(p, _SHIFT)
-        token = vocab.tokens[a] + vocab.tokens[b]
-        new_id = ids.get(token, vocab.size)
-        if new_id == vocab.size:
-            vocab.tokens.append(token)
-            vocab.kinds.append("merge")
-            ids[token] = new_id
-        vocab.merges.append((a, b, new_id))
-        accepted[p] = new_id
-        limit = max(limit, bounds.get(p, c))
-    return accepted
-
-
-def merge_round(symbols: np.ndarray, word: np.ndarray, merges: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Apply one round's merges to all words at once: ``symbols`` in order, and the word each is in.
-
-    Accepted pairs share no boundary symbol, so two of them never overlap; only a pair of equal symbols overlaps
-    itself, and of such a run every other place counts, from the left.
-    """
-    if len(symbols) < 2:
-        return symbols, word
-    keys = np.array(sorted(merges), np.int64)
-    pair = symbols[:-1].astype(np.int64) * _SHIFT + symbols[1:]
-    at = np.minimum(np.searchsorted(keys, pair), len(keys) - 1)
-    hit = (keys[at] == pair) & (word[:-1] == word[1:])
-    place = np.flatnonzero(hit)
-    if not len(place):
-        return symbols, word
-    run = np.flatnonzero(np.append(True, np.diff(place) > 1))
-    nth = np.arange(len(place)) - np.repeat(run, np.diff(np.append(run, len(place))))
-    place = place[nth % 2 == 0]
-    out = symbols.copy()
-    out[place] = np.array([merges[k] for k in keys.tolist()], np.int32)[at[place]]
-    keep = np.ones(len(symbols), bool)
-    keep[place + 1] = False
-    return out[keep], word[keep]
-
-
-def _flat(batch: pa.RecordBatch, rounds: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, word numbers, word counts) of a batch after the given rounds."""
-    ids = batch.column("ids")
-    symbols = ids.flatten().to_numpy().astype(np.int32)
-    word = np.repeat(np.arange(len(batch)), ids.value_lengths().to_numpy())
-    for merges in rounds:
-        symbols, word = merge_round(symbols, word, merges)
-    return symbols, word, batch.column("n").to_numpy()
-
-
-def _pair_counts(words: DataFrame, rounds: list[dict[int, int]]) -> DataFrame:
-    """``(p, c)``: adjacent-pair counts of the words after the given rounds, summed in each batch before the shuffle."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            symbols, word, n = _flat(b, rounds)
-            inside = word[:-1] == word[1:]
-            pair = (symbols[:-1].astype(np.int64) * _SHIFT + symbols[1:])[inside]
-            keys, at = np.unique(pair, return_inverse=True)
-            total = np.zeros(len(keys), np.int64)
-            np.add.at(total, at, n[word[:-1][inside]])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["p", "n"])
-
-    return words.mapInArrow(count, "p long, n long").groupBy("p").agg(F.sum("n").alias("c"))
-
-
-def _merged_words(words: DataFrame, rounds: list[dict[int, int]]) -> DataFrame:
-    """The words after the given rounds; words of one symbol are done and dropped."""
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            symbols, word, n = _flat(b, rounds)
-            size = np.bincount(word, minlength=len(b))
-            left = size > 1
-            ends = np.concatenate([[0], np.cumsum(size[left])]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols[left[word]]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n[left])], ["ids", "n"])
-
-    return words.mapInArrow(merge, "ids array<int>, n long")
-
-
-def learn_merges(words: DataFrame, vocab: Vocabulary, vocab_size: int, min_frequency: int = 2,
-                 candidates: int = 1024, rewrite_every: int = 24, log=None) -> Vocabulary:
-    """T4: extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency.
-
-    The words are a written table. A round reads it, applies the rounds since it was written and counts pairs,
-    a batch of words at a time in arrays; every ``rewrite_every`` rounds the merged words are written anew, and
-    the table before is removed. Lineage never grows, and a lost task repeats one batch.
-    """
-    ids = vocab.token_ids()
-    floor = max(1, min_frequency)
-    table = materialize(words.select("ids", F.col("n").cast("long").alias("n")), "bpe-words")
-    rounds: list[dict[int, int]] = []
-    done = 0
-    while vocab.size < vocab_size:
-        counts = _pair_counts(table, rounds).where(F.col("c") >= floor)
-        fetched = [(r["p"], r["c"]) for r in counts.orderBy(F.desc("c"), F.asc("p")).limit(candidates + 1).collect()]
-        if not fetched:
-            break
-        rounds.append(_select_batch(fetched, candidates, vocab, ids, vocab_size))
-        done += 1
-        if log:
-            log(f"round {done}: {len(rounds[-1])} merges, vocab {vocab.size}")
-        if len(rounds) == rewrite_every:
-            table, old = materialize(_merged_words(table, rounds), "bpe-words"), table
-            remove_stage(old)
-            rounds = []
-    remove_stage(table)
-    return vocab
-
-
 def train_bpe(texts: DataFrame, vocab_size: int = 32_000, min_frequency: int = 2,
               specials: list[str] | None = None, text_col: str = "text", **kw) -> Vocabulary:
     """Learn a byte-level BPE vocabulary from a frame of texts."""

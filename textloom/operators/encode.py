@@ -9,6 +9,7 @@ table it holds is bounded by the vocabulary size. Decoding is built-in expressio
 
 from __future__ import annotations
 
+import heapq
 import re
 import uuid
 
@@ -22,6 +23,8 @@ from textloom.operators.bpe import BOS, EOS, UNK, Vocabulary
 
 #: Distinct pre-tokens a worker keeps the ids of.
 CACHE_TOKENS = 200_000
+#: Ids of a pre-token kept at most: a text without spaces is one pre-token.
+LONGEST_KEPT = 64
 #: Texts in one batch of pre-tokens.
 ROWS_PER_BATCH = 2_048
 
@@ -44,36 +47,50 @@ def text_pieces(text: Column, specials: list[str]) -> Column:
         F.regexp_extract_all(r, F.lit(PRETOKEN_PATTERN), 0))))
 
 
-def merge_token(token: str, first: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """Ids of one pre-token: its bytes, merged by the lowest rank first, leftmost of equal ranks."""
+def merge_token(token: str, first: list[int], ranks: dict[int, tuple[int, int]]) -> list[int]:
+    """Ids of one pre-token: its bytes, merged by the lowest rank first, leftmost of equal ranks.
+
+    The symbols are a linked list and the pairs that can merge a queue by (rank, place), so a pre-token of n bytes takes
+    O(n log n) steps. ``ranks`` maps left id * 2**32 + right id to (rank, new id).
+    """
     ids = [first[b] for b in token.encode()]
-    while len(ids) > 1:
-        hits = [(ranks[pair], i) for i, pair in enumerate(zip(ids, ids[1:])) if pair in ranks]
-        if not hits:
-            break
-        (rank, new), _ = min(hits)
-        out, i = [], 0
-        while i < len(ids):
-            if ranks.get(tuple(ids[i:i + 2]), (None,))[0] == rank:
-                out.append(new)
-                i += 2
-            else:
-                out.append(ids[i])
-                i += 1
-        ids = out
-    return ids
+    n = len(ids)
+    after = list(range(1, n + 1))
+    before = list(range(-1, n - 1))
+    queue = [(hit[0] << 40) + i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (hit := ranks.get((a << 32) + b))]
+    heapq.heapify(queue)
+    while queue:
+        rank, i = divmod(heapq.heappop(queue), 1 << 40)
+        j = after[i]
+        if ids[i] < 0 or j == n:
+            continue
+        hit = ranks.get((ids[i] << 32) + ids[j])
+        if hit is None or hit[0] != rank:
+            continue  # the pair that was queued is gone
+        ids[i], ids[j] = hit[1], -1
+        after[i] = k = after[j]
+        if k < n:
+            before[k] = i
+            if hit := ranks.get((ids[i] << 32) + ids[k]):
+                heapq.heappush(queue, (hit[0] << 40) + i)
+        k = before[i]
+        if k >= 0 and (hit := ranks.get((ids[k] << 32) + ids[i])):
+            heapq.heappush(queue, (hit[0] << 40) + k)
+    return [i for i in ids if i >= 0]
 
 
 def _ids_udf(vocab: Vocabulary, specials: list[str]):
     ids = vocab.token_ids()
     unk = ids.get(UNK, 0)
     first = [ids.get(c, unk) for c in byte_chars()]
-    ranks = {(a, b): (r, n) for r, (a, b, n) in enumerate(vocab.merges)}
+    ranks = {(a << 32) + b: (r, n) for r, (a, b, n) in enumerate(vocab.merges)}
     fixed = {s: [ids[s]] for s in specials}
     name = uuid.uuid4().hex  # of this vocabulary's cache in a worker
 
     @F.arrow_udf("array<int>")
     def to_ids(pieces: pa.Array) -> pa.Array:
+        if name not in _CACHES:  # a worker keeps the cache of one vocabulary
+            _CACHES.clear()
         cache = _CACHES.setdefault(name, {})
         coded = pieces.flatten().dictionary_encode()
         table = []
@@ -81,7 +98,7 @@ def _ids_udf(vocab: Vocabulary, specials: list[str]):
             got = fixed.get(token) or cache.get(token)
             if got is None:
                 got = merge_token(token, first, ranks)
-                if len(cache) < CACHE_TOKENS:
+                if len(cache) < CACHE_TOKENS and len(got) <= LONGEST_KEPT:
                     cache[token] = got
             table.append(got)
         lengths = pa.array(table, pa.list_(pa.int32()))

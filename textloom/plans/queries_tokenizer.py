@@ -13,9 +13,8 @@ from textloom.plans.registry import query
 from textloom.plans.stages import vocabulary_stage
 from textloom.sources.tables import table_path
 
-# Job parameters of the registered vocabulary: over the whole corpus, but of fewer tokens than the jobs' default
-# of 32,000, which takes some thousands of rounds.
-QUERY_VOCAB_SIZE, MIN_FREQUENCY = 1_000, 2
+# Parameters of the registered vocabulary: the jobs' own, over the whole corpus.
+QUERY_VOCAB_SIZE, MIN_FREQUENCY = 32_000, 2
 CONTEXT_SIZE, CHUNK_OVERLAP = 1024, 0  # fixed values from the model configs
 
 # DuckDB restatement of the pre-token pattern: RE2 has no lookahead, so a \x01 marks the
