@@ -81,16 +81,18 @@ def sniff_dirs(docs: DataFrame) -> str:
     return _write_lines(docs, value, "json_sniff", partition_by="lang")
 
 
-def concatenated_json(docs: DataFrame) -> str:
+def concatenated_json(docs: DataFrame, escape_braces: bool = True) -> str:
     """Objects one after another: pretty-printed for en/de, compact for fr/es.
 
-    The brace counter isn't string-aware, so braces inside texts are written as JSON escapes; all documents
-    are written.
+    A scanner that takes no notice of strings needs the braces inside texts written as JSON escapes; a ``string_aware``
+    one reads them as they are. All documents are written.
     """
-    escaped = F.replace(F.replace(json_string(F.col("text")), F.lit("{"), F.lit("\\u007b")), F.lit("}"), F.lit("\\u007d"))
+    text = json_string(F.col("text"))
+    if escape_braces:
+        text = F.replace(F.replace(text, F.lit("{"), F.lit("\\u007b")), F.lit("}"), F.lit("\\u007d"))
     head = F.concat(F.lit('"doc_id":'), F.col("doc_id").cast("string"))
-    compact = F.concat(F.lit("{"), head, F.lit(',"text":'), escaped, F.lit("}"))
-    pretty = F.concat(F.lit("{\n  "), head, F.lit(',\n  "text": '), escaped, F.lit("\n}"))
+    compact = F.concat(F.lit("{"), head, F.lit(',"text":'), text, F.lit("}"))
+    pretty = F.concat(F.lit("{\n  "), head, F.lit(',\n  "text": '), text, F.lit("\n}"))
     return _write_lines(docs, F.when(F.col("lang").isin("en", "de"), pretty).otherwise(compact), "json_concat")
 
 

@@ -107,6 +107,16 @@ def json_concat_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objs.select(_doc_id(), variant_string(F.variant_get("obj", "$.text", "variant")).alias("text"))
 
 
+@query("json_concat_strings", "SELECT doc_id, text || ' {' || lang || '} \"}' AS text FROM documents")
+def json_concat_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5, string-aware: braces and quotes inside texts neither open nor close an object."""
+    docs = _docs(spark, sf_dir)
+    braced = docs.withColumn("text", F.concat("text", F.lit(" {"), "lang", F.lit('} "}')))
+    objs = rebuild_concatenated(spark, fixtures.concatenated_json(braced, escape_braces=False), string_aware=True)
+    objs = objs.withColumn("obj", strict_value(F.col("line")))
+    return objs.select(_doc_id(), variant_string(F.variant_get("obj", "$.text", "variant")).alias("text"))
+
+
 @query("json_recovered_count",
        "SELECT 'multiline' AS scan, CAST(count(*) AS BIGINT) AS n FROM documents UNION ALL "
        "SELECT 'concatenated', CAST(count(*) AS BIGINT) FROM documents")

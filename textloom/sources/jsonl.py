@@ -8,14 +8,19 @@ and count the quarantined ones in the same pass.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.json import (TEXT_KEYS, first_present_key, has_key, is_blank, is_object, key_value,
+from textloom.functions.json import (TEXT_KEYS, _reread_line, first_present_key, is_object, key_value,
                                      reread, strict_value, text_status, variant_string)
+from textloom.session import fresh_path
 from textloom.sources.positions import read_positioned
 
 SNIFF_LINES = 10  # fixed value: lines tested to decide the format of a file
+BROADCAST_FILES = 500_000  # files whose modes are broadcast (a path each)
 
 
 def extract_text(df: DataFrame, line_col: str = "value", keys: list[str] = TEXT_KEYS) -> DataFrame:
@@ -51,44 +56,60 @@ def strict_jsonl(spark: SparkSession, paths: str | list[str], key: str = "text")
     return checked.where(F.col("status") != "no_key").select("obj", "text")
 
 
-def sniff_files(spark: SparkSession, paths: str | list[str] | DataFrame) -> DataFrame:
+def _sniff(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, block, nth, ok) of the first lines of a split; returns, and with it ends the scan, after ``SNIFF_LINES``."""
+    nth = 0
+    for b in batches:
+        file, block, ok = [], [], []
+        for row in b.slice(0, SNIFF_LINES - nth).to_pylist():
+            file.append(row["file"])
+            block.append(row["block"])
+            ok.append(not row["value"].strip() or _reread_line(row["value"], [])[0] != "invalid")
+        yield pa.RecordBatch.from_arrays([pa.array(file, pa.string()), pa.array(block, pa.int64()),
+                                          pa.array(range(nth, nth + len(ok)), pa.int64()), pa.array(ok, pa.bool_())], ["file", "block", "nth", "ok"])
+        nth += len(ok)
+        if nth >= SNIFF_LINES:
+            return
+
+
+def sniff_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """S3: per file, ``jsonl`` if every non-blank line among the first 10 parses, else ``multiline``.
 
-    Only the first lines of each split are shuffled: ``row_number <= 10`` per split is
-    planned as a group limit before the exchange; per-split line counts give the
-    offset of each split inside its file.
+    Each split is a task of its own that reads at most ten lines in small batches and ends, so what is read follows the
+    number of splits and no line is shuffled. A split with fewer lines than ten has given all it has; the file's next
+    split goes on counting. The result is a written table with one row per file.
     """
-    pos = paths if isinstance(paths, DataFrame) else read_positioned(spark, paths)
-    per_block = pos.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_block.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
-    near_start = offsets.where(F.col("off") < SNIFF_LINES)
-    rn = F.row_number().over(Window.partitionBy("file", "block").orderBy("seq"))
-    head = (pos.join(near_start, ["file", "block"], "left_semi").withColumn("rn", rn)
-            .where(F.col("rn") <= SNIFF_LINES).join(near_start, ["file", "block"])
-            .where(F.col("off") + F.col("rn") <= SNIFF_LINES))
-    strict = is_blank(F.col("value")) | strict_value(F.col("value")).isNotNull()
-    ok = F.coalesce(reread(F.when(~strict, F.col("value")))["status"] != "invalid", F.lit(True))
-    return head.withColumn("ok", ok).groupBy("file").agg(
-        F.when(F.bool_and("ok"), F.lit("jsonl")).otherwise(F.lit("multiline")).alias("mode"))
+    own = spark.newSession()  # its settings are its own: a split per task, batches of ten lines
+    own.conf.set("spark.sql.files.openCostInBytes", own.conf.get("spark.sql.files.maxPartitionBytes"))
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(SNIFF_LINES))
+    lines = read_positioned(own, paths).select("file", "block", "value").mapInArrow(_sniff, "file string, block long, nth long, ok boolean")
+    before = Window.partitionBy("file").orderBy("block", "nth")
+    first = lines.withColumn("place", F.row_number().over(before)).where(F.col("place") <= SNIFF_LINES)
+    modes = first.groupBy("file").agg(F.when(F.bool_and("ok"), F.lit("jsonl")).otherwise(F.lit("multiline")).alias("mode"))
+    path = fresh_path(spark, "file-modes")
+    modes.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str = "stop") -> DataFrame:
     """S3 dispatch: each file is read line by line (S2) or rebuilt from multi-line objects.
 
-    File modes are computed once into a small stage (one row per file); lines reach
-    their extractor through semi joins on it, so no file list passes through the driver.
-    Returns ``file, mode, status, key, text, obj``.
+    File modes are a small written table (one row per file); lines find their extractor by joining it, broadcast up
+    to ``BROADCAST_FILES`` files. Returns ``file, mode, status, key, text, obj``.
     """
-    from textloom.session import materialize
     from textloom.sources.jsonscan import rebuild_multiline
 
     pos = read_positioned(spark, paths)
-    modes = materialize(sniff_files(spark, pos), "file-modes")
-    jsonl_files = modes.where(F.col("mode") == "jsonl").select("file")
-    multi_files = modes.where(F.col("mode") == "multiline").select("file")
-    line_rows = extract_text(pos.join(jsonl_files, "file", "left_semi")).select(
-        "file", F.lit("jsonl").alias("mode"), "status", "key", "text", "obj")
-    rebuilt = rebuild_multiline(spark, pos.join(multi_files, "file", "left_semi"), on_error).select(
+    modes = sniff_files(spark, paths)
+    few = modes.count() <= BROADCAST_FILES
+
+    def of(mode: str) -> DataFrame:
+        files = modes.where(F.col("mode") == mode).select("file")
+        if few:  # the scan's own order stays
+            return pos.join(F.broadcast(files), "file", "left_semi")
+        return pos.join(files, "file", "left_semi").repartition("file", "block").sortWithinPartitions("file", "block", "seq")
+
+    line_rows = extract_text(of("jsonl")).select("file", F.lit("jsonl").alias("mode"), "status", "key", "text", "obj")
+    rebuilt = rebuild_multiline(spark, of("multiline"), on_error).select(
         "file", F.lit("multiline").alias("mode"), "status", "key", "text", "obj")
     return line_rows.unionByName(rebuilt)
