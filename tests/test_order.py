@@ -86,3 +86,60 @@ def test_written_splits_are_in_shuffle_order(spark, tmp_path):
     for part in ("train", "valid"):
         want = [f'{{"text":"{r.id}"}}' for r in split.where(F.col("split") == part).orderBy("key", "source", "id").collect()]
         assert got[part] == want
+
+
+def test_selection_for_any_ordered_type_equals_a_full_sort(spark, monkeypatch):
+    import datetime
+    import random
+
+    rng = random.Random(3)
+    monkeypatch.setattr(order, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(order, "SPLITTERS", 5)
+    start = datetime.datetime(2020, 1, 1)
+    columns = {
+        "string": ["é" + str(rng.randrange(300)) if rng.random() < 0.5 else f"u{rng.randrange(40)}" for _ in range(700)] + ["hot"] * 300,
+        "timestamp": [start + datetime.timedelta(seconds=rng.randrange(10_000)) for _ in range(1000)],
+        "double": [rng.choice([0.5, -1.25, 3e9, 7.0]) * rng.randrange(100) for _ in range(1000)],
+        "binary": [bytes([rng.randrange(256) for _ in range(rng.randrange(3))]) for _ in range(1000)],
+    }
+    for kind, values in columns.items():
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 50, f"id {kind}").repartition(7)
+        ordered = sorted(values)
+        for k in (1, 17, 500, 1000):
+            value, below, same = order.kth_smallest_value(df, k, "id")
+            assert (value, below, same) == (ordered[k - 1], sum(v < ordered[k - 1] for v in values), values.count(ordered[k - 1]))
+        assert order.kth_smallest_value(df, 1001, "id") is None
+        for n in (3, 640, 1000, 1020, 2000):
+            got = [r.id for r in order.first_n_rows(df, n).collect()]
+            assert len(got) == min(n, 1050) and sorted(bytes(v) if kind == "binary" else v for v in got if v is not None) == ordered[:n]
+
+
+def test_equal_ids_are_cut_by_content_whatever_the_partitioning(spark):
+    rows = [("hot", f"t{i}") for i in range(500)] + [("a", "first")]
+    taken = [sorted(r.text for r in order.first_n_rows(spark.createDataFrame(rows, "id string, text string").repartition(p), 101).collect()) for p in (1, 6)]
+    assert taken[0] == taken[1] and len(taken[0]) == 101 and "first" in taken[0]
+
+
+def test_prefix_in_dataset_order(spark, tmp_path):
+    from textloom.sources import rowprefix
+    from textloom.sources.tables import parquet_text_source
+
+    path = str(tmp_path / "a set")  # a name that is escaped in file paths
+    spark.range(1000).select((1000 - F.col("id")).alias("x"), F.concat(F.lit("t"), "id").alias("text")).repartitionByRange(9, F.desc("x")).sortWithinPartitions(F.desc("x")).write.parquet(path)
+    for n in (0, 1, 99, 100, 640, 1000, 5000, None):
+        got = sorted((r.row_no, r.text) for r in rowprefix.rows_in_order(spark, path, n).collect())
+        assert got == [(i, f"t{i}") for i in range(1000)][:n]
+    # Files beyond the prefix are neither counted nor read.
+    df = spark.read.parquet(path)
+    files = sorted(set(df.inputFiles()))
+    assert len(rowprefix.file_rows(df, 5)) == 1 and len(rowprefix.file_rows(df, 1000)) == len(files)
+    broken = files[-1].replace("file://", "").replace("%20", " ")
+    with open(broken, "wb") as f:
+        f.write(b"not a parquet file")
+    assert rowprefix.rows_in_order(spark, path, 300).count() == 300
+    source = parquet_text_source(spark, path, "web")
+    assert [r.id for r in source.load(5).orderBy("id").collect()] == [0, 1, 2, 3, 4]
+    with pytest.raises(ValueError, match="no column idd"):
+        parquet_text_source(spark, path, "web", id_col="idd").load(5)
+    spark.range(0).select("id", F.lit("t").alias("text")).write.parquet(str(tmp_path / "none"))
+    assert rowprefix.rows_in_order(spark, str(tmp_path / "none"), 4).count() == 0

@@ -41,7 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     c = sub.add_parser("prepare-chatml")
     c.add_argument("--first", required=True, help="Parquet dataset with `conversations` (from/value turns)")
     c.add_argument("--second", required=True, help="Parquet dataset with `conversation` (role/content turns)")
-    c.add_argument("--id-column", default="id")
+    c.add_argument("--id-column", default=None, help="order of the items (default: the order of the files and their rows)")
     c.add_argument("--samples", "-n", type=int, default=50_000)
     c.add_argument("--output", "-o", default="chatml_train")
     c.add_argument("--hermes-only", action="store_true")
@@ -65,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--web", required=True)
     m.add_argument("--first", required=True)
     m.add_argument("--second", required=True)
-    m.add_argument("--id-column", default="id")
+    m.add_argument("--id-column", default=None, help="order of the items (default: the order of the files and their rows)")
     m.add_argument("--output", "-o", required=True)
     m.add_argument("--total", type=int, default=500_000)
     m.add_argument("--web-ratio", type=float, default=0.7)
@@ -73,14 +73,14 @@ def main(argv: list[str] | None = None) -> int:
     d = sub.add_parser("chatml-set")
     d.add_argument("--first", required=True)
     d.add_argument("--second", required=True)
-    d.add_argument("--id-column", default="id")
+    d.add_argument("--id-column", default=None, help="order of the items (default: the order of the files and their rows)")
     d.add_argument("--output", "-o", required=True)
     d.add_argument("--samples", "-n", type=int, default=100_000)
     d.add_argument("--hermes-ratio", type=float, default=0.7)
 
     x = sub.add_parser("text-set")
     x.add_argument("--items", required=True, help="Parquet dataset with a `text` column")
-    x.add_argument("--id-column", default="id")
+    x.add_argument("--id-column", default=None, help="order of the items (default: the order of the files and their rows)")
     x.add_argument("--output", "-o", required=True)
 
     r = sub.add_parser("run-all")

@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import materialize
-
 # Histograms are refined down to buckets of at most this many rows; the driver sees no more of them.
 BUCKET_ROWS = 4_096
+# Values that a selection pass cuts its range at.
+SPLITTERS = 48
 # Rows per file of a written shuffled set.
 ROWS_PER_FILE = 250_000
 _HEX_STEP = 4  # hex digits per histogram level -> 65,536 buckets
@@ -119,50 +119,84 @@ def first_n_ids(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
     return df.limit(0) if cutoff is None else df.where(F.col(id_col) <= F.lit(cutoff))
 
 
+def kth_smallest_value(df: DataFrame, k: int, col: str) -> tuple[object, int, int] | None:
+    """(value, rows below it, rows that equal it) of the k-th smallest (1-based) non-null value of a column of any ordered type.
+
+    Each pass draws ``SPLITTERS`` rows between the bounds found so far and counts the rows between and at their
+    values, so the range shrinks by about that factor; a value that many rows share is drawn soon and then found at once. The driver sees the splitters and their counts, and at most ``BUCKET_ROWS`` rows of the last range. Nothing is
+    sorted or written. None if there are fewer than k.
+    """
+    values = df.select(F.col(col).alias("v")).where(F.col("v").isNotNull())
+    inside, skipped = F.lit(True), 0
+    while True:
+        part = values.where(inside)
+        rows = part.count()
+        if k - skipped > rows or k < 1:
+            return None
+        # Which rows are drawn has no influence on the result, only on the number of passes.
+        drawn = part if rows <= BUCKET_ROWS else part.orderBy(F.rand(17)).limit(SPLITTERS)
+        picked = [bytes(r["v"]) if isinstance(r["v"], bytearray) else r["v"] for r in drawn.collect()]
+        cuts = sorted(set(picked))
+        if rows <= BUCKET_ROWS:
+            at = sorted(picked)[k - skipped - 1]
+            return at, skipped + sum(v < at for v in picked), picked.count(at)
+        table = F.array(*[F.lit(v) for v in cuts])
+        below = F.size(F.filter(table, lambda x: x < F.col("v")))
+        place = (2 * below + F.array_contains(table, F.col("v")).cast("int")).alias("place")
+        for place_no, n in sorted(tuple(r) for r in part.groupBy(place).count().collect()):
+            if k - skipped <= n:
+                break
+            skipped += n
+        if place_no % 2:
+            return cuts[place_no // 2], skipped, n
+        if place_no:
+            inside = inside & (F.col("v") > F.lit(cuts[place_no // 2 - 1]))
+        if place_no // 2 < len(cuts):
+            inside = inside & (F.col("v") < F.lit(cuts[place_no // 2]))
+
+
 def first_n_rows(df: DataFrame, n: int | None, id_col: str = "id") -> DataFrame:
     """L2 for item tables: exactly the first ``n`` rows by id (``train[:n]``), or all if there are fewer.
 
-    Rows without an id come last. Integer ids are cut by ``id <= cutoff`` in the scan; rows of the cutoff id are
-    counted out in content order. Ids of other types are ranked over a written, range-sorted copy.
+    Rows without an id come last. Ids of any ordered type are cut by ``id <= cutoff`` in the scan; rows of the cutoff id are
+    chosen by a hash of their content, so the same rows are taken however the table is partitioned.
     """
     if n is None:
         return df
     if n <= 0:
         return df.limit(0)
     col = F.col(id_col)
-    if dict(df.dtypes)[id_col] not in ("bigint", "int", "smallint", "tinyint"):
-        return _ranked(df, [col.isNull(), col, F.xxhash64(*df.columns)]).where(F.col("_rank") < n).drop("_rank")
-    cutoff = kth_smallest_id(df, n, id_col, distinct=False)
-    if cutoff is None:  # no ids at all
-        return _ranked(df, [F.xxhash64(*df.columns)]).where(F.col("_rank") < n).drop("_rank")
-    le, eq, none = (col <= F.lit(cutoff)), (col == F.lit(cutoff)), col.isNull()
-    have, at, nulls = df.agg(*[F.coalesce(F.sum(c.cast("long")), F.lit(0)) for c in (le, eq, none)]).first()
-    below = df.where(le)
+    if dict(df.dtypes)[id_col] in ("bigint", "int", "smallint", "tinyint"):
+        cutoff = kth_smallest_id(df, n, id_col, distinct=False)
+        if cutoff is None:  # no ids at all
+            return _some_rows(df, n)
+        le, eq, none = (col <= F.lit(cutoff)), (col == F.lit(cutoff)), col.isNull()
+        have, at, nulls = df.agg(*[F.coalesce(F.sum(c.cast("long")), F.lit(0)) for c in (le, eq, none)]).first()
+        before = have - at
+    else:
+        found = kth_smallest_value(df, n, id_col)
+        if found is None:
+            have, nulls = df.agg(F.count(col), F.count(F.lit(1)) - F.count(col)).first()
+            le = col.isNotNull()
+        else:
+            cutoff, before, at = found
+            have, nulls, le = before + at, 0, col <= F.lit(cutoff)
     if have == n:
-        return below
-    if have + nulls <= n:
-        return df
+        return df.where(le)
     if have < n:  # all ids, and some of the rows without one
-        rest = _ranked(df.where(none), [F.xxhash64(*df.columns)])
-        return below.unionByName(rest.where(F.col("_rank") < n - have).drop("_rank"))
-    ties = _ranked(df.where(col == F.lit(cutoff)), [F.xxhash64(*df.columns)])
-    return df.where(col < F.lit(cutoff)).unionByName(ties.where(F.col("_rank") < at - (have - n)).drop("_rank"))
+        return df if have + nulls <= n else df.where(le).unionByName(_some_rows(df.where(col.isNull()), n - have))
+    return df.where(col < F.lit(cutoff)).unionByName(_some_rows(df.where(col == F.lit(cutoff)), n - before))
 
 
-def _ranked(df: DataFrame, by: list[Column]) -> DataFrame:
-    """``_rank`` of each row in the order of ``by`` (0-based), from a written, range-sorted copy.
-
-    Each file is sorted and the files are in order, so a row's rank is its place in its file plus the rows
-    of the files before: a table with one row per file, never a single-task sort.
-    """
-    keyed = df.select("*", *[c.alias(f"_by{i}") for i, c in enumerate(by)])
-    names = [f"_by{i}" for i in range(len(by))]
-    done = materialize(keyed.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names), "ranked")
-    task = F.regexp_extract(F.col("_metadata.file_name"), "^part-([0-9]+)", 1).cast("long")
-    at = done.select("*", task.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = at.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return at.join(offsets, "_file").withColumn("_rank", F.col("_off") + F.col("_row")).drop("_file", "_row", "_off")
+def _some_rows(df: DataFrame, n: int) -> DataFrame:
+    """``n`` rows, those of least content hash; rows of one hash are taken as they come."""
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    found = kth_smallest_value(hashed, n, "_hash")
+    if found is None:
+        return df
+    cutoff, before, _ = found
+    at = hashed.where(F.col("_hash") == F.lit(cutoff)).limit(n - before)
+    return hashed.where(F.col("_hash") < F.lit(cutoff)).unionByName(at).drop("_hash")
 
 
 def holdout_count(n: int, ratio: float = 0.05, at_least_one: bool = False) -> int:

@@ -13,6 +13,7 @@ from textloom.operators.mix import (chatml_budgets, counts_by_source, mix_source
 from textloom.plans.registry import query
 from textloom.plans.sql_snippets import KNOWN_ROLES, NL, chat_cte, holdout_sql, key_sql, web_cte
 from textloom.session import fresh_path, materialize
+from textloom.sources.rowprefix import rows_in_order
 from textloom.sources.sinks import write_jsonl, write_splits, written_order
 from textloom.sources.tables import role_chat_source, standard_sources, table_path, tolerant_load
 
@@ -213,6 +214,28 @@ def prefix_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order.first_n_rows(docs, n)
 
 
+@query("prefix_n_text_id",
+       "SELECT lang || '/' || doc_id AS id, text FROM documents ORDER BY lang || '/' || doc_id LIMIT (SELECT count(*) // 3 FROM documents)")
+def prefix_n_text_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L2 over text ids: a third of the documents by ``lang/doc_id``, by selection of the cutoff."""
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select(F.concat_ws("/", "lang", "doc_id").alias("id"), "text")
+    return order.first_n_rows(docs, docs.count() // 3)
+
+
+@query("prefix_dataset_order",
+       "SELECT doc_id, text, row_no FROM (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id) - 1 AS row_no FROM documents) t "
+       "WHERE row_no < (SELECT count(*) // 2 FROM documents)")
+def prefix_dataset_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first half of a dataset in the order of its files and rows, with no id to go by.
+
+    The dataset is ``documents`` written range-sorted by doc_id over several files; doc_id isn't used by the prefix.
+    """
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text")
+    path = fresh_path(spark, "ordered-dataset")
+    docs.repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return rows_in_order(spark, path, docs.count() // 2).select("doc_id", "text", "row_no")
+
+
 # ---------------------------------------------------------------- splits
 
 def _chatml_cli(spark, sf_dir):

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.chat import group_turns
 from textloom.operators.order import first_n_ids, first_n_rows
+from textloom.sources.rowprefix import rows_in_order
 
 log = logging.getLogger(__name__)
 
@@ -91,22 +92,36 @@ def role_chat_source(spark: SparkSession, path: str, name: str = "capybara") ->
     return Source(name, "chat", load, ROLE_CHAT_SCHEMA, "conversation")
 
 
-def parquet_text_source(spark: SparkSession, path: str, name: str, id_col: str = "id",
+def _items(spark: SparkSession, path: str, id_col: str | None, n: int | None) -> DataFrame:
+    """The first ``n`` items with their ``id``: by ``id_col``, or in dataset order with their row number as id."""
+    if id_col is None:
+        return rows_in_order(spark, path, n, "_row_no").withColumn("id", F.col("_row_no")).drop("_row_no")
+    return first_n_rows(spark.read.parquet(path).withColumn("id", F.col(id_col)), n)
+
+
+def _needed(df: DataFrame, cols: list[str], given: str) -> None:
+    """A column that the caller named wrongly is the caller's error, not a source without rows."""
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"{given} has no column {', '.join(missing)} (it has {', '.join(df.columns)})")
+
+
+def parquet_text_source(spark: SparkSession, path: str, name: str, id_col: str | None = None,
                         text_col: str = "text", kind: str = "web") -> Source:
-    """A Parquet dataset of text items; ``id_col`` gives the dataset order for ``train[:n]``."""
+    """A Parquet dataset of text items. Its order for ``train[:n]`` is that of ``id_col``, or of the files and their rows."""
     def load(n):
-        df = spark.read.parquet(path).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-        return first_n_rows(df, n)
+        _needed(spark.read.parquet(path), [c for c in (id_col, text_col) if c], path)
+        return _items(spark, path, id_col, n).select("id", F.col(text_col).alias("text"))
     return Source(name, kind, load, WEB_SCHEMA)
 
 
 def parquet_chat_source(spark: SparkSession, path: str, name: str, turns_field: str,
-                        id_col: str = "id") -> Source:
-    """A Parquet dataset of chat items with a nested list of turns (struct or map turns)."""
+                        id_col: str | None = None) -> Source:
+    """A Parquet dataset of chat items with a nested list of turns (struct or map turns), ordered as a text source is."""
     def load(n):
         df = spark.read.parquet(path)
-        cols = [F.col(id_col).alias("id")] + ([F.col(turns_field)] if turns_field in df.columns else [])
-        return first_n_rows(df.select(*cols), n)
+        _needed(df, [id_col] if id_col else [], path)
+        return _items(spark, path, id_col, n).select("id", *([turns_field] if turns_field in df.columns else []))
     schema = f"id BIGINT, {turns_field} ARRAY<STRUCT<role: STRING, content: STRING>>"
     return Source(name, "chat", load, schema, turns_field)
 
@@ -124,7 +139,7 @@ def standard_sources(spark: SparkSession, sf_dir: str) -> dict[str, Source]:
 #: What a failed analysis or a failed scan raises (the latter may come unconverted from the JVM).
 READ_ERRORS = (PySparkException, Py4JJavaError)
 #: Error conditions that say that a source isn't there, isn't the expected shape, or can't be read.
-SOURCE_FAULTS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "UNRESOLVED_COLUMN", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "FIELD_NOT_FOUND")
+SOURCE_FAULTS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "FIELD_NOT_FOUND")
 
 
 def is_source_fault(exc: BaseException) -> bool:
