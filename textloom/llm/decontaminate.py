@@ -6,8 +6,8 @@ document ends before; the whole document if it is shorter). A window whose simil
 threshold holds at least threshold * L of the item's shingles, so windows with fewer are never fingerprinted.
 
 Every window left gets a 64-bit SimHash. Fingerprints are cut into ``radius + 1`` blocks: two that differ in at
-most ``radius`` bits agree in one block at least, so a join on (window size, block number, block value) finds all items within
-the radius. Candidates are verified by the exact similarity, weighted by counts,
+most ``radius`` bits agree in one block at least, so a join on (item, block number, block value) finds, of the items that a window
+was found by, all within the radius. Candidates are verified by the exact similarity, weighted by counts,
 
     sum over the item's shingles of min(count in item, count in window)
     / (sum over the item's shingles of max(...) + the window's shingles that the item hasn't got),
@@ -25,8 +25,7 @@ Defined results: null and empty texts, of documents and items alike, match nothi
 doc_id; repeated items count as one item with the least item_id of equal shingles each on its own; a null doc_id or
 item_id is reported as null; empty tables give an empty result; other columns are ignored.
 
-``ORACLE_SQL`` weighs an item's shingle by one over the number of items that hold it; it gives the same rows only
-where no window lacks, or repeats, a shingle that several items share.
+``ORACLE_SQL`` states the same rule, similarity by counts, without fingerprints.
 """
 
 from __future__ import annotations
@@ -34,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.staging import only, stage
+from textloom.llm.staging import only, stage, text_digest, without_rows
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -89,8 +88,8 @@ def _key(doc_id: Column, text: Column) -> Column:
     return F.xxhash64(doc_id, text)
 
 
-def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, item_id, similarity, first_shingle): the best window of every document and item that match."""
+def _matches(documents: DataFrame, benchmark: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """(doc_id, digest, item_id, similarity, first) of every window that reaches the threshold, by document row and item."""
     items = stage(only(benchmark, "item_id", "text").withColumn("words", word_hashes(F.col("text")))
                   .select("item_id", shingle_hashes(F.col("words")).alias("shingles")).where(F.size("shingles") > 0)
                   .withColumn("item", F.xxhash64("item_id", "shingles")), "items")
@@ -113,34 +112,42 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
     begins = stage(
         ranked.withColumn("rank_2", F.col("rank") + need - 1).join(ahead, ["key", "item", "rank_2"])
         .where((F.col("pos_2") < F.col("pos") + F.col("n")))
-        .select("key", "n", "first")
+        .select("key", "n", "first", "item")
         # Where the document ends before the window does, the window is moved left: it holds all hits to the end.
-        .union(ranked.where((F.col("pos") > F.col("have") - F.col("n"))).select("key", "n", "first"))
-        .distinct(), "windows")
+        .union(ranked.where((F.col("pos") > F.col("have") - F.col("n"))).select("key", "n", "first", "item"))
+        .groupBy("key", "n", "first").agg(F.collect_set("item").alias("items")), "windows")
     n_begins = begins.count()
 
-    asked = begins.groupBy("key").agg(F.collect_set(F.struct("n", "first")).alias("windows"))
+    asked = begins.groupBy("key").agg(F.collect_list(F.struct("n", "first", "items")).alias("windows"))
     found = (docs.withColumn("key", _key(F.col("doc_id"), F.col("text"))).join(_small(asked, n_begins), "key")
-             .select("doc_id", "windows", word_hashes(F.col("text")).alias("words"))
-             .select("doc_id", "windows", shingle_hashes(F.col("words")).alias("shingles"))
-             .select("doc_id", "shingles", F.explode("windows").alias("at"))
-             .select("doc_id", "at.n", "at.first", F.slice("shingles", F.col("at.first") + 1, F.col("at.n")).alias("window")).distinct())
+             .select("doc_id", text_digest(F.col("text")).alias("digest"), "windows", word_hashes(F.col("text")).alias("words"))
+             .select("doc_id", "digest", "windows", shingle_hashes(F.col("words")).alias("shingles"))
+             .select("doc_id", "digest", "shingles", F.explode("windows").alias("at"))
+             .select("doc_id", "digest", "at.n", "at.first", "at.items", F.slice("shingles", F.col("at.first") + 1, F.col("at.n")).alias("window")).distinct())
     marked = stage(found.withColumn("fp", simhash(F.col("window"))), "window-prints")
     targets = items.select("item_id", "item", F.size("shingles").alias("n"), simhash(F.col("shingles")).alias("item_fp"))
     parts = stage(shingles.groupBy("item").agg(F.collect_list(F.struct("shingle", "times")).alias("parts")), "item-parts")
     targets = targets.join(parts, "item")
-    n_items = items.count()
 
-    by_block = targets.select("item", "n", "item_fp", F.explode(_blocks(F.col("item_fp"), radius)).alias("b")).select("item", "n", "item_fp", "b.block", "b.value")
-    near = (marked.select("doc_id", "n", "first", "fp", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select("doc_id", "n", "first", "fp", "b.block", "b.value")
-            .join(_small(by_block, n_items * (radius + 1)), ["n", "block", "value"])
+    # A window is compared with the items it was found by, not with all of its size: the join is as large as the hits.
+    row = ["doc_id", "digest", "n", "first"]
+    by_block = targets.select("item", "item_fp", F.explode(_blocks(F.col("item_fp"), radius)).alias("b")).select("item", "item_fp", "b.block", "b.value").distinct()
+    near = (marked.select(*row, "fp", F.explode("items").alias("item"))
+            .select(*row, "fp", "item", F.explode(_blocks(F.col("fp"), radius)).alias("b")).select(*row, "fp", "item", "b.block", "b.value")
+            .join(_small(by_block, n_shingles * (radius + 1)), ["item", "block", "value"])
             .where(F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius)
-            .select("doc_id", "n", "first", "fp", "item").distinct())
-    pairs = near.join(marked, [near["doc_id"].eqNullSafe(marked["doc_id"]), near["n"] == marked["n"], near["first"] == marked["first"], near["fp"] == marked["fp"]]).select(
-        near["doc_id"], near["first"], "item", "window")
-    scored = pairs.join(_small(targets.select("item", "item_id", "parts"), n_items), "item").withColumn("similarity", _similarity())
+            .select(*row, "item").distinct())
+    same = [near["doc_id"].eqNullSafe(marked["doc_id"]), near["digest"] == marked["digest"], near["n"] == marked["n"], near["first"] == marked["first"]]
+    pairs = near.join(marked, same).select(near["doc_id"], near["digest"], near["first"], "item", "window")
+    # The items' shingle lists are what the broadcast holds, so their total length decides.
+    scored = pairs.join(_small(targets.select("item", "item_id", "parts"), n_shingles), "item").withColumn("similarity", _similarity())
+    return scored.where(F.col("similarity") >= threshold).select("doc_id", "digest", "item_id", "similarity", "first")
+
+
+def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, item_id, similarity, first_shingle): the best window of every document and item that match."""
     best = F.max(F.struct(F.col("similarity"), (-F.col("first")).alias("back")))
-    return (scored.where(F.col("similarity") >= threshold).groupBy("doc_id", "item_id").agg(best.alias("best"))
+    return (_matches(documents, benchmark, threshold, radius).groupBy("doc_id", "item_id").agg(best.alias("best"))
             .select("doc_id", "item_id", F.round("best.similarity", 6).alias("similarity"), (-F.col("best.back")).cast("long").alias("first_shingle")))
 
 
@@ -157,9 +164,11 @@ def _similarity() -> Column:
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS) -> DataFrame:
-    """The documents that no item contaminates; every column stays."""
-    bad = contaminated(documents, benchmark, threshold, radius).select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents that no item contaminates; every column stays.
+
+    Rows are told apart by doc_id and text: a contaminated row takes no other row of its id, or without an id, along.
+    """
+    return without_rows(documents, _matches(documents, benchmark, threshold, radius))
 
 
 #: The same rows in DuckDB SQL, without fingerprints: every window that could reach the threshold is compared.
@@ -171,16 +180,14 @@ dsh AS (SELECT doc_id, have, pos, array_to_string(ws[pos + 1:CASE WHEN len(ws) <
 iss AS (SELECT item_id, greatest(len(ws) - 4, 1) AS n, unnest(range(greatest(len(ws) - 4, 1))) AS pos, ws FROM i WHERE len(ws) > 0),
 ish AS (SELECT item_id, n, array_to_string(ws[pos + 1:CASE WHEN len(ws) < 5 THEN len(ws) ELSE pos + 5 END], ' ') || (len(ws) < 5)::VARCHAR AS sh FROM iss),
 ic AS (SELECT item_id, n, sh, count(*) AS own FROM ish GROUP BY ALL),
-wt AS (SELECT sh, 1.0::DOUBLE / count(DISTINCT item_id) AS w FROM ic GROUP BY sh),
-icw AS (SELECT ic.*, w FROM ic JOIN wt USING (sh)),
-hit AS (SELECT dsh.doc_id, item_id, n, have, pos, greatest(0, least(pos, have - n)) AS first FROM dsh JOIN icw USING (sh)),
+hit AS (SELECT dsh.doc_id, item_id, n, have, pos, greatest(0, least(pos, have - n)) AS first FROM dsh JOIN ic USING (sh)),
 win AS (SELECT DISTINCT doc_id, item_id, n, first FROM hit),
 wc AS (SELECT win.doc_id, win.item_id, win.n, win.first, dsh.sh, count(*) AS here FROM win JOIN dsh ON dsh.doc_id = win.doc_id AND dsh.pos >= win.first AND dsh.pos < win.first + win.n GROUP BY ALL),
 side AS (SELECT wc.doc_id, wc.item_id, wc.first, sum(here) AS size, sum(CASE WHEN own IS NOT NULL THEN here ELSE 0 END) AS inside,
-                sum(CASE WHEN own IS NOT NULL THEN w * least(own, here) ELSE 0 END) AS lo, sum(CASE WHEN own IS NOT NULL THEN w * greatest(own, here) - w * own ELSE 0 END) AS over_own
-         FROM wc LEFT JOIN icw ON icw.item_id = wc.item_id AND icw.sh = wc.sh GROUP BY ALL),
-own AS (SELECT item_id, sum(w * own) AS total FROM icw GROUP BY item_id),
-sim AS (SELECT doc_id, item_id, first, lo / (over_own + total + size - inside) AS s FROM side JOIN own USING (item_id)),
+                sum(CASE WHEN own IS NOT NULL THEN least(own, here) ELSE 0 END) AS lo, sum(CASE WHEN own IS NOT NULL THEN greatest(own, here) - own ELSE 0 END) AS over_own
+         FROM wc LEFT JOIN ic ON ic.item_id = wc.item_id AND ic.sh = wc.sh GROUP BY ALL),
+own AS (SELECT item_id, sum(own) AS total FROM ic GROUP BY item_id),
+sim AS (SELECT doc_id, item_id, first, lo::DOUBLE / (over_own + total + size - inside) AS s FROM side JOIN own USING (item_id)),
 best AS (SELECT doc_id, item_id, max(s) AS s FROM sim WHERE s >= 0.8 GROUP BY ALL)
 SELECT best.doc_id, best.item_id, round(best.s, 6) AS similarity, min(first)::BIGINT AS first_shingle
 FROM best JOIN sim ON sim.doc_id = best.doc_id AND sim.item_id = best.item_id AND abs(sim.s - best.s) < 1e-12 GROUP BY best.doc_id, best.item_id, best.s

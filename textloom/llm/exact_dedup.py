@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm.quotient_filter import build, entries, merge, summed
-from textloom.llm.staging import only, stage
+from textloom.llm.staging import kept_rows, only, stage, text_digest
 
 #: Bits of a fingerprint; 2**-16 of 5e10 texts then share one by chance, and are told apart by their bytes.
 BITS = 48
@@ -47,10 +47,6 @@ def _print(text: Column, bits: int) -> Column:
     return F.shiftrightunsigned(F.xxhash64(text), 64 - bits)
 
 
-def _digest(text: Column) -> Column:
-    return F.unhex(F.sha2(text, 256))
-
-
 def block_bits(rows: int, tasks: int, bits: int) -> int:
     """Leading bits that name a block: as many blocks as tasks, more if they would hold over BLOCK_ROWS."""
     return min(bits - 1, max(0, (max(tasks, -(-rows // BLOCK_ROWS)) - 1).bit_length()))
@@ -118,7 +114,7 @@ def verified_classes(documents: DataFrame, repeated: DataFrame, rows: int, bits:
     """(fp, digest, n) of the texts that occur more than once, equal byte by byte."""
     texts = documents.select(_text().alias("text")).withColumn("fp", _print(F.col("text"), bits)).select("fp", "text")
     same = _routed(texts, repeated, rows).groupBy("fp", "text").agg(F.count(F.lit(1)).alias("n"))
-    classes = stage(same.select("fp", _digest(F.col("text")).alias("digest"), "n"), "verified-classes")
+    classes = stage(same.select("fp", text_digest(F.col("text")).alias("digest"), "n"), "verified-classes")
     if classes.groupBy("fp", "digest").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1").take(1):
         raise ValueError("two different texts have the same SHA-256 digest")
     return classes.where("n > 1")
@@ -132,10 +128,10 @@ def _in_classes(rows: DataFrame, classes: DataFrame, n_rows: int, how: str) -> D
     return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how), allowMissingColumns=True)
 
 
-def duplicate_report(documents: DataFrame, bits: int = BITS) -> DataFrame:
-    """doc_id, keep_id, group_size, kept and text_sha256 of every document."""
+def _judged(documents: DataFrame, bits: int) -> DataFrame:
+    """doc_id, digest, keep_id, n (null: no copy) and kept of every row."""
     docs = only(documents, "doc_id", "text")
-    rows = stage(docs.select("doc_id", _print(_text(), bits).alias("fp"), _digest(_text()).alias("digest"),
+    rows = stage(docs.select("doc_id", _print(_text(), bits).alias("fp"), text_digest(F.col("text")).alias("digest"),
                              F.monotonically_increasing_id().alias("row")), "prints")
     n_rows = rows.count()
     repeated = repeated_prints(count_filters(rows, n_rows, bits))
@@ -144,10 +140,19 @@ def duplicate_report(documents: DataFrame, bits: int = BITS) -> DataFrame:
     kept = stage(_in_classes(rows, classes, n_rows, "inner").groupBy("fp", "digest").agg(best, F.first("n").alias("n"))
                  .select("fp", "digest", "n", F.col("best.doc_id").alias("keep"), F.col("best.row").alias("keep_row")), "kept-rows")
     return _in_classes(rows, kept, n_rows, "left").select(
-        "doc_id", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"),
-        F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
-        F.coalesce(F.col("row") == F.col("keep_row"), F.lit(True)).alias("kept"),
-        F.lower(F.hex("digest")).alias("text_sha256"))
+        "doc_id", "digest", F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep")).alias("keep_id"), "n",
+        F.coalesce(F.col("row") == F.col("keep_row"), F.lit(True)).alias("kept"))
+
+
+def duplicate_report(documents: DataFrame, bits: int = BITS) -> DataFrame:
+    """doc_id, keep_id, group_size, kept and text_sha256 of every document."""
+    return _judged(documents, bits).select("doc_id", "keep_id", F.coalesce("n", F.lit(1).cast("long")).alias("group_size"), "kept",
+                                           F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def deduplicate(documents: DataFrame, bits: int = BITS) -> DataFrame:
+    """The documents that stay, with all their columns."""
+    return kept_rows(documents, _judged(documents, bits))
 
 
 #: The same rows in DuckDB SQL.

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from textloom.llm.components import components
-from textloom.llm.staging import only, stage
+from textloom.llm.staging import kept_rows, only, stage, text_digest
 from textloom.llm.word_ids import give_back
 
 #: Fixed values of the contract: shingle length, hash seed, most differing bits.
@@ -221,16 +221,19 @@ def near_edges(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return bucketed.groupBy(F.pmod(whole, F.lit(deals)).alias("deal")).applyInPandas(link, "u long, v long")
 
 
+def _roots(classes: DataFrame, distance: int) -> DataFrame:
+    """(fp, root) of every fingerprint that is linked to another one, the roots themselves included."""
+    linked = components(near_edges(classes.select("fp"), distance))
+    return linked.select(F.col("u").alias("fp"), "root").union(linked.select(F.col("root").alias("fp"), "root").distinct())
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id of every document."""
     rows = only(documents, "doc_id", "text")
     rows = stage(rows.select("doc_id", fingerprint_column(F.col("text"), shingle).alias("fp")), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    linked = components(near_edges(classes.select("fp"), distance))
     # Members of linked classes, roots included, with the least doc_id of their component.
-    roots = linked.select(F.col("root").alias("u"), "root").distinct()
-    member = linked.union(roots).select(F.col("u").alias("fp"), "root")
-    named = stage(member.join(classes, "fp"), "members")
+    named = stage(_roots(classes, distance).join(classes, "fp"), "members")
     best = named.groupBy("root").agg(F.min("least").alias("component"))
     of = named.select("fp", "root").join(best, "root").select("fp", "component")
     component = classes.join(of.withColumn("linked", F.lit(True)), "fp", "left").select(
@@ -240,15 +243,22 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, distance: int
 
 
 def deduplicate(documents: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """One document of each component: that whose doc_id is the component's id; every column stays.
+    """One row of each component; every column stays.
 
-    Of rows with equal doc_id one stays. Rows without a doc_id can't be told apart by it, and all stay.
+    It is the row with the least (doc_id, digest of the text), a null doc_id after all others; so rows are told apart by id and
+    text, and repeated or missing ids neither lose a document nor save a copy. Of rows that agree in both, one stays.
     """
-    near = near_duplicates(documents, shingle, distance)
-    keep = stage(near.where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-                 .select(F.col("doc_id").alias("_keep"), F.col("n").alias("_rows")), "kept-ids")
-    kept = documents.join(keep, documents["doc_id"] == keep["_keep"], "left").where(keep["_keep"].isNotNull() | documents["doc_id"].isNull())
-    if keep.where("_rows > 1").take(1):
-        once = kept.where(F.coalesce("_rows", F.lit(1)) == 1)
-        kept = once.unionByName(kept.where("_rows > 1").dropDuplicates(["_keep"]))
-    return kept.drop("_keep", "_rows")
+    rows = only(documents, "doc_id", "text")
+    rows = stage(rows.select("doc_id", text_digest(F.col("text")).alias("digest"), fingerprint_column(F.col("text"), shingle).alias("fp")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest"))
+    classes = stage(rows.groupBy("fp").agg(first.alias("first")), "classes")
+    component = F.coalesce("root", "fp")
+    found = classes.join(_roots(classes, distance), "fp", "left").groupBy(component.alias("component")).agg(F.min("first").alias("first"))
+    keep = stage(found.select("first.doc_id", "first.digest", F.lit(True).alias("chosen")), "kept-ids")
+    copies = rows.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
+    same = copies["doc_id"].eqNullSafe(keep["doc_id"]) & (copies["digest"] == keep["digest"])
+    decided = copies.join(keep, same, "left").select(copies["doc_id"], copies["digest"], "n", "chosen")
+    # A chosen row that occurs several times is kept once.
+    once = F.array(F.lit(True), F.lit(False))
+    per_row = F.when(F.col("chosen").isNull(), F.array(F.lit(False))).when(F.col("n") > 1, once).otherwise(F.array(F.lit(True)))
+    return kept_rows(documents, decided.select("doc_id", "digest", F.explode(per_row).alias("kept")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import fresh_path
@@ -60,3 +60,39 @@ def group_ranks(staged: DataFrame, cols: list[str], name: str) -> DataFrame:
     return (local.join(offsets, keys)
             .withColumn(name, (F.col("_off") + F.col("_rn")).cast("long"))
             .drop("_file", "_row", "_rn", "_off"))
+
+
+#: Rows of (doc_id, digest) decisions that are broadcast (about 50 bytes each); beyond, rows find theirs by a shuffle.
+BROADCAST_DECISIONS = 1_000_000
+
+
+def text_digest(text: Column) -> Column:
+    """SHA-256 of a text (null: empty), 32 bytes."""
+    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def _decided(documents: DataFrame, marks: DataFrame, how: str) -> DataFrame:
+    """``documents`` joined with decisions on (doc_id, digest); a null doc_id meets null."""
+    rows = documents.withColumn("__digest", text_digest(documents["text"]))
+    marks = marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__mark"), *[c for c in marks.columns if c not in ("doc_id", "digest")])
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_DECISIONS else marks
+    return rows.join(marks, documents["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__mark")), how)
+
+
+def without_rows(documents: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of ``documents`` whose (doc_id, digest of the text) isn't in ``dropped``; every column stays."""
+    return _decided(documents, stage(dropped.select("doc_id", "digest").distinct(), "dropped"), "left_anti").drop("__digest")
+
+
+def kept_rows(documents: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``documents`` that ``decided`` (doc_id, digest, kept; a row each) keeps; every column stays.
+
+    Rows that agree in doc_id and text can't be told apart; where some of them are kept and some not, one stays.
+    """
+    marks = stage(decided.groupBy("doc_id", "digest").agg(F.bool_or("kept").alias("__one"), F.bool_and("kept").alias("__all"))
+                  .where("NOT __all").select("doc_id", "digest", "__one"), "decisions")
+    joined = _decided(documents, marks, "left")
+    kept = joined.where(F.col("__one").isNull())
+    if marks.where("__one").take(1):
+        kept = kept.unionByName(joined.where("__one").dropDuplicates(["__id", "__digest"]))
+    return kept.drop("__digest", "__id", "__mark", "__one")
