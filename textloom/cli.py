@@ -6,7 +6,8 @@ copies are given as paths).  Flags and defaults follow the reference.
     prepare-chatml  --first PATH --second PATH [--samples 50000] [--output DIR] [--hermes-only]
                     [--capybara-only] [--hermes-ratio 0.7] [--seed 42] [--val-split 0.05]
     tokenizer       --data PATH --output DIR [--vocab-size 32000] [--min-frequency 2]
-    fix-jsonl       INPUT [--output DIR]
+    fix-jsonl       INPUT [--output DIR] [--string-aware]
+    encode          --data --tokenizer --output [--window N --overlap N]
     pretrain-mix    --web PATH --first PATH --second PATH --output DIR [--total 500000] [--web-ratio 0.7]
     chatml-set      --first PATH --second PATH --output DIR [--samples 100000] [--hermes-ratio 0.7]
     text-set        --items PATH --output DIR
@@ -60,6 +61,16 @@ def main(argv: list[str] | None = None) -> int:
     f = sub.add_parser("fix-jsonl")
     f.add_argument("input")
     f.add_argument("--output", "-o", default=None)
+    f.add_argument("--string-aware", action="store_true", help="braces inside strings don't count")
+
+    e = sub.add_parser("encode")
+    e.add_argument("--data", "-d", required=True, help="Parquet dataset of texts")
+    e.add_argument("--tokenizer", "-t", required=True, help="tokenizer.json or the folder that holds it")
+    e.add_argument("--output", "-o", required=True)
+    e.add_argument("--id-column", default=None, help="id of the texts (default: their place in the dataset)")
+    e.add_argument("--text-column", default="text")
+    e.add_argument("--window", type=int, default=None, help="cut the ids into windows of this size")
+    e.add_argument("--overlap", type=int, default=0)
 
     m = sub.add_parser("pretrain-mix")
     m.add_argument("--web", required=True)
@@ -100,7 +111,9 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "tokenizer":
         res = jobs.train_tokenizer(spark, args.data, args.output, args.vocab_size, args.min_frequency, args.variant)
     elif args.cmd == "fix-jsonl":
-        res = jobs.fix_jsonl(spark, args.input, args.output or args.input.rstrip("/") + ".fixed")
+        res = jobs.fix_jsonl(spark, args.input, args.output or args.input.rstrip("/") + ".fixed", args.string_aware)
+    elif args.cmd == "encode":
+        res = jobs.encode_set(spark, args.data, args.tokenizer, args.output, args.id_column, args.text_column, args.window, args.overlap)
     elif args.cmd == "pretrain-mix":
         src = _chat_sources(spark, args)
         src["fineweb"] = parquet_text_source(spark, args.web, "fineweb", args.id_column)
@@ -116,7 +129,7 @@ def main(argv: list[str] | None = None) -> int:
         res = {k: (v.counts if v else None) for k, v in res.items()}
         print(json.dumps(res))
         return 0
-    print(json.dumps({"output": res.output, "counts": res.counts, "preview": res.preview, "failed": res.failed}, ensure_ascii=False))
+    print(json.dumps({"output": res.output, "counts": res.counts, "preview": res.preview, "failed": res.failed, "dropped": res.dropped}, ensure_ascii=False))
     return 0
 
 

@@ -72,6 +72,26 @@ class Vocabulary:
                    [(ids[m["left"]], ids[m["right"]], m["new_id"]) for m in merges],
                    [r["token"] for r in vocab if r["kind"] == "special"])
 
+    @classmethod
+    def from_tokenizer_json(cls, text: str) -> "Vocabulary":
+        """The vocabulary of a byte-level BPE ``tokenizer.json``, whoever wrote it (K3).
+
+        Ids must run from 0 without gaps, as token strings are kept by id.
+        """
+        doc = json.loads(text)
+        model, added = doc["model"], sorted(doc.get("added_tokens") or [], key=lambda t: t["id"])
+        if model.get("type", "BPE") != "BPE" or (doc.get("pre_tokenizer") or {}).get("type") != "ByteLevel":
+            raise ValueError("not a byte-level BPE tokenizer")
+        ids = dict(model["vocab"]) | {t["content"]: t["id"] for t in added}
+        if sorted(ids.values()) != list(range(len(ids))):
+            raise ValueError("token ids don't run from 0 without gaps")
+        tokens = sorted(ids, key=ids.__getitem__)
+        pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+        merges = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]
+        made, special = {n for _, _, n in merges}, {t["content"] for t in added if t.get("special", True)}
+        kinds = ["special" if t in special else "merge" if i in made else "byte" for i, t in enumerate(tokens)]
+        return cls(tokens, kinds, merges, [t["content"] for t in added if t["content"] in special])
+
     def tokenizer_json(self, max_length: int = 1024, chat_template: str | None = None) -> tuple[str, str]:
         """K4: (tokenizer.json, tokenizer_config.json) in the public ``tokenizers`` file format."""
         added = [{"id": i, "content": t, "single_word": False, "lstrip": False, "rstrip": False,

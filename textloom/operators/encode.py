@@ -10,6 +10,7 @@ table it holds is bounded by the vocabulary size. Decoding is built-in expressio
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import uuid
 
@@ -136,7 +137,8 @@ def encode_pair(pairs: DataFrame, vocab: Vocabulary, id_col: str = "id") -> Data
 
 def tokens_column(ids: Column, vocab: Vocabulary) -> Column:
     """Token strings of an id array, as an encoder prints them."""
-    return F.transform(ids, lambda i: F.get(F.array(*[F.lit(t) for t in vocab.tokens]), i))
+    table = F.from_json(F.lit(json.dumps(vocab.tokens)), "array<string>")  # folded into one constant
+    return F.transform(ids, lambda i: F.get(table, i))
 
 
 def decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", skip_special_tokens: bool = True) -> Column:
@@ -150,5 +152,5 @@ def decode(encoded: DataFrame, vocab: Vocabulary, ids_col: str = "ids", skip_spe
             return "" if skip_special_tokens else token.encode().hex()
         return "".join(f"{back[c]:02x}" for c in token)
 
-    table = F.array(*[F.lit(bytes_of(t)) for t in vocab.tokens])
+    table = F.split(F.lit(",".join(map(bytes_of, vocab.tokens))), ",")  # folded into one constant
     return F.make_valid_utf8(F.unhex(F.array_join(F.transform(F.col(ids_col), lambda i: F.get(table, i)), "")).cast("string"))

@@ -209,13 +209,13 @@ def holdout_count(n: int, ratio: float = 0.05, at_least_one: bool = False) -> in
 
 def holdout_split(df: DataFrame, ratio: float = 0.05, at_least_one: bool = False,
                   key: str = "key", tiebreak: tuple[str, ...] = ("source", "id"),
-                  split_col: str = "split") -> tuple[DataFrame, int, int]:
+                  split_col: str = "split", rows: int | None = None) -> tuple[DataFrame, int, int]:
     """Exact holdout: the ``holdout_count`` first rows in key order are 'valid', the rest 'train'.
 
-    ``df`` should be a materialised stage (it is scanned a few times).
+    ``df`` should be a materialised stage (it is scanned a few times); ``rows`` is its number of rows if known.
     Returns (frame with split column, n_valid, n_total).
     """
-    n = df.count()
+    n = df.count() if rows is None else rows
     n_valid = holdout_count(n, ratio, at_least_one)
     cutoff = kth_smallest_by_key(df, n_valid, key, tiebreak)
     if cutoff is None:

@@ -148,3 +148,25 @@ def context_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     wins = context_windows(toks, "toks", CONTEXT_SIZE, CHUNK_OVERLAP, keep=["doc_id"])
     return wins.select("doc_id", F.col("window_no").cast("long").alias("window_no"),
                        F.size("window").cast("long").alias("n_tokens"), F.array_join("window", "").alias("text"))
+
+
+#: Windows of encoded documents overlap by this much here, so that the overlap is exercised (the configs' own is 0).
+ID_OVERLAP = 128
+
+
+@query("context_windows_ids")
+def context_windows_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on ids: every document's ids, ``<s>`` and ``</s>`` included, cut into windows of 1,024 that overlap by 128."""
+    wins = context_windows(encode(_docs(spark, sf_dir), _vocab(spark, sf_dir)), "ids", CONTEXT_SIZE, ID_OVERLAP, keep=["id"])
+    return wins.select(F.col("id").alias("doc_id"), F.col("window_no").cast("long").alias("window_no"), F.col("window").alias("ids"))
+
+
+@query("context_windows_text", "SELECT doc_id, text FROM documents WHERE length(text) > 0")
+def context_windows_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C1 on ids, put back together: each window without its predecessor's share, joined and decoded, is the document."""
+    vocab = _vocab(spark, sf_dir)
+    wins = context_windows(encode(_docs(spark, sf_dir), vocab, add_special_tokens=False), "ids", CONTEXT_SIZE, ID_OVERLAP, keep=["id"])
+    fresh = F.when(F.col("window_no") == 0, F.col("window")).otherwise(F.slice("window", F.lit(ID_OVERLAP + 1), F.lit(CONTEXT_SIZE)))
+    parts = F.array_sort(F.collect_list(F.struct("window_no", fresh.alias("ids"))))
+    whole = wins.groupBy("id").agg(F.flatten(F.transform(parts, lambda x: x["ids"])).alias("ids"))
+    return whole.select(F.col("id").alias("doc_id"), decode(whole, vocab).alias("text"))

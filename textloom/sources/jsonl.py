@@ -91,11 +91,12 @@ def sniff_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str = "stop") -> DataFrame:
+def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str = "stop", keep_dropped: bool = False) -> DataFrame:
     """S3 dispatch: each file is read line by line (S2) or rebuilt from multi-line objects.
 
     File modes are a small written table (one row per file); lines find their extractor by joining it, broadcast up
-    to ``BROADCAST_FILES`` files. Returns ``file, mode, status, key, text, obj``.
+    to ``BROADCAST_FILES`` files. Returns ``file, mode, status, key, text, obj, line``; ``keep_dropped``: with the chunks that the
+    rebuild drops.
     """
     from textloom.sources.jsonscan import rebuild_multiline
 
@@ -109,7 +110,7 @@ def extract_text_auto(spark: SparkSession, paths: str | list[str], on_error: str
             return pos.join(F.broadcast(files), "file", "left_semi")
         return pos.join(files, "file", "left_semi").repartition("file", "block").sortWithinPartitions("file", "block", "seq")
 
-    line_rows = extract_text(of("jsonl")).select("file", F.lit("jsonl").alias("mode"), "status", "key", "text", "obj")
-    rebuilt = rebuild_multiline(spark, of("multiline"), on_error).select(
-        "file", F.lit("multiline").alias("mode"), "status", "key", "text", "obj")
+    line_rows = extract_text(of("jsonl")).select("file", F.lit("jsonl").alias("mode"), "status", "key", "text", "obj", F.col("value").alias("line"))
+    rebuilt = rebuild_multiline(spark, of("multiline"), on_error, keep_dropped).select(
+        "file", F.lit("multiline").alias("mode"), "status", "key", "text", "obj", F.col("chunk").alias("line"))
     return line_rows.unionByName(rebuilt)

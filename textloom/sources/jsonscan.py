@@ -86,7 +86,7 @@ class _Pieces:
         self.pending = []
 
     def close(self) -> None:
-        self.rows.append((self.split, "tail" if self.ends else "middle", 0, b"".join(self.pending)))
+        self.rows.append((self.split, "tail" if self.ends else "middle", self.ends, b"".join(self.pending)))
 
     def take(self) -> pa.RecordBatch:
         rows, self.rows = self.rows, []
@@ -133,6 +133,15 @@ def _stitched(pieces: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
     return whole.unionByName(crossing.withColumn("body", F.unhex("body")))
 
 
+def _unclosed(pieces: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
+    """``(file, no, body)``: what follows a file's last end, a split's share a row, blank ones left out."""
+    named = pieces.where("kind <> 'whole'").join(_small(splits.select("split", "file", "block"), n_splits), "split")
+    ends = named.groupBy("file").agg(F.max(F.when(F.col("kind") == "head", F.col("block"))).alias("last"))
+    left = named.where("kind <> 'head'").join(_small(ends, n_splits), "file").where(F.col("last").isNull() | (F.col("block") >= F.col("last")))
+    return left.where(F.col("body").cast("string").rlike(r"(?U)[^\s\x1c-\x1f]")).select(
+        "file", (F.col("block") + F.col("nth")).alias("no"), "body")
+
+
 # ---- S4
 
 
@@ -172,13 +181,16 @@ def _loads(text: str | None) -> bool:
     return True
 
 
-def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, on_error: str = "stop") -> DataFrame:
+def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, on_error: str = "stop", keep_dropped: bool = False) -> DataFrame:
     """Lines are accumulated until a line ending in ``}`` or ``},`` closes the top-level
     object; trailing whitespace and commas are cut and the chunk is parsed strictly.
 
     The reference resets its buffer only after a successful parse, so after the first
     chunk that fails, nothing more of that file is recovered (``on_error="stop"``);
     ``"skip"`` drops only the bad chunk.  Returns ``file, chunk_no, chunk, status, key, text, obj``.
+
+    ``keep_dropped`` returns what is dropped as well, with its reason for a status: ``invalid``, ``after_invalid`` (behind a
+    file's first bad chunk) and ``unclosed`` (behind its last end).
     """
     if on_error not in ("stop", "skip"):
         raise ValueError("on_error must be 'stop' or 'skip'")
@@ -199,12 +211,19 @@ def rebuild_multiline(spark: SparkSession, paths: str | list[str] | DataFrame, o
     chunks = _stitched(pieces, splits, n_splits).select("file", F.col("no").alias("chunk_no"), F.regexp_replace(text, "\n$", "").alias("chunk"))
     body = F.regexp_replace(F.regexp_replace("chunk", _TRAILING_SPACE, ""), ",+$", "")
     checked = chunks.withColumn("body", body)
+    after_bad = F.lit(False)
     if on_error == "stop":
         first_bad = materialize(checked.where(~_parses(F.col("body"))).groupBy("file").agg(F.min("chunk_no").alias("bad_from")), "bad-chunks")
-        checked = (checked.join(_small(first_bad, first_bad.count()), "file", "left")
-                   .where(F.col("bad_from").isNull() | (F.col("chunk_no") < F.col("bad_from"))).drop("bad_from"))
-    parsed = extract_text(checked, "body")
-    return parsed.where(F.col("status") != "invalid").select("file", "chunk_no", "chunk", "status", "key", "text", "obj")
+        checked = checked.join(_small(first_bad, first_bad.count()), "file", "left")
+        after_bad = F.coalesce(F.col("chunk_no") > F.col("bad_from"), F.lit(False))
+        if not keep_dropped:
+            checked = checked.where(~after_bad)
+    cols = ["file", "chunk_no", "chunk", "status", "key", "text", "obj"]
+    parsed = extract_text(checked, "body").withColumn("status", F.when(after_bad, F.lit("after_invalid")).otherwise(F.col("status"))).select(*cols)
+    if not keep_dropped:
+        return parsed.where(F.col("status") != "invalid")
+    left = _unclosed(pieces, splits, n_splits).select("file", F.col("no").alias("chunk_no"), F.col("body").cast("string").alias("chunk"), F.lit("unclosed").alias("status"))
+    return parsed.unionByName(left, allowMissingColumns=True).select(*cols)
 
 
 # ---- S5
@@ -280,21 +299,22 @@ def _scan_braces(string_aware: bool):
 
 
 def _one_line(body: Column) -> Column:
-    """The object on one line if Python's parser takes it, else null."""
-    newlines = re.compile(rb"[\r\n]+")
+    """Struct (ok, line): the object on one line if Python's parser takes it, else as it stands."""
+    newlines = re.compile(r"[\r\n]+")
 
-    @F.arrow_udf("string")
+    @F.arrow_udf("struct<ok: boolean, line: string>")
     def lines(bodies: pa.Array) -> pa.Array:
-        out = []
+        ok, out = [], []
         for b in bodies:
-            raw = b.as_buffer().to_pybytes()
-            out.append(newlines.sub(b" ", raw).decode("utf-8", "replace").strip(" ") if _loads(raw.decode("utf-8", "replace")) else None)
-        return pa.array(out, pa.string())
+            text = b.as_buffer().to_pybytes().decode("utf-8", "replace")
+            ok.append(_loads(text))
+            out.append(newlines.sub(" ", text).strip(" ") if ok[-1] else text)
+        return pa.StructArray.from_arrays([pa.array(ok, pa.bool_()), pa.array(out, pa.string())], ["ok", "line"])
 
     return lines.asNondeterministic()(body)
 
 
-def rebuild_concatenated(spark: SparkSession, paths: str | list[str], string_aware: bool = False) -> DataFrame:
+def rebuild_concatenated(spark: SparkSession, paths: str | list[str], string_aware: bool = False, keep_dropped: bool = False) -> DataFrame:
     """Character-level brace counting; like the reference's it takes no notice of strings, unless ``string_aware``.
 
     The file is read with ``}`` as the record separator, so rows stay small whatever the lines. Where the depth returns to
@@ -304,6 +324,9 @@ def rebuild_concatenated(spark: SparkSession, paths: str | list[str], string_awa
 
     ``string_aware``: a scanner with two states, in a string or not. A split's effect is a map of both states to
     (state, change of depth); the maps are composed along the file.
+
+    ``keep_dropped`` returns what is dropped as well, as it stands, and a column ``status``: ``ok``, ``invalid`` or ``unclosed``
+    (behind a file's last object).
     """
     pos = read_positioned(spark, paths, line_sep="}", by_size=True).withColumn("split", _split_id()).withColumn("value", F.col("value").cast("binary"))
     found = pos.select("split", "file", "block", "file_size", "value").mapInArrow(
@@ -321,20 +344,30 @@ def rebuild_concatenated(spark: SparkSession, paths: str | list[str], string_awa
     n_splits = splits.count()
     rows = _with_state(pos.select("split", "seq", "value"), splits.select("split", "depth", "inside"), n_splits)
     pieces = materialize(rows.select("split", "value", "depth", "inside").mapInArrow(_scan(_scan_braces(string_aware)), _PIECES), "brace-pieces")
-    objects = _stitched(_without_false_end(pieces, splits, n_splits), splits, n_splits)
-    lines = objects.select("file", F.col("no").alias("obj_no"), _one_line(F.col("body")).alias("line"))
-    return lines.where(F.col("line").isNotNull())
+    pieces = _without_false_end(pieces, splits, n_splits)
+    objects = _stitched(pieces, splits, n_splits)
+    lines = objects.select("file", F.col("no").alias("obj_no"), _one_line(F.col("body")).alias("got")).select(
+        "file", "obj_no", "got.line", F.when(F.col("got.ok"), F.lit("ok")).otherwise(F.lit("invalid")).alias("status"))
+    if not keep_dropped:
+        return lines.where(F.col("status") == "ok").drop("status")
+    left = _unclosed(pieces, splits, n_splits).select("file", F.col("no").alias("obj_no"), F.col("body").cast("string").alias("line"), F.lit("unclosed").alias("status"))
+    return lines.unionByName(left)
 
 
 def _without_false_end(pieces: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
-    """The pieces without an object that only the ``}`` added at the end of a file closed.
+    """The pieces without the ``}`` that was added at the end of files that don't end in one.
 
-    Nothing follows that ``}`` in its split, so the object is the split's last and the split's tail is empty.
+    If it closed an object, that is the last of its split and the split's tail is empty: it becomes a fragment again. If not, it is the
+    last byte of the tail.
     """
-    ends = splits.where("open_end").select("split")
+    ends = splits.where("open_end").select("split", F.lit(True).alias("open"))
     last = pieces.join(_small(ends, n_splits), "split").groupBy("split").agg(
-        F.max(F.when(F.col("kind").isin("head", "whole"), F.col("nth"))).alias("last"),
-        F.max(F.when(F.col("kind") == "tail", F.octet_length("body"))).alias("left")).where("last IS NOT NULL AND left = 0").select("split", "last")
-    false = F.col("kind").isin("head", "whole") & (F.col("nth") == F.col("last"))
-    marked = pieces.join(_small(last, n_splits), "split", "left").withColumn("false", F.coalesce(false, F.lit(False)))
-    return marked.where(~F.col("false")).select("split", "kind", "nth", "body")
+        F.coalesce(F.max(F.when(F.col("kind").isin("head", "whole"), F.col("nth"))), F.lit(-1)).alias("last"),
+        F.max(F.when(F.col("kind").isin("tail", "middle"), F.octet_length("body"))).alias("left"))
+    marked = pieces.join(_small(last, n_splits), "split", "left")
+    object_end = F.col("kind").isin("head", "whole")
+    false = F.when(F.col("left") == 0, object_end & (F.col("nth") == F.col("last"))).otherwise(~object_end & F.col("left").isNotNull())
+    false = F.coalesce(false, F.lit(False))
+    kind = F.when(false & object_end, F.when(F.col("kind") == "head", F.lit("middle")).otherwise(F.lit("tail"))).otherwise(F.col("kind"))
+    body = F.when(false, F.substring(F.col("body"), F.lit(1), F.octet_length("body") - 1)).otherwise(F.col("body"))
+    return marked.select("split", kind.alias("kind"), "nth", body.alias("body"))

@@ -8,7 +8,10 @@ exists already is an error: nothing is overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from textloom.sources.positions import read_positioned, running_sums
@@ -22,23 +25,41 @@ def jsonl_line(cols: list[str], ensure_ascii: bool = False) -> Column:
     return F.to_json(F.struct(*[F.col(c) for c in cols]), opts)
 
 
+def counted(df: DataFrame, by: str | None = None, values: list[str] | None = None) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """``df`` and a function that gives, after an action on it, its rows ("rows") and those with each value of ``by``.
+
+    The numbers are observed on the way, in the tasks of the action itself: no second scan.
+    """
+    seen = Observation(f"counts-{uuid.uuid4().hex}")
+    each = [F.count(F.when(F.col(by) == v, F.lit(1))).alias(f"n_{i}") for i, v in enumerate(values or [])]
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), *each)
+
+    def get() -> dict[str, int]:
+        got = seen.get
+        return {"rows": got["n"]} | {v: got[f"n_{i}"] for i, v in enumerate(values or [])}
+
+    return watched, get
+
+
 def write_jsonl(df: DataFrame, path: str, cols: list[str], ensure_ascii: bool = False) -> None:
     df.select(jsonl_line(cols, ensure_ascii).alias("value")).write.text(path)
 
 
 def write_splits(df: DataFrame, path: str, cols: list[str], n_valid: int, ensure_ascii: bool = False,
-                 always_write_valid: bool = True) -> None:
-    """K5: ``{path}/split=train`` and ``{path}/split=valid`` in one pass over ``df``.
+                 always_write_valid: bool = True) -> dict[str, int]:
+    """K5: ``{path}/split=train`` and ``{path}/split=valid`` in one pass over ``df``; the rows of each, counted on the way (A4).
 
     ``df`` must carry ``split`` and be range-ordered on the key with ``lead=("split",)``.
     The CLI variant skips an empty validation set; the pipeline always writes it
     (an empty directory when there is no validation row).
     """
-    out = df.select("split", jsonl_line(cols, ensure_ascii).alias("value"))
+    out, counts = counted(df.select("split", jsonl_line(cols, ensure_ascii).alias("value")), "split", ["train", "valid"])
     out.write.partitionBy("split").text(path)
     if always_write_valid and n_valid == 0:
         spark = df.sparkSession
         spark.createDataFrame([], "value string").write.mode("overwrite").text(f"{path.rstrip('/')}/split=valid")
+    got = counts()
+    return {"train": got["train"], "valid": got["valid"]}
 
 
 def write_text_file(spark, path: str, text: str) -> None:
