@@ -234,11 +234,23 @@ def test_repetition_brute_force():
 
 
 def test_repetition_verdicts(spark):
-    clean = " ".join(f"w{i}" for i in range(200))
-    passage = " ".join(f"p{i}" for i in range(120))
-    rows = {r["doc_id"]: r for r in repetition.judge_documents(docs(spark, [clean, "a b c " * 100, passage + " x " + clean + " " + passage, None, "short"])).collect()}
-    assert [rows[i]["kept"] for i in range(5)] == [True, False, False, False, False]
-    assert [rows[i]["base_failed"] for i in range(5)] == [False, True, True, True, True] or not rows[2]["base_failed"]
+    random.seed(21)
+    w = lambda n: " ".join(f"w{random.randrange(10 ** 6)}" for _ in range(n))
+    clean, passage, few = w(200), w(60), w(15)
+    texts = [clean, "a b c " * 100, passage + " x " + w(900) + " " + passage, None, "short", clean + " " + few + " y " + few, few + " z " + w(300) + " " + few,
+             w(30_000), passage + " " + w(30_000) + " " + passage, "", w(49), w(50), clean, clean]
+    for _ in range(60):  # texts about the limits: some passages twice, of several lengths
+        parts = [w(random.choice([6, 8, 12, 30, 51])) for _ in range(4)]
+        texts.append(" ".join(random.choices(parts, k=random.randint(0, 5)) + [w(random.randint(30, 400))]))
+    rows = {r["doc_id"]: r for r in repetition.judge_documents(docs(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        if i in (7, 8):
+            continue  # too long for the brute force
+        n, _, _, _, three, covered, longest = repeats_brute(t, 8)
+        failed = n < 50 or 100 * three > 50 * n
+        assert (rows[i]["base_failed"], rows[i]["kept"]) == (failed, not failed and covered <= 0.12 * n and longest <= 50), i
+    assert [rows[i]["kept"] for i in range(14)] == [True, False, False, False, False, False, True, True, False, False, False, True, True, True]
+    assert not any(rows[i]["base_failed"] for i in (2, 5, 8)) and sum(not r["kept"] and not r["base_failed"] for r in rows.values()) > 10
     assert repetition.judge_documents(docs(spark, [])).count() == 0
 
 

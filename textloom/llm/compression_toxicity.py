@@ -1,7 +1,7 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary text, and one on the words that set toxic
-documents apart, put before a copy of the first. Every window of a text is compressed with both; what the
+Two zstandard dictionaries are trained: one on windows of ordinary text, and one on the places of toxic text that
+set it apart, put before a copy of the first. Every window of a text is compressed with both; what the
 toxic dictionary saves, in bytes, is the window's gain. A window of ordinary text gains nothing, as both
 dictionaries hold the same ordinary part; a window with toxic words does.
 
@@ -80,8 +80,8 @@ def _words(text: bytes) -> list[bytes]:
     return [b" " + w + b" " for w in text.split()]
 
 
-def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Words that set toxic documents apart, the most frequent last (nearest to what is compressed)."""
+def _marked_words(toxic: list[bytes], ordinary: list[bytes]) -> set[bytes]:
+    """Words that set toxic documents apart."""
     def document_counts(texts: list[bytes]) -> Counter:
         counts: Counter = Counter()
         for t in texts:
@@ -89,7 +89,7 @@ def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         return counts
 
     in_toxic, in_ordinary = document_counts(toxic), document_counts(ordinary)
-    least = max(3.0, 0.01 * len(toxic)) if len(toxic) > 30 else 2.0
+    least = max(2.0, 0.01 * len(toxic))
     marks = {p for p, c in in_toxic.items()
              if c >= least and c / len(toxic) > ODDS * (in_ordinary[p] + 0.5) / max(len(ordinary), 1)}
     uses: Counter = Counter()
@@ -104,12 +104,23 @@ def _toxic_words(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
             last = w
     varied = max(2, 0.004 * len(toxic))
     plain = Counter(w for t in ordinary for w in set(_words(t)) if w in uses)
-    return [w for w, c in reversed(uses.most_common())
-            if len(before[w]) >= varied and c / len(toxic) > ODDS * plain[w] / max(len(ordinary), 1)]
+    return {w for w, c in uses.items() if len(before[w]) >= varied and c / len(toxic) > ODDS * plain[w] / max(len(ordinary), 1)}
+
+
+def _toxic_samples(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
+    """What the toxic dictionary is trained on: each place of a marked word in the toxic texts, with the next such place.
+
+    Whole windows won't do: most of a toxic text is ordinary, and the trainer picks what is frequent in its samples.
+    """
+    marked = _marked_words(toxic, ordinary)
+    places = [w for t in toxic for w in _words(t) if w in marked]
+    return [a + b for a, b in zip(places, places[1:])] or places
 
 
 def _train(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; the samples' own bytes if there are too few to train on."""
+    if not samples:
+        return b""
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
     except zstandard.ZstdError:
@@ -169,7 +180,7 @@ def train(toxic: list[bytes], ordinary: list[bytes], counts: tuple[int, int] | N
     part = lambda texts, rest: [t for i, t in enumerate(texts) if (i % 3 == 2) == rest]
     tox, plain = part(toxic, False) or toxic, part(ordinary, False) or ordinary
     base = _train([w for t in plain for w in windows(t, 64)], ORDINARY_BYTES)
-    model = ToxicityModel(base, b"".join(_toxic_words(tox, plain))[-TOXIC_BYTES:] + base)
+    model = ToxicityModel(base, _train(_toxic_samples(tox, plain), TOXIC_BYTES) + base)
     tox, plain = part(toxic, True) or toxic, part(ordinary, True) or ordinary
     g_tox, g_plain = (np.array([model.gains(t) for t in texts], float) for texts in (tox, plain))
     share = lambda g: (g / np.maximum(g.sum(1, keepdims=True), 1)).mean(0)
@@ -217,8 +228,9 @@ def fit(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max
     for mark, most in ((1, max_toxic), (0, max_ordinary)):
         chosen = keys.where(F.col("toxic") == mark).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         ids = [r[0] for r in chosen.select("doc_id").collect()]
-        rows = usable.where(F.col("doc_id").isin(ids)).collect() if ids else []
-        texts = {r["doc_id"]: r["text"] for r in sorted(rows, key=lambda r: (r["doc_id"], r["text"]))}
+        # One text an id, the greatest: what is collected is bounded by the sample's own bounds.
+        rows = usable.where(F.col("doc_id").isin(ids)).groupBy("doc_id").agg(F.max("text").alias("text")).collect() if ids else []
+        texts = {r["doc_id"]: r["text"] for r in rows}
         parts[mark] = [texts[i].encode() for i in ids]
     return train(parts[1], parts[0], (counts.get(1, 0), counts.get(0, 0)))
 

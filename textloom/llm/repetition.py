@@ -24,9 +24,10 @@ from textloom.llm.word_ids import slices
 
 #: Repeats of fewer words are ordinary phrases.
 MIN_WORDS = 8
-#: Most of a text's words that repeats may cover, and the most words one repeat may have.
-MAX_COVERED = 0.50
-MAX_REPEAT = 100
+#: Most of a text's words that repeats may cover: the published limit for duplicate 8-grams (Rae et al., "Scaling Language Models").
+MAX_COVERED = 0.12
+#: The most words one repeat may have: the published length of a duplicate passage (Lee et al., "Deduplicating Training Data").
+MAX_REPEAT = 50
 #: The base rule's limits.
 BASE_WORDS = 50
 BASE_REPEAT_PERCENT = 50
