@@ -283,9 +283,39 @@ def test_archive_keeps_payloads_once_and_exports(spark):
     data = b"".join(r["content"] for r in spark.read.format("binaryFile").load(f"{path}/export").collect())
     records = data.split(b"WARC/1.1\r\n")[1:]
     assert len(records) == 8 and all(r.endswith(b"\r\n\r\n") for r in records)
+    b32 = lambda b: b"sha1:" + base64.b32encode(hashlib.sha1(b).digest())
+    ids, refers = {}, set()
     for r in records:
         head, _, block = r[:-4].partition(b"\r\n\r\n")
-        assert int(dict(x.split(b": ", 1) for x in head.split(b"\r\n"))[b"Content-Length"]) == len(block)
+        lines = dict(x.split(b": ", 1) for x in head.split(b"\r\n"))
+        assert int(lines[b"Content-Length"]) == len(block) and lines[b"WARC-Block-Digest"] == b32(block)
+        if lines[b"WARC-Type"] == b"response":
+            http, _, payload = block.partition(b"\r\n\r\n")
+            assert http.startswith(b"HTTP/1.1 200 OK\r\n") and lines[b"WARC-Payload-Digest"] == b32(payload)
+            ids[lines[b"X-Page-Id"]] = lines[b"WARC-Record-ID"]
+        else:
+            refers.add((lines[b"X-Refers-To-Page-Id"], lines[b"WARC-Refers-To"]))
+            assert block == b"" and lines[b"WARC-Payload-Digest"] == b32(b"same")
+    assert len(ids) == 4 and refers == {(b"4", ids[b"4"])}
+
+
+def test_damaged_archives_raise(spark):
+    pages = spark.createDataFrame([(i, f"u{i}", f"page {i}") for i in range(3)], "page_id long, url string, html string")
+    path, part = fresh_path(spark, "warc"), fresh_path(spark, "warc")
+    warc_store.write_archive(pages, path)
+    payloads = spark.read.parquet(f"{path}/payloads")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{part}/records")
+    payloads.limit(2).write.parquet(f"{part}/payloads")
+    with pytest.raises(Exception, match="no payload at"):
+        warc_store.read_records(spark, part).collect()
+    other = fresh_path(spark, "warc")
+    spark.read.parquet(f"{path}/records").write.parquet(f"{other}/records")
+    payloads.withColumn("payload", F.lit(b"x")).write.parquet(f"{other}/payloads")
+    with pytest.raises(Exception, match="damaged payload at"):
+        warc_store.read_records(spark, other).collect()
+    cut = warc_store.read_records(spark, path).withColumn("record", F.expr("substring(record, 1, octet_length(record) - 1)"))
+    with pytest.raises(Exception, match="broken record"):
+        warc_store.parse_records(cut).select("body").collect()
 
 
 def test_short_payloads_are_responses(spark):

@@ -3,7 +3,7 @@
 Two tables under one folder: ``payloads`` holds the bytes of every distinct payload once, addressed by
 SHA-256 and verified by a second digest (SHA-1) and the length; ``records`` holds one row per captured
 page with its exact header bytes and the payload's address. A record is rebuilt by joining the two:
-header block, payload, and the two line ends that close a WARC record.
+header block, HTTP response head, payload, and the two line ends that close a WARC record. The block of a revisit is empty.
 
 Of records with equal payloads the one with the largest page_id (ties: the largest url) is a
 ``response``; the others are ``revisit`` records that refer to it. A payload shorter than ``min_bytes``
@@ -47,29 +47,43 @@ def _payload_rows(pages: DataFrame) -> DataFrame:
             .withColumn("address", F.sha2("payload", 256)))
 
 
+def _http_head(n_bytes: Column) -> Column:
+    """The HTTP response head of a payload, as bytes."""
+    return F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), n_bytes.cast("string"),
+                    F.lit("\r\n\r\n")).cast("binary")
+
+
+def _record_id(page_id: Column, url: Column, copy: Column) -> Column:
+    name = F.concat_ws("\x1f", F.coalesce(page_id.cast("string"), F.lit("")), F.coalesce(url, F.lit("")), F.col("address"), copy.cast("string"))
+    uuid = F.regexp_replace(F.md5(name), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))
+
+
 def _headers(date: str) -> Column:
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value.cast("string"), F.lit("\r\n"))
 
+    def digest(sha1: Column) -> Column:
+        return F.concat(F.lit("sha1:"), base32_of_hex(sha1))
+
     url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    uuid = F.regexp_replace(
-        F.md5(F.concat_ws("\x1f", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce(F.col("url"), F.lit("")),
-                          F.col("address"), F.col("copy").cast("string"))),
-        "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     revisit = F.col("record_type") == "revisit"
     none = F.lit("")
+    refers = F.concat(line("WARC-Refers-To", _record_id(F.col("first.page_id"), F.col("first.url"), F.lit(1))),
+                      line("WARC-Profile", F.lit(REVISIT_PROFILE)), F.coalesce(line("X-Refers-To-Page-Id", F.col("refers_to")), none))
+    block_bytes = F.octet_length(_http_head(F.col("n_bytes"))) + F.col("n_bytes")
     return F.concat(
         F.lit(f"{WARC_VERSION}\r\n"),
         line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))),
+        line("WARC-Record-ID", _record_id(F.col("page_id"), F.col("url"), F.col("copy"))),
         F.coalesce(line("WARC-Target-URI", url), none),
         line("WARC-Date", F.lit(date)),
         F.coalesce(line("X-Page-Id", F.col("page_id")), none),
-        F.when(revisit, F.concat(line("WARC-Profile", F.lit(REVISIT_PROFILE)),
-                                 F.coalesce(line("X-Refers-To-Page-Id", F.col("refers_to")), none))).otherwise(none),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), base32_of_hex(F.col("sha1")))),
-        line("Content-Type", F.lit("text/html; charset=utf-8")),
-        line("Content-Length", F.when(revisit, F.lit(0)).otherwise(F.col("n_bytes"))),
+        F.when(revisit, refers).otherwise(none),
+        line("WARC-Payload-Digest", digest(F.col("sha1"))),
+        line("WARC-Block-Digest", digest(F.when(revisit, F.sha1(F.lit(b""))).otherwise(F.col("block_sha1")))),
+        line("Content-Type", F.lit("application/http; msgtype=response")),
+        line("Content-Length", F.when(revisit, F.lit(0).cast("long")).otherwise(block_bytes)),
         F.lit("\r\n"))
 
 
@@ -78,8 +92,10 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
     rows = _payload_rows(pages)
     # One row per distinct capture: only digests and keys are shuffled here, payloads stay out.
     # Repeated rows are counted before the shuffle and written out again after it.
-    keyed = (rows.select("page_id", "url", "address", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
-             .groupBy("address", "sha1", "n_bytes", "page_id", "url").agg(F.count(F.lit(1)).alias("n")))
+    size = F.octet_length("payload").cast("long")
+    keyed = (rows.select("page_id", "url", "address", F.sha1("payload").alias("sha1"), size.alias("n_bytes"),
+                         F.sha1(F.concat(_http_head(size), F.col("payload"))).alias("block_sha1"))
+             .groupBy("address", "sha1", "n_bytes", "block_sha1", "page_id", "url").agg(F.count(F.lit(1)).alias("n")))
     newest = F.max(F.struct(F.coalesce(F.col("page_id"), F.lit(-(1 << 63))).alias("id"), F.coalesce(F.col("url"), F.lit("")).alias("url"), "page_id"))
     first = keyed.groupBy("address").agg(newest.alias("first"))
     is_first = (F.coalesce(F.col("page_id"), F.lit(-(1 << 63))) == F.col("first.id")) & (F.coalesce(F.col("url"), F.lit("")) == F.col("first.url"))
@@ -99,43 +115,69 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Rebuild every record: page_id, header (bytes) and payload (bytes; a revisit gets its response's).
+    """Rebuild every record: (record, payload), the bytes of the record as an archive file holds them, and the captured payload,
+    which a revisit record doesn't hold itself.
 
-    The address of each stored payload is computed again; damage raises instead of passing.
+    The address of each stored payload is computed again; a damaged or a missing payload raises instead of passing.
     """
-    stored = spark.read.parquet(f"{path}/payloads")
-    sound = F.when(F.sha2("payload", 256) == F.col("address"), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("damaged payload at "), F.col("address"))))
-    return (spark.read.parquet(f"{path}/records")
-            .join(stored.select("address", sound.alias("payload")), "address", "left")
-            .select("page_id", "header", "payload"))
+    stored = spark.read.parquet(f"{path}/payloads").select(F.col("address").alias("stored"), "payload")
+    both = spark.read.parquet(f"{path}/records").join(stored, F.col("address") == F.col("stored"), "left")
+    sound = (F.when(F.col("stored").isNull(), F.raise_error(F.concat(F.lit("no payload at "), F.col("address"))))
+             .when(F.sha2("payload", 256) != F.col("address"), F.raise_error(F.concat(F.lit("damaged payload at "), F.col("address"))))
+             .otherwise(F.col("payload")))
+    block = F.when(_header(F.col("header").cast("string"), "WARC-Type") == "revisit", F.lit(b"")).otherwise(
+        F.concat(_http_head(F.octet_length("payload")), F.col("payload")))
+    return both.select("header", sound.alias("payload")).select(F.concat("header", block, F.lit(RECORD_END.encode())).alias("record"), "payload")
+
+
+def _header(text: Column, name: str) -> Column:
+    """Value of a header line, null if there is none."""
+    value = F.regexp_extract(text, rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
+    return F.when(value != "", value)
 
 
-def header_value(name: str) -> Column:
-    """Value of a header line, null if the record hasn't got it."""
-    value = F.regexp_extract(F.col("header").cast("string"), rf"(?:^|\r\n){name}: ([^\r\n]*)", 1)
-    return F.when(value != "", value)
+def _head_of(text: Column) -> Column:
+    """What stands before the first empty line, with it."""
+    return F.regexp_extract(text, r"(?s)^(.*?\r\n\r\n)", 1)
+
+
+def parse_records(records: DataFrame) -> DataFrame:
+    """Read record bytes (column ``record``): head (string) and the body of the HTTP response in its block (null for a revisit).
+
+    A record whose lengths don't agree with its bytes raises.
+    """
+    text = F.col("record").cast("string")
+    heads = records.withColumn("head", _head_of(text))
+    size = F.octet_length("head")
+    length = _header(F.col("head"), "Content-Length").cast("long")
+    whole = F.octet_length("record") == size + length + len(RECORD_END)
+    block = F.when(whole, F.substring("record", size + 1, length.cast("int"))).otherwise(
+        F.raise_error(F.concat(F.lit("broken record: "), F.substring("head", 1, 200))))
+    parts = heads.withColumn("block", block).withColumn("http", _head_of(F.col("block").cast("string")))
+    rest = F.substring("block", F.octet_length("http") + 1, F.octet_length("block"))
+    return parts.withColumn("body", F.when(_header(F.col("head"), "WARC-Type") != "revisit", rest)).drop("block", "http")
 
 
 def write_warc_files(spark: SparkSession, path: str, out: str, files: int) -> None:
-    """Export the rebuilt records as plain WARC files (a revisit record has no block)."""
-    block = F.when(header_value("WARC-Type") == "revisit", F.lit(b"")).otherwise(F.coalesce(F.col("payload"), F.lit(b"")))
-    (read_records(spark, path).select(F.concat("header", block).cast("string").alias("value"))
+    """Export the rebuilt records as plain WARC files."""
+    ending = F.octet_length("record") - len(RECORD_END)
+    (read_records(spark, path).select(F.substring("record", F.lit(1), ending).cast("string").alias("value"))
      .repartition(files).write.option("lineSep", RECORD_END).text(out))
 
 
 def page_records(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """Archive a pages table, read it back, and give the digest of each rebuilt record."""
+    """Archive a pages table, rebuild its records, parse their bytes, and give the digest of each."""
     spark = pages.sparkSession
     path = fresh_path(spark, "warc")
     write_archive(pages, path, min_bytes)
-    back = read_records(spark, path)
+    back = parse_records(read_records(spark, path)).withColumn("payload", F.coalesce("body", "payload"))
+    head = F.col("head")
     return back.select(
-        header_value("X-Page-Id").cast("long").alias("page_id"),
+        _header(head, "X-Page-Id").cast("long").alias("page_id"),
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         base32_of_hex(F.sha1("payload")).alias("payload_digest"),
-        header_value("WARC-Type").alias("record_type"),
-        header_value("X-Refers-To-Page-Id").cast("long").alias("refers_to"))
+        _header(head, "WARC-Type").alias("record_type"),
+        _header(head, "X-Refers-To-Page-Id").cast("long").alias("refers_to"))
 
 
 #: The same rows in DuckDB SQL, for a table of distinct page ids.
