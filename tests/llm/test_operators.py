@@ -145,6 +145,42 @@ def test_token_store_round_trip(spark, width):
     assert token_store.lookup(foreign, path).count() == 0
 
 
+@pytest.mark.parametrize("block, most", [(token_store.BLOCK_IDS, token_store.READ_IDS), (16, 64)])
+def test_token_store_reads_the_keys_asked(spark, monkeypatch, block, most):
+    monkeypatch.setattr(token_store, "BLOCK_IDS", block)
+    monkeypatch.setattr(token_store, "READ_IDS", most)
+    path = fresh_path(spark, "store")
+    texts, ids = [*ODD_TEXTS, *["frequent key"] * 40], [*ODD_IDS, *[11] * 40]
+    token_store.write_store(docs(spark, texts, ids), path, TOKENIZER, 2, 2, per_shard=3)
+    asked = [(None, 0), (9, 0), (9, 0), (10, 0), (11, 41), (11, 42), (12, 0), (12, 1), (999, 0)]
+    got = token_store.read(spark.createDataFrame(asked, "doc_id long, copy long"), path)
+    assert got.columns == ["doc_id", "copy", "start", "ids"]
+    text = dict(zip(ids, texts, strict=True))
+    want = Counter((i, tuple([*ids_of(text[i]), 2])) for i, c in asked if i in (None, 9, 10) or (i, c) == (12, 0))
+    rows = got.collect()
+    assert Counter((r.doc_id, tuple(r.ids)) for r in rows if r.doc_id != 11) == want
+    assert [r.copy for r in rows if r.doc_id == 11] == [41]
+    copies = spark.createDataFrame([(11, c) for c in range(42)], "doc_id long, copy long")
+    whole = {tuple([*ids_of(t), 2]) for t, i in zip(texts, ids, strict=True) if i == 11}
+    assert {tuple(r.ids) for r in token_store.read(copies, path).collect()} == whole
+
+
+def test_token_store_reads_only_those_files(spark):
+    path = fresh_path(spark, "store")
+    token_store.write_store(docs(spark, [f"text {i}" for i in range(40)]), path, TOKENIZER, per_shard=4)
+    at = {r.file: r.shard for r in spark.read.parquet(f"{path}/shards").collect()}
+    assert len(at) > 4
+    asked = spark.createDataFrame([(39, 0)], "doc_id long, copy long")
+    holds = token_store.lookup(asked, path).first().shard
+    folder = path.removeprefix("file://").removeprefix("file:")
+    for file, shard in at.items():
+        if shard != holds:  # files of other shards may be damaged: nothing reads them
+            open(f"{folder}/ids/{file}", "wb").close()
+    assert token_store.read(asked, path).first().ids == [*ids_of("text 39"), 2]
+    with pytest.raises(Exception, match="damaged shard file"):
+        token_store.read(spark.createDataFrame([(0, 0)], "doc_id long, copy long"), path).collect()
+
+
 def test_perfect_hash_is_minimal():
     for n in (1, 2, 3, 1000, 20_000):
         keys = np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64)

@@ -12,9 +12,14 @@ holds a 32-bit fingerprint of its key, the shard, the offset in the file and the
 costs one hash, one seed and one slot; a key that isn't in the store is refused by its fingerprint (a foreign
 key passes with a chance of 2**-32).
 
+Reading. ``read`` gives the ids of the keys asked for: the index names shard file, offset and number of ids, and a task
+reads those byte ranges alone, neighbours in one go. So the bytes read follow the keys asked, not the store. The
+store's folder must be on a file system that pyarrow opens too (a local or mounted folder, HDFS, S3, GCS, Azure).
+
 Defined results: null text is the empty document (the end id alone); documents with equal keys are kept in
 file order, and copy c of a key is found under (key, c); a null key is a key of its own, below all others; an
-empty table gives an empty store.
+empty table gives an empty store; a key asked twice is answered twice, a key that isn't there not at all; a payload that
+is shorter than the index says is an error.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +41,10 @@ from textloom.session import fresh_path
 #: Keys per index bucket on average (a bucket is built and probed in one task), and per seed group.
 BUCKET_KEYS = 20_000
 GROUP_KEYS = 4
+#: Ids of a shard file that one task reads together, so that a file of one very frequent key is read by several tasks.
+BLOCK_IDS = 1 << 24
+#: Ids handled at a time in a reading task; a longer document is handled alone.
+READ_IDS = 1 << 21
 RECORD = np.dtype([("key", "<i8"), ("null", "u1"), ("n", "<i8")])
 
 
@@ -146,11 +156,13 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
      .select("shard", F.col("value").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", end_id.to_bytes(width, "little").decode("latin-1")).text(f"{path}/ids"))
 
-    _scan(spark, path, width, with_crc=False).write.parquet(f"{path}/keys")
+    _scan(spark, path, width).write.parquet(f"{path}/keys")
     keys = spark.read.parquet(f"{path}/keys")
     totals = keys.groupBy("shard").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    totals.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0))).write.parquet(f"{path}/shards")
+    names = _files(spark, path).select("shard", F.regexp_extract("path", "/ids/(.*)$", 1).alias("file"))
+    (totals.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
+     .join(names, "shard").write.parquet(f"{path}/shards"))
 
     n_docs = spark.read.parquet(f"{path}/shards").agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
     buckets = max(1, -(-n_docs // BUCKET_KEYS))
@@ -190,8 +202,14 @@ def _records(content: bytes, width: int) -> np.ndarray:
             raise ValueError("damaged shard file: its records don't account for its ids")
 
 
-def _scan(spark: SparkSession, path: str, width: int, with_crc: bool) -> DataFrame:
-    """A row per document of every shard file: shard, offset (in ids), n; and doc_id, copy or the crc32 of its ids."""
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """The payload files with their shard; it is taken from the path, as an empty store has no partition folders to infer it from."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/ids")
+            .withColumn("shard", F.regexp_extract("path", "/shard=([0-9]+)/", 1).try_cast("int")).where("shard IS NOT NULL"))
+
+
+def _scan(spark: SparkSession, path: str, width: int) -> DataFrame:
+    """A row per document of every shard file, from the records at its end: shard, offset (in ids), n, doc_id, copy."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -199,28 +217,17 @@ def _scan(spark: SparkSession, path: str, width: int, with_crc: bool) -> DataFra
                 raw = content.as_buffer()
                 if raw is None or not raw.size:
                     continue
-                view = memoryview(raw)
-                rec = _records(view, width)
+                rec = _records(memoryview(raw), width)
                 n = rec["n"].astype(np.int64)
-                offset = np.cumsum(n) - n
-                common = [pa.array(np.full(len(n), shard, np.int32)), pa.array(offset), pa.array(n)]
-                if with_crc:
-                    ids = np.frombuffer(view, f"<u{width}", int(n.sum())).astype("<u4").tobytes()
-                    crc = [zlib.crc32(ids[4 * o:4 * (o + k)]) for o, k in zip(offset.tolist(), n.tolist(), strict=True)]
-                    yield pa.RecordBatch.from_arrays([*common, pa.array(crc, pa.int64())], ["shard", "offset", "n", "ids_crc32"])
-                else:
-                    key = pd.Series(rec["key"].astype(np.int64))
-                    null = rec["null"].astype(bool)
-                    copy = pd.DataFrame({"k": key, "z": null}).groupby(["k", "z"]).cumcount().to_numpy(np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [*common, pa.array(key.to_numpy(), mask=null), pa.array(copy)], ["shard", "offset", "n", "doc_id", "copy"])
+                key = pd.Series(rec["key"].astype(np.int64))
+                null = rec["null"].astype(bool)
+                copy = pd.DataFrame({"k": key, "z": null}).groupby(["k", "z"]).cumcount().to_numpy(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(n), shard, np.int32)), pa.array(np.cumsum(n) - n), pa.array(n),
+                     pa.array(key.to_numpy(), mask=null), pa.array(copy)], ["shard", "offset", "n", "doc_id", "copy"])
         give_back()
 
-    # The shard is taken from the path: an empty store has no partition folders to infer it from.
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{path}/ids")
-             .select(F.regexp_extract("path", "/shard=([0-9]+)/", 1).cast("int").alias("shard"), "content").where("shard IS NOT NULL"))
-    extra = "ids_crc32 long" if with_crc else "doc_id long, copy long"
-    return files.mapInArrow(scan, f"shard int, offset long, n long, {extra}")
+    return _files(spark, path).select("shard", "content").mapInArrow(scan, "shard int, offset long, n long, doc_id long, copy long")
 
 
 def stored_keys(spark: SparkSession, path: str) -> DataFrame:
@@ -253,14 +260,73 @@ def lookup(keys: DataFrame, path: str) -> DataFrame:
         probe, "doc_id long, copy long, shard int, offset long, n long")
 
 
+def _ranges(offset: np.ndarray, n: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of the stretches of rows (by ascending offset) whose places touch or overlap, ``most`` ids each or one more row."""
+    end = np.maximum.accumulate(offset + n)
+    first = 0
+    for i in range(1, len(offset) + 1):
+        if i == len(offset) or offset[i] > end[i - 1] or end[i] - offset[first] > most:
+            yield first, i
+            first = i
+
+
+def _payloads(places: DataFrame, path: str, width: int, digest: bool) -> DataFrame:
+    """doc_id, copy, start, n and the ids (or their crc32) of each place (doc_id, copy, shard, offset, n); only its bytes are read."""
+    shards = places.sparkSession.read.parquet(f"{path}/shards").select("shard", "first_id", "file")
+    dtype, most = f"<u{width}", READ_IDS
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = fs.FileSystem.from_uri(path)
+        name, source = None, None
+        for b in batches:
+            file = b.column("file").to_numpy(zero_copy_only=False)
+            offset, n = b.column("offset").to_numpy(), b.column("n").to_numpy()
+            cuts = [0, *(np.flatnonzero(file[1:] != file[:-1]) + 1).tolist(), len(file)]
+            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+                if start == stop:
+                    continue
+                if file[start] != name:
+                    if source is not None:
+                        source.close()
+                    name = file[start]
+                    source = store.open_input_file(f"{base}/ids/{name}")
+                for i, j in _ranges(offset[start:stop], n[start:stop], most):
+                    at, size = offset[start + i:start + j], n[start + i:start + j]
+                    lowest = int(at[0])
+                    wanted = int((at + size).max()) - lowest
+                    raw = source.read_at(wanted * width, lowest * width)
+                    if len(raw) != wanted * width:
+                        raise ValueError(f"damaged shard file {name}: ids {lowest} to {lowest + wanted} aren't all there")
+                    ids = np.frombuffer(raw, dtype)
+                    parts = [ids[o:o + k] for o, k in zip((at - lowest).tolist(), size.tolist(), strict=True)]
+                    if digest:
+                        value = pa.array([zlib.crc32(part.astype("<u4")) for part in parts], pa.int64())
+                    else:
+                        bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+                        value = pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(parts).astype(np.int32)))
+                    rows = b.slice(start + i, j - i)
+                    yield pa.RecordBatch.from_arrays(
+                        [rows.column("doc_id"), rows.column("copy"), rows.column("start"), rows.column("n"), value],
+                        ["doc_id", "copy", "start", "n", "value"])
+        if source is not None:
+            source.close()
+        give_back()
+
+    located = (places.join(shards, "shard").withColumn("start", F.col("first_id") + F.col("offset"))
+               .repartition("shard", F.floor(F.col("offset") / BLOCK_IDS)).sortWithinPartitions("shard", "offset", "n")
+               .select("doc_id", "copy", "start", "n", "offset", "file"))
+    return located.mapInArrow(fetch, f"doc_id long, copy long, start long, n long, value {'long' if digest else 'array<int>'}")
+
+
+def read(keys: DataFrame, path: str, width: int = 2) -> DataFrame:
+    """doc_id, copy, start among all ids, and the ids (end id included) of every key (doc_id, copy) the store holds."""
+    return _payloads(lookup(keys, path), path, width, digest=False).select("doc_id", "copy", "start", F.col("value").alias("ids"))
+
+
 def read_documents(keys: DataFrame, path: str, width: int = 2) -> DataFrame:
     """For every key: start among all ids, n_tokens and ids_crc32 of the payload at the place the index gives."""
-    spark = keys.sparkSession
-    at = lookup(keys, path)
-    payload = _scan(spark, path, width, with_crc=True)
-    shards = spark.read.parquet(f"{path}/shards").select("shard", "first_id")
-    return (at.join(payload, ["shard", "offset", "n"]).join(shards, "shard")
-            .select("doc_id", (F.col("first_id") + F.col("offset")).alias("start"), F.col("n").alias("n_tokens"), "ids_crc32"))
+    return _payloads(lookup(keys, path), path, width, digest=True).select(
+        "doc_id", "start", F.col("n").alias("n_tokens"), F.col("value").alias("ids_crc32"))
 
 
 def store_documents(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
