@@ -117,15 +117,19 @@ def encode_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enc.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_ids"), "ids")
 
 
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, a, b)``: every turn with the next one of its conversation (a window per conversation, no join)."""
+    conv = spark.read.parquet(table_path(sf_dir, "conversations"))
+    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    return (conv.select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("a"), nxt.alias("b"))
+            .where(F.col("b").isNotNull()))
+
+
 @query("encode_pair")
 def encode_pair_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every turn paired with the next turn of its conversation, encoded as
-    ``<s> A </s> <s> B </s>`` (a window per conversation, no join)."""
-    conv = spark.read.parquet(table_path(sf_dir, "conversations"))
-    nxt = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
-    pairs = (conv.select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("a"), nxt.alias("b"))
-             .where(F.col("b").isNotNull()))
-    return encode_pair(pairs, _vocab(spark, sf_dir))
+    ``<s> A </s> <s> B </s>``."""
+    return encode_pair(turn_pairs(spark, sf_dir), _vocab(spark, sf_dir))
 
 
 @query("decode_roundtrip", "SELECT doc_id, text FROM documents")
