@@ -415,6 +415,33 @@ def test_extraction_wrapper_classes():
     assert text_density.extract(f"<body><div hidden>{story}</div><p>x</p></body>") == "x"
 
 
+def test_extraction_junk_inside_the_wrapper():
+    story, text = prose("s", 40)
+    remark = "<div class='c'><span>Name {}</span><p>I read this with some interest and don't agree.</p></div>"
+    remarks = "".join(map(remark.format, range(6)))
+    items = "".join(f"<li>By me: <a href='/{i}'>Another page to read {i}</a></li>" for i in range(6))
+    junk = (f"<div class='comment-list'>{remarks}</div>", f"<section id='user-comments'><h3>What readers say</h3><ul>{remarks.replace('div', 'li')}</ul></section>",
+            f"<div class='related-posts'><h4>More</h4><ul>{items}</ul></div>", f"<div class='more-of-this'><ul>{items.replace('By me: ', '')}</ul></div>",
+            "<div class='cookie-bar'>This site stores small files. <button>Fine</button></div>", "<div class='newsletter-box'><h4>Our letter</h4><p>Every week in your mail.</p></div>",
+            "<div class='ad-slot'>Buy now</div>", "<div class='site-footer'><p>Made by us</p></div>")
+    for block in junk:
+        for page in (f"<body><div class='wrap'>{story}{block}</div></body>", f"<body><div class='wrap'>{block}{story}</div></body>",
+                     f"<body><div class='wrap'><div>{story}</div>{block}</div><footer>Foot</footer></body>", f"<body><div class='wrap'>{story}</div>{block}</body>"):
+            assert text_density.extract(page) == text, page[-400:]
+    assert text_density.extract(f"<body><div class='wrap'>{story}{''.join(junk)}</div></body>") == text
+
+
+def test_extraction_names_that_only_contain_a_word():
+    (a, a_text), (b, b_text) = prose("a", 40), prose("b", 30)
+    assert text_density.extract(f"<body><div class='part with-ads'>{a}</div><div class='part with-ads'>{b}</div></body>") == f"{a_text} {b_text}"
+    sections = "".join(f"<div><h2>Part</h2>{x}</div>" for x in (a, b, a))
+    assert text_density.extract(f"<body><div class='no-comments'>{sections}</div></body>") == f"Part {a_text} Part {b_text} Part {a_text}"
+    steps = "<ul><li><b>One</b> <p>Turn it on.</p></li><li><b>Two</b> <p>Wait a bit.</p></li><li><b>Three</b> <p>Turn it off.</p></li></ul>"
+    assert text_density.extract(f"<body><article class='page'>{a}{steps}</article></body>") == a_text + " One Turn it on. Two Wait a bit. Three Turn it off."
+    index = "".join(f"<li><a href='/{i}'>Page {i}</a></li>" for i in range(4))
+    assert text_density.extract(f"<body><ul>{index}</ul></body>") == "Page 0 Page 1 Page 2 Page 3"
+
+
 def test_extraction_frame(spark):
     pages = spark.createDataFrame([(1, "u", PAGE % "<article><p>Text</p></article>", "x"), (None, None, None, "x"), (1, "u", "", "x")], "page_id long, url string, html string, Text string")
     assert sorted(map(str, text_density.extract_pages(pages).collect())) == sorted(

@@ -8,7 +8,9 @@ too if most of their text is no link and their density or density sum reaches th
 beside a chosen <section> always is. The tags article and main decide nothing. Elements that are never article text
 (menus, headers, footers, adverts, comments ...) count for the body's density but can't be chosen. What marks them is their
 tag, role, or a class or id made of words of a list; the mark of a word or a form doesn't hold where the node has most of
-the page's unlinked text and a larger density sum than any unmarked node outside.
+the page's unlinked text and a larger density sum than any unmarked node outside. A class or id that only contains such a word
+("user-comments", "ad-slot", "with-sidebar") is a suspicion, which the node's own shape decides (``confirmed``). A block of links alone is a
+menu, whatever its class.
 
 Defined results: null or empty html, or html without text, gives ""; broken or cut markup is read
 as far as it goes; text outside any tag belongs to the body; ties go to the outer node, then to the
@@ -43,11 +45,20 @@ BOILER_WORDS = frozenset(
     "breadcrumb breadcrumbs sidebar sidebars aside widget widgets header masthead footer comment comments disqus reply "
     "replies respond reactions related recommended recommendations share sharing social toolbar pagination pager skip copyright "
     "legal disclaimer".split())
-#: Kinds of ``boiler``: by a word, or a form, which may wrap a whole page, so that the density sums may overrule it; by anything else.
-MARKED, FIRM = 1, 2
+#: Words that as a part of a longer name say little about the block (a legal history, an article's header).
+WEAK_WORDS = frozenset("header masthead legal share sharing social copyright disclaimer reply replies respond reactions skip aside".split())
+#: Kinds of ``boiler``: by a word, or a form, which may wrap a whole page, so that the density sums may overrule it; by anything else; a
+#: name that only contains a word.
+MARKED, FIRM, SUSPECT = 1, 2, 3
 WRAPPERS = frozenset(("form", "fieldset"))
 #: A node with more than this share of the page's unlinked text holds most of it.
 MOST_TEXT = 2 / 3
+#: Suspected blocks: entries of one shape that make a list, and the share of the page's unlinked text that one with a button may hold.
+ENTRIES, CONTROL_TEXT = 3, 1 / 3
+#: A menu: at least so many links, which hold so much of the text.
+MENU_LINKS, MENU_SHARE = 3, 0.9
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CONTROLS = frozenset("form button input".split())
 #: A start tag on the left closes an open element on the right.
 _P_CLOSERS = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                        "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section table td th tr ul dd dt body".split())
@@ -65,10 +76,12 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total", "best", "most", "free")
+    __slots__ = ("tag", "parent", "parts", "boiler", "chars", "tags", "link_chars", "link_tags", "own", "own_tags", "density", "total", "best", "most", "free",
+                 "attrs", "controls", "links", "squares")
 
-    def __init__(self, tag: str, parent: _Node | None, boiler: int):
-        self.tag, self.parent, self.boiler = tag, parent, boiler
+    def __init__(self, tag: str, parent: _Node | None, boiler: int, attrs: str = ""):
+        self.tag, self.parent, self.boiler, self.attrs = tag, parent, boiler, attrs
+        self.controls = self.links = self.squares = 0  # form controls, links, and squared characters of each block, in the subtree
         self.parts: list = []  # text and child nodes in page order; None for a line break inside a block
         self.chars = self.tags = self.link_chars = self.link_tags = self.own = self.own_tags = 0
         self.density = self.total = 0.0
@@ -77,7 +90,7 @@ class _Node:
 
 
 def _mark(tag: str, attrs: str) -> int:
-    """``MARKED``, ``FIRM`` or 0 by an element's own tag and attributes."""
+    """``MARKED``, ``FIRM``, ``SUSPECT`` or 0 by an element's own tag and attributes."""
     mark = 0 if tag not in BOILER_TAGS else MARKED if tag in WRAPPERS else FIRM
     if not attrs or tag in ("body", "html", "article", "main"):
         return mark
@@ -90,8 +103,13 @@ def _mark(tag: str, attrs: str) -> int:
         elif kind == "hidden" or kind == "aria-hidden":
             if kind == "hidden" or value == "true":
                 return FIRM
-        elif any(words and BOILER_WORDS.issuperset(words) for words in map(_WORD.findall, value.split())):
-            mark = mark or MARKED
+        elif mark != FIRM and mark != MARKED:
+            for words in map(_WORD.findall, value.split()):
+                if words and BOILER_WORDS.issuperset(words):
+                    mark = MARKED
+                    break
+                if any(w in BOILER_WORDS and w not in WEAK_WORDS for w in words):
+                    mark = SUSPECT
     return mark
 
 
@@ -138,7 +156,7 @@ def parse(page: str) -> tuple[_Node, list[_Node]]:
                 at = up.parent
         if tag == "br" or tag == "hr":
             at.parts.append(None)
-        node = _Node(tag, at, _mark(tag, m[4]))
+        node = _Node(tag, at, _mark(tag, m[4]), m[4])
         at.parts.append(node)
         nodes.append(node)
         if tag not in VOID and not m[4].endswith("/"):
@@ -173,12 +191,25 @@ def measure(nodes: list[_Node]) -> None:
                 node.tags += part.tags + 1
                 node.link_chars += part.link_chars
                 node.link_tags += part.link_tags
+                node.controls += part.controls
+                node.links += part.links
+                node.squares += part.squares
                 if part.tag in INLINE:  # inline text is the block's own text
                     node.own += part.own
                     node.own_tags += part.own_tags + 1
         if node.tag == "a":
             node.link_chars, node.link_tags = node.chars, node.link_tags + 1
+            node.links += 1
+        elif node.tag in CONTROLS:
+            node.controls += 1
+        if node.tag not in INLINE:
+            node.squares += node.own * node.own
     body = nodes[0]
+    for node in nodes[1:]:
+        if node.boiler == SUSPECT:
+            node.boiler = MARKED if confirmed(node, body) else 0
+        if not node.boiler and is_menu(node, body):
+            node.boiler = MARKED
     for node in reversed(nodes):
         node.density = _composite(node, body.chars, body.link_chars)
         below = [p for p in node.parts if isinstance(p, _Node)]
@@ -194,6 +225,40 @@ def measure(nodes: list[_Node]) -> None:
             node.total -= sum(p.density for p in node.parts if isinstance(p, _Node) and p.tag not in INLINE and p.boiler)
 
 
+def is_menu(node: _Node, body: _Node) -> bool:
+    """Links and hardly anything else, on a page that has more unlinked text than that. A paragraph is no menu."""
+    return (node.links >= MENU_LINKS and node.tag not in INLINE and node.tag != "p" and node.link_chars >= MENU_SHARE * node.chars
+            and body.chars - body.link_chars > node.chars)
+
+
+def confirmed(node: _Node, body: _Node) -> bool:
+    """Whether a suspected block is boilerplate by its shape.
+
+    It is if most of its text is links; if it has a button or field and little of the page's text; if it is a list of entries of one
+    shape, as comments are; or if its blocks are short against the page's. Block lengths are averaged over characters (the
+    length of the block that a character lies in), so a page's long paragraphs set its length, and a node that wraps them has it too.
+    """
+    if 2 * node.link_chars > node.chars:
+        return True
+    if node.controls and node.chars - node.link_chars < CONTROL_TEXT * (body.chars - body.link_chars):
+        return True
+    if any(map(_has_entries, [node, *(p for p in node.parts if isinstance(p, _Node) and p.tag not in INLINE)])):
+        return True
+    return 2 * node.squares * body.chars < body.squares * node.chars
+
+
+def _has_entries(node: _Node) -> bool:
+    """Whether ``ENTRIES`` blocks of one tag and class follow each other, each without a heading and with one paragraph at most."""
+    shapes: dict[tuple[str, str], int] = {}
+    for part in node.parts:
+        if isinstance(part, _Node) and part.chars and part.tag != "p" and part.tag not in INLINE and part.tag not in HEADINGS:
+            below = [q.tag for q in part.parts if isinstance(q, _Node)]
+            if below.count("p") <= 1 and HEADINGS.isdisjoint(below) and len(below) > 1:
+                named = next((m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(part.attrs) if m[1].lower() == "class"), "")
+                shapes[part.tag, named] = shapes.get((part.tag, named), 0) + 1
+    return max(shapes.values(), default=0) >= ENTRIES
+
+
 def overrule(body: _Node) -> None:
     """Lift the marks of nodes that hold most of the page's unlinked text and a larger density sum than all unmarked nodes outside."""
     page, outside, at = body.chars - body.link_chars, 0.0, body
