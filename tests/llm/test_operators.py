@@ -165,6 +165,25 @@ def test_token_store_reads_the_keys_asked(spark, monkeypatch, block, most):
     assert {tuple(r.ids) for r in token_store.read(copies, path).collect()} == whole
 
 
+def test_token_store_splits_a_hot_key(spark):
+    ids = [7] * 300 + [None] * 150 + list(range(300))
+    texts = [f"hot {i % 100}" for i in range(300)] + ["the same"] * 150 + [f"text {i}" for i in range(300)]
+    path = fresh_path(spark, "tokens")
+    token_store.write_store(docs(spark, texts, ids).repartition(5), path, TOKENIZER, per_shard=50)
+    keys = token_store.stored_keys(spark, path)
+    assert spark.read.parquet(f"{path}/keys").groupBy("shard").count().agg(F.max("count")).first()[0] <= 150
+    assert spark.read.parquet(f"{path}/keys").where("doc_id = 7").select("shard").distinct().count() >= 4
+    copies = Counter(map(tuple, keys.collect()))
+    assert set(copies.values()) == {1}
+    assert {c for k, c in copies if k == 7} == set(range(301)) and {c for k, c in copies if k is None} == set(range(150))
+    got = token_store.read(keys, path).orderBy("start").collect()
+    want = Counter((i, tuple([*ids_of(t), 2])) for i, t in zip(ids, texts))
+    assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
+    order = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert order == sorted(order)
+    assert [r.start for r in got] == [sum(len(x.ids) for x in got[:k]) for k in range(len(got))]
+
+
 def test_token_store_reads_only_those_files(spark):
     path = fresh_path(spark, "store")
     token_store.write_store(docs(spark, [f"text {i}" for i in range(40)]), path, TOKENIZER, per_shard=4)

@@ -1,6 +1,7 @@
 """Token-id store: raw id payloads in shard files, and a minimal perfect hash index over the document keys.
 
-Payload files. Documents are range-dealt by key into shards, in ascending key order inside and across them. A
+Payload files. Documents are range-dealt by key into shards, in ascending key order inside and across them. A key
+with the rows of several shards (repeated ids, null ids) is dealt over as many. A
 shard file holds the raw little-endian ids of its documents, each closed by the end id, and then one record
 per document: key (8 bytes; null flag in the next byte), number of ids (8 bytes). Spark's text writer writes
 the files (its line separator is the end id's bytes), so its commit protocol covers lost tasks, and any file
@@ -17,7 +18,7 @@ reads those byte ranges alone, neighbours in one go. So the bytes read follow th
 store's folder must be on a file system that pyarrow opens too (a local or mounted folder, HDFS, S3, GCS, Azure).
 
 Defined results: null text is the empty document (the end id alone); documents with equal keys are kept in
-file order, and copy c of a key is found under (key, c); a null key is a key of its own, below all others; an
+file order, shard by shard, and copy c of a key is found under (key, c); a null key is a key of its own, below all others; an
 empty table gives an empty store; a key asked twice is answered twice, a key that isn't there not at all; a payload that
 is shorter than the index says is an error.
 """
@@ -31,6 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -102,15 +104,25 @@ def key_hash(key: Column, copy: Column) -> Column:
     return F.xxhash64(F.coalesce(key, F.lit(0)), key.isNull(), copy.cast("long"))
 
 
-def _bounds(documents: DataFrame, per_shard: int) -> np.ndarray:
-    """Lowest keys of the shards after the first; one scan of the key column."""
-    rows = documents.agg(F.count("doc_id")).first()[0]
+def _bounds(documents: DataFrame, per_shard: int) -> tuple[np.ndarray, int]:
+    """(lowest keys of the shards that follow the first with a key, number of shards of null keys only); one or two scans of the key column.
+
+    A key of which there are several shards' rows is there as often.
+    """
+    rows, nulls = documents.agg(F.count("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
     shards = max(1, -(-rows // per_shard))
     if shards == 1:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), nulls // per_shard
     cuts = [i / shards for i in range(1, shards)]
     got = documents.agg(F.percentile_approx("doc_id", cuts, max(10_000, 10 * shards))).first()[0]
-    return np.unique(np.array(got, np.int64))
+    return np.array(got, np.int64), nulls // per_shard
+
+
+def _shards(key: np.ndarray, null: np.ndarray, row: np.ndarray, bounds: np.ndarray, null_shards: int) -> np.ndarray:
+    """Shard of each row: that of its key; rows of a key with several shards take turns by their number ``row``."""
+    low, high = np.searchsorted(bounds, key, "left"), np.searchsorted(bounds, key, "right")
+    own = null_shards + low + np.where(high > low, 1 + row % np.maximum(high - low, 1), 0)
+    return np.where(null, row % (null_shards + 1), own).astype(np.int32)
 
 
 def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2, width: int = 2, per_shard: int = 2048) -> None:
@@ -120,11 +132,13 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
     """
     spark = documents.sparkSession
     rows = only(documents, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    bounds = _bounds(rows, per_shard)
+    bounds, null_shards = _bounds(rows, per_shard)
+    hot = sorted({int(k) for k in bounds[1:][bounds[1:] == bounds[:-1]]})  # keys of several shards: fewer than shards
     dtype = f"<u{width}"
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
+        done = TaskContext.get().partitionId()  # a task that runs again sees the same rows in the same order
         for b in batches:
             for first, texts in slices(b.column("text")):
                 ids, at = enc.encode(texts)
@@ -133,7 +147,8 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
                 keys = b.column("doc_id").slice(first, len(texts))
                 null = keys.is_null().to_numpy(zero_copy_only=False)
                 key = keys.fill_null(0).to_numpy()
-                shard = np.where(null, 0, np.searchsorted(bounds, key, "right")).astype(np.int32)
+                shard = _shards(key, null, np.arange(done, done + len(key)), bounds, null_shards)
+                done += len(key)
                 record = np.zeros(len(key), RECORD)
                 record["key"], record["null"], record["n"] = key, null, np.diff(at) // width + 1
                 tail = record.tobytes()
@@ -151,12 +166,21 @@ def write_store(documents: DataFrame, path: str, tokenizer: str, end_id: int = 2
         give_back()
 
     coded = rows.mapInArrow(encode, "shard int, kind byte, doc_id long, tie long, size long, value binary")
-    (coded.repartition(len(bounds) + 1, "shard")
+    (coded.repartition(len(bounds) + null_shards + 1, "shard")
      .sortWithinPartitions("shard", "kind", F.col("doc_id").asc_nulls_first(), "tie", "size")
      .select("shard", F.col("value").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", end_id.to_bytes(width, "little").decode("latin-1")).text(f"{path}/ids"))
 
-    _scan(spark, path, width).write.parquet(f"{path}/keys")
+    records = _scan(spark, path, width)
+    if hot or null_shards:  # copies of a key are numbered on from shard to shard
+        spread = F.col("doc_id").isin(hot) if hot else F.lit(False)
+        spread = F.coalesce(spread, F.lit(False)) | (F.col("doc_id").isNull() & F.lit(null_shards > 0))
+        parts = records.where(spread).groupBy("doc_id", "shard").agg(F.count(F.lit(1)).alias("rows"))
+        earlier = Window.partitionBy("doc_id").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.select(F.col("doc_id").alias("k"), F.col("shard").alias("s"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"))
+        records = (records.join(parts, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("shard") == F.col("s")), "left")
+                   .select("shard", "offset", "n", "doc_id", (F.col("copy") + F.coalesce("before", F.lit(0))).alias("copy")))
+    records.write.parquet(f"{path}/keys")
     keys = spark.read.parquet(f"{path}/keys")
     totals = keys.groupBy("shard").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("n").alias("n_ids"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
