@@ -7,13 +7,17 @@ The driver keeps only the merge list and token strings, bounded by ``vocab_size`
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.bytelevel import byte_symbols, pretokens
+from textloom.functions.bytelevel import byte_chars, char_bytes, pretokens
 from textloom.operators.merges import learn_merges
+from textloom.session import materialize, remove_stage
 
 # Special tokens, in id order, of the two variants.
 SPECIALS_CLI = ["<unk>", "<s>", "</s>", "<pad>", "<|im_start|>", "<|im_end|>", "<knowledge>", "</knowledge>",
@@ -29,10 +33,43 @@ def pretoken_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(UTF-8 bytes of all strings, where each begins and the last end)."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int32)
+    column = column.cast(pa.string())
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[at[0]:at[-1]], at - at[0]
+
+
 def byte_alphabet(counts: DataFrame) -> list[str]:
     """Mapped byte characters seen in the corpus, by code point (at most 256)."""
-    chars = counts.select(F.explode(byte_symbols(F.col("token"))).alias("c")).distinct()
-    return sorted((r[0] for r in chars.collect()), key=ord)
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hit = np.zeros(256, bool)
+        for b in batches:
+            hit[_bytes(b.column("token"))[0]] = True
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(hit).astype(np.int32))], ["b"])
+
+    chars = byte_chars()
+    found = counts.select("token").mapInArrow(seen, "b int").distinct()
+    return sorted((chars[r["b"]] for r in found.collect()), key=ord)
+
+
+def spelled(counts: DataFrame, alphabet: list[str], first: int) -> DataFrame:
+    """``(ids ARRAY<INT>, n)``: pre-tokens of two bytes and more as ids, the alphabet's numbered from ``first``."""
+    back = char_bytes()
+    ids = np.zeros(256, np.int32)
+    for i, c in enumerate(alphabet):
+        ids[back[c]] = first + i
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            data, at = _bytes(b.column("token"))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(at), pa.array(ids[data])), b.column("n")], ["ids", "n"])
+
+    return counts.where(F.octet_length("token") > 1).select("token", "n").mapInArrow(spell, "ids array<int>, n long")
 
 
 @dataclass
@@ -139,14 +176,10 @@ def train_bpe(texts: DataFrame, vocab_size: int = 32_000, min_frequency: int = 2
               specials: list[str] | None = None, text_col: str = "text", **kw) -> Vocabulary:
     """Learn a byte-level BPE vocabulary from a frame of texts."""
     specials = SPECIALS_CLI if specials is None else specials
-    # Byte symbols of each distinct pre-token, computed once and reused for the alphabet and the ids.
-    syms = (pretoken_counts(texts, text_col)
-            .select(byte_symbols(F.col("token")).alias("syms"), "n").persist())
-    alphabet = sorted((r[0] for r in syms.select(F.explode("syms").alias("c")).distinct().collect()), key=ord)
+    # The distinct pre-tokens are written once and read for the alphabet and for the ids.
+    counts = materialize(pretoken_counts(texts, text_col), "bpe-pretokens")
+    alphabet = byte_alphabet(counts)
     vocab = initial_vocabulary(alphabet, specials)
-    first = len(specials)
-    lookup = F.create_map(*[x for i, c in enumerate(alphabet) for x in (F.lit(c), F.lit(first + i))])
-    words = syms.select(F.transform("syms", lambda c: lookup[c]).alias("ids"), "n").where(F.size("ids") > 1)
-    vocab = learn_merges(words, vocab, vocab_size, min_frequency, **kw)
-    syms.unpersist()
+    vocab = learn_merges(spelled(counts, alphabet, len(specials)), vocab, vocab_size, min_frequency, **kw)
+    remove_stage(counts)
     return vocab

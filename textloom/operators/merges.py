@@ -1,7 +1,9 @@
 """Merge learning (T4): exact rounds of many merges over the table of distinct pre-tokens.
 
-The words are a written table ``(ids ARRAY<INT>, n BIGINT)``. The sequential trainer always takes the pair that comes
-first by (count desc, left id, right id). A round finds the next few hundred merges of that sequence at once:
+The words are a written table of blocks ``(symbols, sizes, n)``: about ``BLOCK`` 32-bit symbols of many words, the words'
+lengths and their counts, each as bytes. So a task takes a block as three arrays, and what it does per word or per place is
+done in arrays. The sequential trainer always takes the pair that comes first by (count desc, left id, right id). A round
+finds the next few hundred merges of that sequence at once:
 
 1. Count adjacent pairs of all words (in arrays, summed before the shuffle) and fetch the first ``k + 1``. The first k are
    *covered*; the last is the *cut*. With fewer than that, all pairs that may ever merge are covered and there is no cut.
@@ -24,7 +26,7 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,14 +40,75 @@ _SHIFT = 1 << 32  # pair key = left * 2^32 + right (ids < 2^31)
 SEGMENTS = 40_000
 COVERED = 8_192
 FIRST_COVERED = 64
+#: Symbols of a block of words (one word may be longer), and the longest segments that are told apart in arrays.
+BLOCK = 1 << 19
+LONG = 24
+BLOCK_SCHEMA = "symbols binary, sizes binary, n binary"
 
 
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, word number of each, count of each word)."""
-    ids = batch.column("ids")
-    symbols = ids.flatten().to_numpy().astype(np.int32)
-    word = np.repeat(np.arange(len(batch)), ids.value_lengths().to_numpy())
-    return symbols, word, batch.column("n").to_numpy()
+Words = tuple[np.ndarray, np.ndarray, np.ndarray]  # symbols, length of each word, count of each word
+
+
+def _block(parts: list[Words]) -> pa.RecordBatch:
+    symbols, sizes, n = (np.concatenate(x) for x in zip(*parts))
+    row = symbols.astype(np.int32), sizes.astype(np.int32), n.astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in row], ["symbols", "sizes", "n"])
+
+
+def _blocks(parts: Iterable[Words]) -> Iterator[pa.RecordBatch]:
+    """Blocks of at least ``BLOCK`` symbols, but for a task's last."""
+    held, size = [], 0
+    for part in parts:
+        if not len(part[0]):
+            continue
+        held.append(part)
+        size += len(part[0])
+        if size >= BLOCK:
+            yield _block(held)
+            held, size = [], 0
+    if held:
+        yield _block(held)
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+    """The words of each block."""
+    for b in batches:
+        for symbols, sizes, n in zip(b.column("symbols"), b.column("sizes"), b.column("n")):
+            yield (np.frombuffer(symbols.as_buffer(), np.int32), np.frombuffer(sizes.as_buffer(), np.int32),
+                   np.frombuffer(n.as_buffer(), np.int64))
+
+
+def blocks(words: DataFrame) -> DataFrame:
+    """Words ``(ids ARRAY<INT>, n)`` as blocks."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+        for b in batches:
+            ids, n = b.column("ids"), b.column("n").to_numpy()
+            sizes = ids.value_lengths().to_numpy()
+            ends = np.cumsum(sizes, dtype=np.int64)
+            start = 0
+            while start < len(b):
+                done = ends[start - 1] if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + BLOCK, "right")))
+                yield ids.slice(start, stop - start).flatten().to_numpy(), sizes[start:stop], n[start:stop]
+                start = stop
+
+    return words.select("ids", F.col("n").cast("long").alias("n")).mapInArrow(lambda batches: _blocks(cut(batches)), BLOCK_SCHEMA)
+
+
+def _numbers(sizes: np.ndarray) -> np.ndarray:
+    """The word number of each symbol."""
+    return np.repeat(np.arange(len(sizes)), sizes)
+
+
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the sum of ``n`` for each."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[starts], np.add.reduceat(n[order], starts)
 
 
 def _pairs(symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,19 +116,17 @@ def _pairs(symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return symbols[:-1].astype(np.int64) * _SHIFT + symbols[1:], word[:-1] == word[1:]
 
 
-def pair_counts(words: DataFrame) -> DataFrame:
-    """``(p, c)``: how often each pair is adjacent."""
+def pair_counts(table: DataFrame) -> DataFrame:
+    """``(p, c)``: how often each pair is adjacent in the words of the blocks."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            symbols, word, n = _flat(b)
+        for symbols, sizes, n in _words(batches):
+            word = _numbers(sizes)
             pair, inside = _pairs(symbols, word)
-            keys, at = np.unique(pair[inside], return_inverse=True)
-            total = np.zeros(len(keys), np.int64)
-            np.add.at(total, at, n[word[:-1][inside]])
+            keys, total = _summed(pair[inside], n[word[:-1][inside]])
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["p", "n"])
 
-    return words.mapInArrow(count, "p long, n long").groupBy("p").agg(F.sum("n").alias("c"))
+    return table.mapInArrow(count, "p long, n long").groupBy("p").agg(F.sum("n").alias("c"))
 
 
 def _runs(symbols: np.ndarray, word: np.ndarray, covered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -79,20 +140,47 @@ def _runs(symbols: np.ndarray, word: np.ndarray, covered: np.ndarray) -> tuple[n
     return np.flatnonzero(change == 1), np.flatnonzero(change == -1) + 1
 
 
-def segment_counts(words: DataFrame, covered: np.ndarray) -> DataFrame:
+def _distinct(symbols: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """(number of each segment, the distinct segments by number).
+
+    Segments of one length are told apart in arrays: their symbols are packed into 63 bits, and what is packed so far is
+    numbered when the next symbol has no room. The few longer than ``LONG`` are compared as bytes.
+    """
+    kind, found = np.zeros(len(first), np.int64), []
+    size = last - first
+    bits = max(1, int(symbols.max()).bit_length()) if len(symbols) else 1
+    for length in np.unique(size[size <= LONG]).tolist():
+        here = np.flatnonzero(size == length)
+        start = first[here]
+        key, used = symbols[start].astype(np.int64), bits
+        for i in range(1, length):
+            if used + bits > 63:
+                names, key = np.unique(key, return_inverse=True)
+                used = len(names).bit_length()
+            key, used = (key << bits) | symbols[start + i], used + bits
+        _, example, number = np.unique(key, return_index=True, return_inverse=True)
+        kind[here] = number + len(found)
+        raw = symbols[start[example][:, None] + np.arange(length)].tobytes()
+        found += [raw[i:i + 4 * length] for i in range(0, len(raw), 4 * length)]
+    known: dict[bytes, int] = {}
+    for k in np.flatnonzero(size > LONG).tolist():
+        kind[k] = known.setdefault(symbols[first[k]:last[k]].tobytes(), len(found) + len(known))
+    return kind, found + list(known)
+
+
+def segment_counts(table: DataFrame, covered: np.ndarray) -> DataFrame:
     """``(segment, n)``: the distinct segments, as bytes of their 32-bit symbols, and how often they occur."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            symbols, word, n = _flat(b)
-            total: dict[bytes, int] = defaultdict(int)
+        for symbols, sizes, n in _words(batches):
+            word = _numbers(sizes)
             first, last = _runs(symbols, word, covered)
-            raw = symbols.tobytes()
-            for i, j, c in zip((4 * first).tolist(), (4 * last).tolist(), n[word[first]].tolist()):
-                total[raw[i:j]] += c
-            yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.binary()), pa.array(total.values(), pa.int64())], ["segment", "n"])
+            kind, found = _distinct(symbols, first, last)
+            total = np.zeros(len(found), np.int64)
+            np.add.at(total, kind, n[word[first]])
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), pa.array(total)], ["segment", "n"])
 
-    return words.mapInArrow(cut, "segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+    return table.mapInArrow(cut, "segment binary, n long").groupBy("segment").agg(F.sum("n").alias("n"))
 
 
 def merge_pair(symbols: list[int], a: int, b: int, new: int) -> list[int]:
@@ -164,37 +252,41 @@ def learn_round(segments: dict[bytes, int], cut: tuple[int, int], floor: int, ro
     return merges, {keys[k]: np.array(held[k], np.int32).tobytes() for k in changed}
 
 
-def _replaced(words: DataFrame, covered: np.ndarray, changed: dict[bytes, bytes]) -> DataFrame:
-    """The words with their changed segments replaced; words of one symbol are done and dropped."""
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each run of that size, one run after the other."""
+    return np.arange(size.sum()) + np.repeat(start - np.cumsum(size) + size, size)
 
-    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            symbols, word, n = _flat(b)
-            out = symbols.copy()
-            keep = np.ones(len(symbols), bool)
+
+def _replaced(table: DataFrame, covered: np.ndarray, changed: dict[bytes, bytes]) -> DataFrame:
+    """The blocks with the changed segments of their words replaced; words of one symbol are done and dropped."""
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[Words]:
+        for symbols, sizes, n in _words(batches):
+            word = _numbers(sizes)
             first, last = _runs(symbols, word, covered)
-            raw = symbols.tobytes()
-            for i, j in zip(first.tolist(), last.tolist()):
-                now = changed.get(raw[4 * i:4 * j])
-                if now is not None:
-                    end = i + len(now) // 4
-                    out[i:end] = np.frombuffer(now, np.int32)
-                    keep[end:j] = False
+            kind, found = _distinct(symbols, first, last)
+            now = [changed.get(segment, segment) for segment in found]
+            size = np.array([len(x) // 4 for x in now], np.int64)
+            new = np.frombuffer(b"".join(now), np.int32)
+            out, keep = symbols.copy(), np.ones(len(symbols), bool)
+            if len(found):
+                made = size[kind]
+                out[_places(first, made)] = new[_places((np.cumsum(size) - size)[kind], made)]
+                keep[_places(first + made, last - first - made)] = False
             out, word = out[keep], word[keep]
-            size = np.bincount(word, minlength=len(b))
+            size = np.bincount(word, minlength=len(sizes))
             left = size > 1
-            ends = np.concatenate([[0], np.cumsum(size[left])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(ends), pa.array(out[left[word]])), pa.array(n[left])], ["ids", "n"])
+            yield out[left[word]], size[left], n[left]
 
-    return words.mapInArrow(replace, "ids array<int>, n long")
+    return table.mapInArrow(lambda batches: _blocks(replace(batches)), BLOCK_SCHEMA)
 
 
 def learn_merges(words: DataFrame, vocab, vocab_size: int, min_frequency: int = 2,
                  segments: int = SEGMENTS, covered: int = COVERED, log=None):
-    """Extend ``vocab`` with merges until ``vocab_size`` tokens or best count < min_frequency."""
+    """Extend ``vocab`` with merges, learned from words ``(ids ARRAY<INT>, n)``, until ``vocab_size`` tokens or best count < min_frequency."""
     ids = vocab.token_ids()
     floor = max(1, min_frequency)
-    table = materialize(words.select("ids", F.col("n").cast("long").alias("n")), "bpe-words")
+    table = materialize(blocks(words), "bpe-words")
     k, done = min(FIRST_COVERED, covered), 0
 
     def new_id(a: int, b: int) -> tuple[int, bool]:
