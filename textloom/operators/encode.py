@@ -3,8 +3,9 @@
 Encoding is a map over the documents: no shuffle, one scan. Built-in expressions cut special tokens and
 pre-tokens out of a text in one pass of the pre-token pattern (T1), with the special-token literals as its
 first alternatives; an Arrow UDF then turns each document's array of pre-tokens into ids. It merges every
-distinct pre-token of a batch once, by lowest merge rank, and keeps a bounded cache in the worker. The merge
-table it holds is bounded by the vocabulary size. Decoding is built-in expressions only.
+distinct pre-token of a batch once, by lowest merge rank, as bytes, and keeps a bounded cache in the worker. The ids of a
+batch are put together and given back a slice of its texts at a time (a text is never cut). The merge table it holds is
+bounded by the vocabulary size. Decoding is built-in expressions only.
 """
 
 from __future__ import annotations
@@ -13,23 +14,26 @@ import heapq
 import json
 import re
 import uuid
+from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.bytelevel import PRETOKEN_PATTERN, byte_chars, char_bytes
 from textloom.operators.bpe import BOS, EOS, UNK, Vocabulary
 
-#: Distinct pre-tokens a worker keeps the ids of.
+#: Distinct pre-tokens a worker keeps the ids of; some 50 MB, as they are kept as bytes.
 CACHE_TOKENS = 200_000
 #: Ids of a pre-token kept at most: a text without spaces is one pre-token.
 LONGEST_KEPT = 64
-#: Texts in one batch of pre-tokens.
-ROWS_PER_BATCH = 2_048
+#: Pre-tokens encoded at a time; those of one text stay together.
+SLICE_PIECES = 1 << 19
 
-_CACHES: dict[str, dict[str, list[int]]] = {}
+_CACHES: dict[str, dict[str, bytes]] = {}
 
 
 def text_pieces(text: Column, specials: list[str]) -> Column:
@@ -80,35 +84,63 @@ def merge_token(token: str, first: list[int], ranks: dict[int, tuple[int, int]])
     return [i for i in ids if i >= 0]
 
 
+def slices(counts: np.ndarray, limit: int | None = None) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of runs of texts with at most ``limit`` pre-tokens together, or of one text."""
+    ends = np.cumsum(counts)
+    start = 0
+    while start < len(counts):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + (limit or SLICE_PIECES), "right")))
+        yield start, stop
+        start = stop
+
+
 def _ids_udf(vocab: Vocabulary, specials: list[str]):
     ids = vocab.token_ids()
     unk = ids.get(UNK, 0)
     first = [ids.get(c, unk) for c in byte_chars()]
     ranks = {(a << 32) + b: (r, n) for r, (a, b, n) in enumerate(vocab.merges)}
-    fixed = {s: [ids[s]] for s in specials}
+    fixed = {s: array("i", [ids[s]]).tobytes() for s in specials}
     name = uuid.uuid4().hex  # of this vocabulary's cache in a worker
 
-    @F.arrow_udf("array<int>")
-    def to_ids(pieces: pa.Array) -> pa.Array:
+    def merged(tokens: pa.Array) -> pa.Array:
+        """The ids of distinct pre-tokens, as bytes."""
         if name not in _CACHES:  # a worker keeps the cache of one vocabulary
             _CACHES.clear()
         cache = _CACHES.setdefault(name, {})
-        coded = pieces.flatten().dictionary_encode()
         table = []
-        for token in coded.dictionary.to_pylist():
+        for token in tokens.to_pylist():
             got = fixed.get(token) or cache.get(token)
             if got is None:
-                got = merge_token(token, first, ranks)
-                if len(cache) < CACHE_TOKENS and len(got) <= LONGEST_KEPT:
+                got = array("i", merge_token(token, first, ranks)).tobytes()
+                if len(cache) < CACHE_TOKENS and len(got) <= 4 * LONGEST_KEPT:
                     cache[token] = got
             table.append(got)
-        lengths = pa.array(table, pa.list_(pa.int32()))
-        taken = lengths.take(coded.indices)
-        bounds = taken.offsets.to_numpy().astype(np.int64)
-        counts = np.array([n or 0 for n in pieces.value_lengths().to_pylist()], np.int64)
+        return pa.array(table, pa.large_binary())
+
+    def encoded(counts: np.ndarray, null: np.ndarray, indices: pa.Array, table: pa.Array) -> pa.Array:
+        """The ids of texts of so many pre-tokens, whose places in the table of distinct ones are given."""
+        taken = table.take(indices)
+        bounds, flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
+        if len(taken):
+            bounds = np.frombuffer(taken.buffers()[1], np.int64, len(taken) + 1) // 4
+            flat = np.frombuffer(taken.buffers()[2] or b"", np.int32, bounds[-1])
         ends = np.concatenate([[0], np.cumsum(counts)])
-        offsets = pa.array(bounds[ends] - bounds[0], pa.int32(), mask=np.append(pieces.is_null().to_numpy(zero_copy_only=False), False))
-        return pa.ListArray.from_arrays(offsets, taken.flatten())
+        return pa.ListArray.from_arrays(pa.array(bounds[ends], pa.int32(), mask=np.append(null, False)), pa.array(flat))
+
+    @F.arrow_udf("array<int>")
+    def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pieces in batches:
+            coded = pieces.flatten().dictionary_encode()
+            counts = pc.fill_null(pieces.value_lengths(), 0).to_numpy().astype(np.int64)
+            null = pieces.is_null().to_numpy(zero_copy_only=False)
+            tokens, indices = coded.dictionary, coded.indices
+            del pieces, coded
+            table = pa.concat_arrays([merged(tokens.slice(i, SLICE_PIECES)) for i in range(0, len(tokens), SLICE_PIECES)]
+                                     or [pa.array([], pa.large_binary())])
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            for i, j in slices(counts):
+                yield encoded(counts[i:j], null[i:j], indices.slice(ends[i], ends[j] - ends[i]), table)
 
     return to_ids
 
