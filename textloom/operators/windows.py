@@ -23,5 +23,5 @@ def context_windows(df: DataFrame, ids_col: str, size: int = 1024, overlap: int
     keep = keep or []
     arr = F.col(ids_col)
     wins = F.transform(window_starts(F.size(arr), size, overlap), lambda s: F.slice(arr, s + 1, size))
-    return (df.where(F.size(arr) > 0)
-            .select(*keep, F.posexplode(wins).alias("window_no", "window")))
+    # No filter: it would be moved below an encoder's UDF, which then runs twice. A null has no windows.
+    return df.select(*keep, F.posexplode(F.when(F.size(arr) > 0, wins)).alias("window_no", "window"))
